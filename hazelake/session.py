@@ -22,6 +22,7 @@ def build_session(master: str | None = None, app: str = "hazelake",
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
