@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazelake.session import materialize
+
 
 def _chunks(df: DataFrame, chunks: int | None) -> int:
     if chunks:
@@ -27,7 +29,8 @@ def _chunks(df: DataFrame, chunks: int | None) -> int:
 
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    chunks: int | None = None, with_count: bool = True) -> DataFrame:
+                    chunks: int | None = None, with_count: bool = True,
+                    materialize_ranks: bool = True) -> DataFrame:
     """keys + `_n` (non-NULL values) + one column per entry of `probs`. Groups with NULL keys
     are dropped (pandas groupby default)."""
     keys = list(keys)
@@ -46,6 +49,9 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     w = (Window.partitionBy("_chunk").orderBy(*keys, value)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranged = ranged.withColumn("_cum", F.sum("_c").over(w))
+    if materialize_ranks:
+        # read three times below: materialise once instead of recomputing the upstream plan
+        ranged = materialize(ranged)
 
     totals = ranged.groupBy("_chunk").agg(F.sum("_c").alias("_t"))
     offsets = totals.select(

@@ -15,7 +15,7 @@ from hazelake.operators.outliers import remove_outliers_iqr
 from hazelake.operators.quality import quality_gate, quality_report
 from hazelake.operators.validate import validate_ranges
 from hazelake.plans.pipeline import add_pm25_aqi, nan_to_null
-from hazelake.session import utc
+from hazelake.session import materialize, utc
 from hazelake.sources import fixtures
 from hazelake.sources.listing import bronze_keys
 from hazelake.streaming.readings import message_to_readings
@@ -42,6 +42,13 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         utc(spark)
         self.spark, self.sf = spark, sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build) -> DataFrame:
+        """Layer tables read by several branches are materialised once per query."""
+        if name not in self._memo:
+            self._memo[name] = materialize(build())
+        return self._memo[name]
 
     def R(self) -> DataFrame:
         return fixtures.readings_with_defects(self.spark, self.sf)
@@ -56,20 +63,20 @@ class Stages:
         return parse_datetime(self.N())
 
     def V(self) -> DataFrame:
-        return validate_ranges(self.T())
+        return self._once("V", lambda: validate_ranges(self.T()))
 
     def I(self) -> DataFrame:
         return remove_outliers_iqr(self.V(), RUN_KEYS)
 
     def A(self) -> DataFrame:
-        return add_pm25_aqi(self.I())
+        return self._once("A", lambda: add_pm25_aqi(self.I()))
 
     def QR(self) -> DataFrame:
         return quality_report(self.A(), RUN_KEYS)
 
     def S(self) -> DataFrame:
         a = self.A()
-        return quality_gate(a, quality_report(a, RUN_KEYS), RUN_KEYS)
+        return self._once("S", lambda: quality_gate(a, quality_report(a, RUN_KEYS), RUN_KEYS))
 
     def HF(self) -> DataFrame:
         return round6(facts.hourly_fact(self.V()))

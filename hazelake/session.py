@@ -57,3 +57,10 @@ def local_path(p: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "utc", "local_path", "os"]
+
+
+def materialize(df):
+    """Cut lineage where a result feeds several branches: a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -23,7 +23,7 @@ KEEP_DAYS = 2
 
 
 def _decide(key, pdfs: Iterator[pd.DataFrame], state, threshold: float) -> Iterator[pd.DataFrame]:
-    parts = list(pdfs)
+    parts = [p for p in pdfs if len(p)]
     if not parts:
         return
     df = pd.concat(parts, ignore_index=True).sort_values(["created_at", "event_id"], kind="stable")
@@ -58,6 +58,13 @@ def alert_once_per_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -
     cols = [c.split()[0] for c in OUT_SCHEMA.split(", ") if c.split()[0] not in
             ("alerted", "slot_date", "slot_hour")]
     thr = float(threshold)
+    if not readings.isStreaming:
+        # bounded input: the same decision as an aggregate (first candidate per slot)
+        from hazelake.operators.alerts import first_in_slot, with_slot
+        firsts = first_in_slot(readings.select(*cols), thr).select("event_id", F.lit(True).alias("_first"))
+        out = (with_slot(readings.select(*cols)).join(firsts, "event_id", "left")
+               .withColumn("alerted", F.coalesce(F.col("_first"), F.lit(False))))
+        return out.select(*[c.split()[0] for c in OUT_SCHEMA.split(", ")])
 
     def fn(key, pdfs, state):
         return _decide(key, pdfs, state, thr)
