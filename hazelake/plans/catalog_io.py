@@ -40,7 +40,7 @@ def q_bronze_scan(spark, sf):
     even = F.col("location_id").cast("int") % 2 == 0
     for cond, parts in ((even, ["year", "locationid", "month", "day"]),
                         (~even, ["year", "month", "day", "locationid"])):
-        (rows.where(cond).select(*cols, *parts).repartition(*parts).write.mode("append")
+        (rows.where(cond).select(*cols, *parts).hint("rebalance", *parts).write.mode("append")
              .option("header", True).option("compression", "gzip").partitionBy(*parts).csv(base))
     back = bronze.read_bronze(spark, base, glob=None)
     layout = F.when(F.locate("locationid=", F.col("_file")) < F.locate("month=", F.col("_file")), 1).otherwise(2)

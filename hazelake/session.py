@@ -59,8 +59,12 @@ def local_path(p: str) -> str:
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "utc", "local_path", "os"]
 
 
-def materialize(df):
-    """Cut lineage where a result feeds several branches: a reliable checkpoint in the shared
-    checkpoint folder (survives executor loss; never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Cut lineage where a result feeds several branches: write it once as Parquet under the
+    shared checkpoint folder and read it back. Unlike an RDD checkpoint this computes the plan
+    once, survives executor loss, and later reads get column pruning and filter pushdown.
+    Never a local checkpoint or a machine-local folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

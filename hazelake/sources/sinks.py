@@ -16,9 +16,9 @@ def _partition_cols(df: DataFrame, date_col="run_date", loc_col="location_id", d
 
 
 def write_partitioned(df: DataFrame, path: str, parts: list[str], fmt="parquet") -> None:
-    """Shuffle once on the partition columns so each task writes whole partitions, then
-    overwrite only the partitions present in `df`."""
-    (df.repartition(*parts).write.mode("overwrite")
+    """Rebalance on the partition columns (AQE splits a hot partition over several tasks and
+    merges small ones), then overwrite only the partitions present in `df`."""
+    (df.hint("rebalance", *parts).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy" if fmt == "parquet" else "gzip")
        .partitionBy(*parts).format(fmt).save(path))
