@@ -741,3 +741,33 @@ def queries() -> dict[str, QueryFn]:
 def oracle_sql() -> dict[str, str]:
     from hazelake.plans import catalog_io  # noqa: F401
     return dict(ORACLE)
+
+
+@register("quartiles", sql("""
+SELECT location_id, parameter, count(value) AS n, round(quantile_cont(value, 0.25), 6) AS q25,
+  round(quantile_cont(value, 0.75), 6) AS q75 FROM V
+WHERE location_id IS NOT NULL AND parameter IS NOT NULL AND value IS NOT NULL GROUP BY location_id, parameter""",
+                           "V"))
+def q_quartiles(spark, sf):
+    """Exact quartiles per station and pollutant (split-quantile operator)."""
+    from hazelake.operators.quantiles import group_quantiles
+    qs = group_quantiles(Stages(spark, sf).V(), ["location_id", "parameter"], "value", {"q25": 0.25, "q75": 0.75})
+    return round6(qs.withColumnRenamed("_n", "n"), ["q25", "q75"])
+
+
+@register("sql_functions", sql(f"""
+SELECT _file, _ord, value, aqi, aqi_level, {_category_sql('aqi', 2)} AS category FROM (
+  SELECT _file, _ord, value, {O.aqi_case('value', K.PM25_PIPELINE, 500)} AS aqi,
+    {O.level_case('value', K.PM25_PIPELINE, 500)} AS aqi_level FROM V WHERE lower(parameter) = 'pm25')""", "V"))
+def q_sql_functions(spark, sf):
+    """§2.12: the AQI functions called from SQL text (SQL-language temporary functions)."""
+    import uuid
+
+    from hazelake.functions.sqlfuncs import register_sql_functions
+    register_sql_functions(spark)
+    view = f"hz_validated_{uuid.uuid4().hex[:8]}"
+    Stages(spark, sf).V().createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT _file, _ord, value, hz_aqi_pm25(value) AS aqi, hz_aqi_level_pm25(value) AS aqi_level,
+               hz_aqi_category(hz_aqi_pm25(value)) AS category
+        FROM {view} WHERE lower(parameter) = 'pm25'""")

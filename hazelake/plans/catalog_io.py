@@ -469,3 +469,58 @@ def q_bad_records(spark, sf):
     bad = F.col("_corrupt_record").isNotNull() | F.col("event_id").isNull()
     kind = F.when(bad, F.lit("bad")).otherwise(F.lit("good"))
     return df.select(kind.alias("kind"), "event_id").groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("readings_flagged", sql("""
+SELECT event_id, location_id, parameter, created_at, measurement_time, value, alerted FROM RF""", "RF"))
+def q_readings_flagged(spark, sf):
+    """K8: every reading appended with its alert flag (stateful candidates + stateless rest)."""
+    src = _land(spark, sf, "msgs")
+    out, ck = scratch_path(spark, "flagged"), scratch_path(spark, "flagged-ck")
+    flagged = alert_state.flag_stream(RS.message_to_readings(RS.read_message_stream(spark, src)))
+    RS.run_available_now(flagged, out, ck)
+    return ntz(spark.read.parquet(out).select("event_id", "location_id", "parameter", "created_at",
+                                              "measurement_time", "value", "alerted"))
+
+
+@register("alert_notifications", sql("""
+SELECT event_id,
+  '[CẢNH BÁO AQI] ' || coalesce(location_name, 'None') || ' vượt ngưỡng (AQI=' || CAST(CAST(value AS DOUBLE) AS VARCHAR)
+    || CASE WHEN nullif(main_pollutant, '') IS NOT NULL THEN ' - Chất ô nhiễm chính: ' || main_pollutant ELSE '' END
+    || ')' AS subject FROM AL""", "AL"))
+def q_alert_notifications(spark, sf):
+    """Alerts handed to a per-micro-batch handler; this handler files the subject lines."""
+    src = _land(spark, sf, "msgs")
+    out, ck = scratch_path(spark, "notified"), scratch_path(spark, "notified-ck")
+    flagged = alert_state.alert_once_per_slot(RS.message_to_readings(RS.read_message_stream(spark, src)))
+
+    def handler(alerts, batch_id):
+        alerts.select("event_id", X.alert_subject("location_name", "value", "main_pollutant").alias("subject")) \
+              .write.mode("append").parquet(out)
+
+    alert_state.alert_sink(flagged, handler, ck)
+    return spark.read.parquet(out)
+
+
+@register("kafka_records", sql("""
+SELECT CAST(user_id % 5 AS VARCHAR) AS key, event_id, CAST(user_id % 5 AS VARCHAR) AS location_id,
+  CASE WHEN event_id % 31 = 0 THEN 0 ELSE 1 END AS sensors, ts AS ingest_ts FROM events"""))
+def q_kafka_records(spark, sf):
+    """K7: messages serialised as (key, JSON value) and decoded again by a consumer."""
+    rec = RS.to_kafka_records(Stages(spark, sf).M())
+    back = rec.select("key", F.from_json("value", schemas.LANDED_MESSAGE,
+                                         {"timestampFormat": RS.TS_FORMAT}).alias("m"))
+    return ntz(back.select("key", "m.event_id", "m.location_id", F.size("m.sensors").alias("sensors"),
+                           "m.ingest_ts"))
+
+
+@register("hourly_stream", sql("""
+SELECT location_id, parameter, date_trunc('hour', measurement_time) AS window_start, min(value) AS value_min,
+  max(value) AS value_max, round(avg(value), 6) AS value_avg, count(value) AS value_count
+FROM RD GROUP BY ALL""", "RD"))
+def q_hourly_stream(spark, sf):
+    """Streaming twin of the hourly fact: 1-hour tumbling windows with a watermark."""
+    src = _land(spark, sf, "msgs")
+    out, ck = scratch_path(spark, "hourly-stream"), scratch_path(spark, "hourly-stream-ck")
+    RS.hourly_window_update(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck)
+    return ntz(round6(RS.latest_windows(spark, out), ["value_avg"]))

@@ -88,3 +88,18 @@ def flag_stream(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFr
                     .withColumn("slot_hour", F.when(F.hour(local).isin(K.ALERT_SLOT_HOURS), F.hour(local)))
                     .select(*cols))
     return alert_once_per_slot(readings, threshold).unionByName(rest)
+
+
+def alert_sink(flagged: DataFrame, handler, checkpoint: str) -> None:
+    """Hand each micro-batch's alert rows to `handler(df, batch_id)` (notifier hook).
+    The default handler in the catalog writes the alert texts as Parquet."""
+    from pyspark.sql import functions as F
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        handler(batch.where(F.col("alerted")), batch_id)
+
+    q = (flagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+                .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()

@@ -96,3 +96,34 @@ def hourly_window(readings: DataFrame, watermark="2 hours") -> DataFrame:
                          F.avg("value").alias("value_avg"), F.count("value").alias("value_count"))
                     .select("location_id", "parameter", F.col("w.start").alias("window_start"),
                             "value_min", "value_max", "value_avg", "value_count"))
+
+
+def to_kafka_records(msgs: DataFrame, key="location_id") -> DataFrame:
+    """K7: (key, value) records — key = station id, value = the message as JSON text."""
+    body = [c for c in msgs.columns]
+    return msgs.select(F.col(key).cast("string").alias("key"),
+                       F.to_json(F.struct(*body), {"timestampFormat": TS_FORMAT}).alias("value"))
+
+
+def hourly_window_update(readings: DataFrame, out: str, checkpoint: str, watermark="2 hours") -> None:
+    """Run the tumbling-window twin in update mode; every micro-batch appends the windows it
+    changed, tagged with the batch id, so the newest version of each window is the answer."""
+    agg = hourly_window(readings, watermark)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .foreachBatch(write).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def latest_windows(spark: SparkSession, out: str) -> DataFrame:
+    """Newest version of each window written by `hourly_window_update`."""
+    df = spark.read.parquet(out)
+    keys = ["location_id", "parameter", "window_start"]
+    rest = [c for c in df.columns if c not in keys + ["_batch"]]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_w"))
+              .select(*keys, "_w.*"))
