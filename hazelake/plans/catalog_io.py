@@ -524,3 +524,25 @@ def q_hourly_stream(spark, sf):
     out, ck = scratch_path(spark, "hourly-stream"), scratch_path(spark, "hourly-stream-ck")
     RS.hourly_window_update(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck)
     return ntz(round6(RS.latest_windows(spark, out), ["value_avg"]))
+
+
+@register("gold_write", sql("""
+SELECT 'hourly' AS table_name, count(*) AS n FROM SHF
+UNION ALL SELECT 'daily', count(*) FROM SDF
+UNION ALL SELECT 'dim_location', count(*) FROM DL
+UNION ALL SELECT 'dim_parameter', count(*) FROM DP
+UNION ALL SELECT 'dim_time', count(*) FROM DT""", "SHF", "SDF", "DL", "DP", "DT"))
+def q_gold_write(spark, sf):
+    """K2–K4: write the gold facts (partitioned) and dimensions, then count what the files hold."""
+    s = Stages(spark, sf)
+    base = scratch_path(spark, "gold")
+    sinks.write_hourly(s.SHF(), f"{base}/fact_aqi_hourly")
+    sinks.write_daily(s.SDF(), f"{base}/fact_aqi_daily")
+    for name, dim in (("dim_location", s.DL()), ("dim_parameter", s.DP()), ("dim_time", s.DT())):
+        sinks.write_dimension(dim, f"{base}/{name}")
+    tables = {"hourly": spark.read.parquet(f"{base}/fact_aqi_hourly"),
+              "daily": spark.read.parquet(f"{base}/fact_aqi_daily"),
+              "dim_location": spark.read.parquet(f"{base}/dim_location"),
+              "dim_parameter": spark.read.parquet(f"{base}/dim_parameter"),
+              "dim_time": spark.read.parquet(f"{base}/dim_time")}
+    return profile.table_counts(tables)

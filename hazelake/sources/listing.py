@@ -94,3 +94,13 @@ def station_days(days: DataFrame, keys: DataFrame, location_id: str) -> DataFram
     inv = inv.select(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
                                  F.col("day").cast("int")).alias("run_date"))
     return days.join(inv, "run_date", "left_semi")
+
+
+def has_data(df: DataFrame, location_id: str | None = None, run_date=None) -> bool:
+    """S3: existence probe for a station-day (stops at the first matching row)."""
+    f = df
+    if location_id is not None:
+        f = f.where(F.col("location_id") == location_id)
+    if run_date is not None:
+        f = f.where(F.col("run_date") == F.lit(run_date))
+    return not f.isEmpty()
