@@ -222,8 +222,19 @@ _DCOLS = ["location_id", "date", "parameter"] + FACT_UPDATE
 U1 AS ({_stats_sql(_S2, ["location_id", "date", "hour", "parameter"])})
 {_upsert_sql("T1", "U1", _HCOLS, HOURLY_KEYS, FACT_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
 def q_upsert_hourly(spark, sf):
+    """First load written as a partitioned table, second load merged into the partitions it touches."""
+    return _merge_fact(spark, sf, facts.hourly_fact, HOURLY_KEYS)
+
+
+def _merge_fact(spark, sf, build, keys):
     a, b = _split_loads(Stages(spark, sf))
-    return upsert(round6(facts.hourly_fact(a)), round6(facts.hourly_fact(b)), HOURLY_KEYS, FACT_UPDATE)
+    path = scratch_path(spark, "fact-table")
+    target = round6(build(a)).withColumn("part_date", F.date_format("date", "yyyy-MM-dd"))
+    updates = round6(build(b)).withColumn("part_date", F.date_format("date", "yyyy-MM-dd"))
+    sinks.write_partitioned(target, path, ["part_date"])
+    sinks.merge_partitioned(spark, path, updates.select(*target.columns), keys, FACT_UPDATE, ["part_date"],
+                            scratch_path(spark, "fact-merge"))
+    return spark.read.parquet(path).drop("part_date")
 
 
 @register("upsert_daily", sql(f"""
@@ -231,8 +242,7 @@ def q_upsert_hourly(spark, sf):
 U1 AS ({_stats_sql(_S2, ["location_id", "date", "parameter"])})
 {_upsert_sql("T1", "U1", _DCOLS, DAILY_KEYS, FACT_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
 def q_upsert_daily(spark, sf):
-    a, b = _split_loads(Stages(spark, sf))
-    return upsert(round6(facts.daily_fact(a)), round6(facts.daily_fact(b)), DAILY_KEYS, FACT_UPDATE)
+    return _merge_fact(spark, sf, facts.daily_fact, DAILY_KEYS)
 
 
 _LOC_COLS = ["location_id", "location_name", "city", "country", "latitude", "longitude"]

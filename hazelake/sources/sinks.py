@@ -55,3 +55,18 @@ def run_manifest(report: DataFrame, hourly_path: str, daily_path: str) -> DataFr
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("overwrite").partitionBy("execution_date").json(path)
+
+
+def merge_partitioned(spark, path: str, updates: DataFrame, keys: list[str], update_cols: list[str],
+                      partition_cols: list[str], scratch: str) -> None:
+    """K9 on a partitioned table: read only the partitions the updates touch (a left-semi join on
+    the partition columns lets dynamic partition pruning skip the rest), merge by key, stage the
+    result under `scratch`, and overwrite just those partitions. Untouched partitions are never
+    read or rewritten, so the cost follows the size of the update, not of the table."""
+    from hazelake.operators.upsert import upsert
+    target = spark.read.parquet(path)
+    touched = updates.select(*partition_cols).distinct()
+    current = target.join(touched, partition_cols, "left_semi")
+    merged = upsert(current.select(*updates.columns), updates, keys, update_cols)
+    merged.write.mode("overwrite").parquet(scratch)            # cut the read/write cycle on `path`
+    write_partitioned(spark.read.parquet(scratch), path, partition_cols)
