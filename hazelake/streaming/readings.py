@@ -111,7 +111,8 @@ def hourly_window_update(readings: DataFrame, out: str, checkpoint: str, waterma
     agg = hourly_window(readings, watermark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        # one folder per batch id, overwritten on replay: a retried micro-batch cannot duplicate
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .foreachBatch(write).trigger(availableNow=True).start())
@@ -124,6 +125,6 @@ def latest_windows(spark: SparkSession, out: str) -> DataFrame:
     """Newest version of each window written by `hourly_window_update`."""
     df = spark.read.parquet(out)
     keys = ["location_id", "parameter", "window_start"]
-    rest = [c for c in df.columns if c not in keys + ["_batch"]]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_w"))
+    rest = [c for c in df.columns if c not in keys + ["batch_id"]]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_w"))
               .select(*keys, "_w.*"))
