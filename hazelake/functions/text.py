@@ -103,3 +103,17 @@ def email_valid(e) -> Column:
     """Non-empty, has '@', and a '.' between the first and the second '@'."""
     t = _strip(_c(e))
     return (t != "") & t.rlike(EMAIL_PATTERN)
+
+
+def ci_equals(c, value: str, max_variants: int = 16) -> Column:
+    """Case-insensitive equality that Parquet can push down: when the value has few letters,
+    an IN list of its case variants (pushable) guards the exact lower() test."""
+    import itertools
+    col = _c(c)
+    exact = F.lower(col) == value.lower()
+    letters = [ch for ch in value if ch.isalpha()]
+    if 2 ** len(letters) > max_variants:
+        return exact
+    choices = [(ch.lower(), ch.upper()) if ch.isalpha() else (ch,) for ch in value.lower()]
+    variants = sorted({"".join(p) for p in itertools.product(*choices)})
+    return col.isin(variants) & exact

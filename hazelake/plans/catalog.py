@@ -195,7 +195,7 @@ def q_bronze_to_silver(spark, sf):
 SELECT _file, _ord, value, {O.aqi_case('value', K.PM25_PIPELINE, 500)} AS aqi,
   {O.level_case('value', K.PM25_PIPELINE, 500)} AS aqi_level FROM V WHERE lower(parameter) = 'pm25'""", "V"))
 def q_aqi_pm25(spark, sf):
-    v = Stages(spark, sf).V().where(F.lower("parameter") == "pm25")
+    v = Stages(spark, sf).V().where(X.ci_equals("parameter", "pm25"))
     return v.select("_file", "_ord", "value", Q.aqi_pm25("value").alias("aqi"),
                     Q.aqi_pm25_level("value").alias("aqi_level"))
 
@@ -210,7 +210,7 @@ SELECT _file, _ord, value, {_nonneg(O.aqi_case('value', K.PM25_HELPER, 500.4))}
   {_nonneg(O.level_case('value', K.PM25_HELPER, 500.4, K.COLORS))} AS aqi_color
 FROM N WHERE lower(parameter) = 'pm25'""", "N"))
 def q_aqi_pm25_color(spark, sf):
-    n = Stages(spark, sf).N().where(F.lower("parameter") == "pm25")
+    n = Stages(spark, sf).N().where(X.ci_equals("parameter", "pm25"))
     return n.select("_file", "_ord", "value", Q.aqi_pm25_helper("value").alias("aqi"),
                     Q.aqi_pm25_helper_level("value").alias("aqi_level"),
                     Q.aqi_pm25_helper_color("value").alias("aqi_color"))
@@ -220,7 +220,7 @@ def q_aqi_pm25_color(spark, sf):
 SELECT _file, _ord, value, {O.aqi_case('value', K.PM25_OPEN_TOP)} AS aqi,
   {O.level_case('value', K.PM25_OPEN_TOP)} AS aqi_level FROM N WHERE lower(parameter) = 'pm25'""", "N"))
 def q_aqi_pm25_open(spark, sf):
-    n = Stages(spark, sf).N().where(F.lower("parameter") == "pm25")
+    n = Stages(spark, sf).N().where(X.ci_equals("parameter", "pm25"))
     return n.select("_file", "_ord", "value", Q.aqi_pm25_open("value").alias("aqi"),
                     Q.aqi_pm25_open_level("value").alias("aqi_level"))
 
@@ -229,7 +229,7 @@ def q_aqi_pm25_open(spark, sf):
 SELECT _file, _ord, value, {_nonneg(O.aqi_case('value', K.PM10, 604))} AS aqi,
   {_nonneg(O.level_case('value', K.PM10, 604))} AS aqi_level FROM N WHERE lower(parameter) = 'pm10'""", "N"))
 def q_aqi_pm10(spark, sf):
-    n = Stages(spark, sf).N().where(F.lower("parameter") == "pm10")
+    n = Stages(spark, sf).N().where(X.ci_equals("parameter", "pm10"))
     return n.select("_file", "_ord", "value", Q.aqi_pm10("value").alias("aqi"),
                     Q.aqi_pm10_level("value").alias("aqi_level"))
 
@@ -278,7 +278,7 @@ SELECT _file, _ord, aqi, {_category_sql('aqi', 2)} AS level, {_category_sql('aqi
   {_category_sql('aqi', 4)} AS health_message
 FROM (SELECT _file, _ord, {_Q2} AS aqi FROM N WHERE lower(parameter) = 'pm25')""", "N"))
 def q_aqi_category(spark, sf):
-    n = Stages(spark, sf).N().where(F.lower("parameter") == "pm25")
+    n = Stages(spark, sf).N().where(X.ci_equals("parameter", "pm25"))
     a = n.select("_file", "_ord", Q.aqi_pm25_helper("value").alias("aqi"))
     return a.select("_file", "_ord", "aqi", Q.aqi_category("aqi").alias("c")) \
             .select("_file", "_ord", "aqi", "c.level", "c.color", "c.health_message")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.functions import aqi as Q
+from hazelake.functions.text import ci_equals
 from hazelake.functions.timeparse import parse_datetime, parse_datetime_helper
 from hazelake.functions.units import normalize_units, normalize_units_lenient
 from hazelake.operators import facts
@@ -35,7 +36,7 @@ def nan_to_null(df: DataFrame, cols=("value",)) -> DataFrame:
 
 def add_pm25_aqi(df: DataFrame, parameter="parameter", value="value") -> DataFrame:
     """Q1 on rows whose lower-cased parameter is pm25; other rows get NULL."""
-    is_pm25 = F.lower(F.col(parameter)) == "pm25"
+    is_pm25 = ci_equals(parameter, "pm25")
     return (df.withColumn("aqi", F.when(is_pm25, Q.aqi_pm25(value)))
               .withColumn("aqi_level", F.when(is_pm25, Q.aqi_pm25_level(value))))
 

@@ -15,10 +15,15 @@ def _partition_cols(df: DataFrame, date_col="run_date", loc_col="location_id", d
     return out
 
 
-def write_partitioned(df: DataFrame, path: str, parts: list[str], fmt="parquet") -> None:
+def write_partitioned(df: DataFrame, path: str, parts: list[str], fmt="parquet",
+                      sort_within: list[str] | None = None) -> None:
     """Rebalance on the partition columns (AQE splits a hot partition over several tasks and
-    merges small ones), then overwrite only the partitions present in `df`."""
-    (df.hint("rebalance", *parts).write.mode("overwrite")
+    merges small ones), optionally sort inside each task so Parquet min/max statistics let
+    later filters skip row groups, then overwrite only the partitions present in `df`."""
+    out = df.hint("rebalance", *parts)
+    if sort_within:
+        out = out.sortWithinPartitions(*parts, *[c for c in sort_within if c in df.columns])
+    (out.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy" if fmt == "parquet" else "gzip")
        .partitionBy(*parts).format(fmt).save(path))
@@ -26,17 +31,20 @@ def write_partitioned(df: DataFrame, path: str, parts: list[str], fmt="parquet")
 
 def write_silver(silver: DataFrame, path: str) -> None:
     """K1: year/month/day/locationid."""
-    write_partitioned(_partition_cols(silver), path, ["year", "month", "day", "locationid"])
+    write_partitioned(_partition_cols(silver), path, ["year", "month", "day", "locationid"],
+                      sort_within=["parameter", "datetime"])
 
 
 def write_hourly(hourly: DataFrame, path: str) -> None:
     """K2: fact_aqi_hourly/year/month/day/locationid."""
-    write_partitioned(_partition_cols(hourly, "date"), path, ["year", "month", "day", "locationid"])
+    write_partitioned(_partition_cols(hourly, "date"), path, ["year", "month", "day", "locationid"],
+                      sort_within=["parameter", "hour"])
 
 
 def write_daily(daily: DataFrame, path: str) -> None:
     """K3: fact_aqi_daily/year/month/locationid/day."""
-    write_partitioned(_partition_cols(daily, "date"), path, ["year", "month", "locationid", "day"])
+    write_partitioned(_partition_cols(daily, "date"), path, ["year", "month", "locationid", "day"],
+                      sort_within=["parameter"])
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
