@@ -21,6 +21,7 @@ from hazelake.operators.dedupe import auto_keys, dedupe
 from hazelake.operators.outliers import remove_outliers_iqr, remove_outliers_iqr_param
 from hazelake.operators.quality import quality_gate, quality_report, quality_report_full
 from hazelake.operators.validate import validate_nonzero, validate_ranges
+from hazelake.session import materialize
 
 RUN_KEYS = ["location_id", "run_date"]
 
@@ -52,9 +53,12 @@ def cleaned(bronze: DataFrame) -> DataFrame:
     return add_pm25_aqi(df)
 
 
-def silver(bronze: DataFrame) -> DataFrame:
-    """Cleaned rows of the runs that pass the quality gate."""
+def silver(bronze: DataFrame, materialize_layers: bool = True) -> DataFrame:
+    """Cleaned rows of the runs that pass the quality gate. The cleaned set feeds both the
+    report and the gate, so it is materialised once in the shared checkpoint folder."""
     c = cleaned(bronze)
+    if materialize_layers:
+        c = materialize(c, "cleaned")
     return quality_gate(c, quality_report(c, RUN_KEYS), RUN_KEYS)
 
 
