@@ -180,11 +180,10 @@ _HELPER_COL = (f"CASE WHEN {_HP} = 'pm25' THEN CASE WHEN value >= 0 THEN "
 
 
 @register("bronze_to_silver", sql(f"""
-, HT AS ({_HT}), HQ AS ({_HQ})
 SELECT HT.*, {_HELPER_AQI} AS aqi, {_HELPER_LVL} AS aqi_level, {_HELPER_COL} AS aqi_color
 FROM HT JOIN HQ USING (location_id, run_date)
-WHERE HT.value >= HQ.q1 - {d(1.5)} * (HQ.q3 - HQ.q1) AND HT.value <= HQ.q3 + {d(1.5)} * (HQ.q3 - HQ.q1)""", "D")
-          .replace("\n, HT AS", ",\nHT AS", 1))
+WHERE HT.value >= HQ.q1 - {d(1.5)} * (HQ.q3 - HQ.q1) AND HT.value <= HQ.q3 + {d(1.5)} * (HQ.q3 - HQ.q1)""", "D",
+          extra=[("HT", _HT), ("HQ", _HQ)]))
 def q_bronze_to_silver(spark, sf):
     return ntz(bronze_to_silver_helper(Stages(spark, sf).R()))
 
@@ -386,11 +385,12 @@ def q_quality_report_full(spark, sf):
     return quality_report_full(Stages(spark, sf).A())
 
 
+_INVALID_SQL = f"""SELECT location_id, run_date,
+  CAST(sum(CAST(NOT {_valid_sql('parameter', 'value')} AS INTEGER)) AS BIGINT) AS _invalid
+FROM A GROUP BY location_id, run_date"""
+
+
 @register("quality_rules", sql(f"""
-, F AS ({FULL_SQL}),
-IV AS (SELECT location_id, run_date,
-         CAST(sum(CAST(NOT {_valid_sql('parameter', 'value')} AS INTEGER)) AS BIGINT) AS _invalid
-       FROM A GROUP BY location_id, run_date)
 SELECT location_id, run_date, rule, level, check_type, observed, threshold,
   CASE WHEN check_type = 'count_check' THEN observed >= threshold ELSE observed <= threshold END AS passed
 FROM (
@@ -401,8 +401,8 @@ FROM (
   UNION ALL SELECT location_id, run_date, 'max_duplicate_percent', 'warning', 'duplicate_check',
     duplicate_percent, {d(K.MAX_DUPLICATE_PERCENT)} FROM F
   UNION ALL SELECT F.location_id, F.run_date, 'value_range', 'error', 'range_check',
-    CAST(IV._invalid AS DOUBLE), {d(0.0)} FROM F JOIN IV USING (location_id, run_date))""", "A")
-          .replace("\n, F AS", ",\nF AS", 1))
+    CAST(IV._invalid AS DOUBLE), {d(0.0)} FROM F JOIN IV USING (location_id, run_date))""", "A",
+          extra=[("F", FULL_SQL), ("IV", _INVALID_SQL)]))
 def q_quality_rules(spark, sf):
     return quality_rules(Stages(spark, sf).A())
 

@@ -217,10 +217,10 @@ _HCOLS = ["location_id", "date", "hour", "parameter"] + FACT_UPDATE
 _DCOLS = ["location_id", "date", "parameter"] + FACT_UPDATE
 
 
-@register("upsert_hourly", sql(f"""
-, T1 AS ({_stats_sql(_S1, ["location_id", "date", "hour", "parameter"])}),
-U1 AS ({_stats_sql(_S2, ["location_id", "date", "hour", "parameter"])})
-{_upsert_sql("T1", "U1", _HCOLS, HOURLY_KEYS, FACT_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
+@register("upsert_hourly", sql(
+    _upsert_sql("T1", "U1", _HCOLS, HOURLY_KEYS, FACT_UPDATE), "S",
+    extra=[("T1", _stats_sql(_S1, ["location_id", "date", "hour", "parameter"])),
+           ("U1", _stats_sql(_S2, ["location_id", "date", "hour", "parameter"]))]))
 def q_upsert_hourly(spark, sf):
     """First load written as a partitioned table, second load merged into the partitions it touches."""
     return _merge_fact(spark, sf, facts.hourly_fact, HOURLY_KEYS)
@@ -237,10 +237,10 @@ def _merge_fact(spark, sf, build, keys):
     return spark.read.parquet(path).drop("part_date")
 
 
-@register("upsert_daily", sql(f"""
-, T1 AS ({_stats_sql(_S1, ["location_id", "date", "parameter"])}),
-U1 AS ({_stats_sql(_S2, ["location_id", "date", "parameter"])})
-{_upsert_sql("T1", "U1", _DCOLS, DAILY_KEYS, FACT_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
+@register("upsert_daily", sql(
+    _upsert_sql("T1", "U1", _DCOLS, DAILY_KEYS, FACT_UPDATE), "S",
+    extra=[("T1", _stats_sql(_S1, ["location_id", "date", "parameter"])),
+           ("U1", _stats_sql(_S2, ["location_id", "date", "parameter"]))]))
 def q_upsert_daily(spark, sf):
     return _merge_fact(spark, sf, facts.daily_fact, DAILY_KEYS)
 
@@ -248,16 +248,17 @@ def q_upsert_daily(spark, sf):
 _LOC_COLS = ["location_id", "location_name", "city", "country", "latitude", "longitude"]
 
 
-@register("upsert_dim_location", sql(f"""
-, T1 AS (SELECT DISTINCT location_id, 'Location ' || location_id AS location_name, {q(K.DIM_CITY)} AS city,
-           {q(K.DIM_COUNTRY)} AS country, {d(21.0)} AS latitude, {d(105.8)} AS longitude
-         FROM {_S1} WHERE location_id IS NOT NULL),
-U0 AS (SELECT location_id, 'Station ' || location_id || ' r' || CAST(day(run_date) AS VARCHAR) AS location_name,
-         upper({q(K.DIM_CITY)}) AS city, {q(K.DIM_COUNTRY)} AS country, CAST(NULL AS DOUBLE) AS latitude,
-         CAST(NULL AS DOUBLE) AS longitude, run_date AS _seq FROM {_S2} WHERE location_id IS NOT NULL),
-U1 AS (SELECT * EXCLUDE (_rn, _seq) FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY _seq DESC) AS _rn
-         FROM U0) WHERE _rn = 1)
-{_upsert_sql("T1", "U1", _LOC_COLS, ["location_id"], LOCATION_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
+@register("upsert_dim_location", sql(
+    _upsert_sql("T1", "U1", _LOC_COLS, ["location_id"], LOCATION_UPDATE), "S",
+    extra=[("T1", f"""SELECT DISTINCT location_id, 'Location ' || location_id AS location_name,
+             {q(K.DIM_CITY)} AS city, {q(K.DIM_COUNTRY)} AS country, {d(21.0)} AS latitude,
+             {d(105.8)} AS longitude FROM {_S1} WHERE location_id IS NOT NULL"""),
+           ("U0", f"""SELECT location_id, 'Station ' || location_id || ' r' || CAST(day(run_date) AS VARCHAR)
+             AS location_name, upper({q(K.DIM_CITY)}) AS city, {q(K.DIM_COUNTRY)} AS country,
+             CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, run_date AS _seq
+             FROM {_S2} WHERE location_id IS NOT NULL"""),
+           ("U1", """SELECT * EXCLUDE (_rn, _seq) FROM (SELECT *, row_number() OVER (PARTITION BY location_id
+             ORDER BY _seq DESC) AS _rn FROM U0) WHERE _rn = 1""")]))
 def q_upsert_dim_location(spark, sf):
     a, b = _split_loads(Stages(spark, sf))
     target = (facts.dim_location(a).withColumn("latitude", F.lit(21.0)).withColumn("longitude", F.lit(105.8)))
@@ -271,13 +272,13 @@ def q_upsert_dim_location(spark, sf):
     return upsert(target, updates, ["location_id"], LOCATION_UPDATE, order=["_seq"])
 
 
-@register("upsert_dim_parameter", sql(f"""
-, T1 AS (SELECT DISTINCT parameter, upper(parameter) AS parameter_name, {q(K.TARGET_UNIT)} AS unit,
-           'desc ' || parameter AS description FROM {_S1} WHERE parameter IS NOT NULL),
-U1 AS (SELECT DISTINCT parameter, 'Param ' || upper(parameter) AS parameter_name, 'ug/m3' AS unit,
-           CAST(NULL AS VARCHAR) AS description FROM {_S2} WHERE parameter IS NOT NULL)
-{_upsert_sql("T1", "U1", ["parameter", "parameter_name", "unit", "description"], ["parameter"], PARAMETER_UPDATE)}""",
-                                      "S").replace("\n, T1 AS", ",\nT1 AS", 1))
+@register("upsert_dim_parameter", sql(
+    _upsert_sql("T1", "U1", ["parameter", "parameter_name", "unit", "description"], ["parameter"], PARAMETER_UPDATE),
+    "S",
+    extra=[("T1", f"""SELECT DISTINCT parameter, upper(parameter) AS parameter_name, {q(K.TARGET_UNIT)} AS unit,
+             'desc ' || parameter AS description FROM {_S1} WHERE parameter IS NOT NULL"""),
+           ("U1", f"""SELECT DISTINCT parameter, 'Param ' || upper(parameter) AS parameter_name, 'ug/m3' AS unit,
+             CAST(NULL AS VARCHAR) AS description FROM {_S2} WHERE parameter IS NOT NULL""")]))
 def q_upsert_dim_parameter(spark, sf):
     a, b = _split_loads(Stages(spark, sf))
     target = facts.dim_parameter(a).withColumn("description", F.concat(F.lit("desc "), F.col("parameter")))
@@ -293,11 +294,11 @@ FROM (SELECT DISTINCT run_date AS date FROM {src} WHERE run_date IS NOT NULL)"""
 _DT_COLS = ["date", "day", "month", "year", "day_of_week", "is_weekend", "quarter"]
 
 
-@register("upsert_dim_time", sql(f"""
-, T1 AS ({_DT_SQL.format(src=_S1)}),
-U1 AS (SELECT * REPLACE (upper(day_of_week) AS day_of_week, NOT is_weekend AS is_weekend, 0 AS quarter)
-       FROM ({_DT_SQL.format(src=_S2)}))
-{_upsert_sql("T1", "U1", _DT_COLS, ["date"], TIME_UPDATE)}""", "S").replace("\n, T1 AS", ",\nT1 AS", 1))
+@register("upsert_dim_time", sql(
+    _upsert_sql("T1", "U1", _DT_COLS, ["date"], TIME_UPDATE), "S",
+    extra=[("T1", _DT_SQL.format(src=_S1)),
+           ("U1", f"""SELECT * REPLACE (upper(day_of_week) AS day_of_week, NOT is_weekend AS is_weekend,
+             0 AS quarter) FROM ({_DT_SQL.format(src=_S2)})""")]))
 def q_upsert_dim_time(spark, sf):
     a, b = _split_loads(Stages(spark, sf))
     updates = (facts.dim_time(b).withColumn("day_of_week", F.upper("day_of_week"))

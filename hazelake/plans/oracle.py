@@ -228,7 +228,8 @@ cte("RF", ["RD", "AL"], """
 SELECT RD.*, AL.event_id IS NOT NULL AS alerted FROM RD LEFT JOIN AL USING (event_id)""")
 
 
-def sql(body: str, *names: str) -> str:
+def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """Prepend the named stage CTEs (in dependency order) and any query-local `extra` CTEs."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -240,9 +241,10 @@ def sql(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    if not order:
+    defs = [(n, CTES[n][1]) for n in order] + list(extra or [])
+    if not defs:
         return body.strip()
-    parts = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
+    parts = ",\n".join(f"{n} AS ({text.strip()})" for n, text in defs)
     return f"WITH {parts}\n{body.strip()}"
 
 
