@@ -9,6 +9,7 @@ from hazelake import constants as K
 from hazelake.functions.aqi import view_level
 from hazelake.functions.timeparse import dim_time_parts
 from hazelake.operators.quantiles import group_quantiles
+from hazelake.session import reusable
 
 HOURLY_KEYS = ["location_id", "date", "hour", "parameter"]
 DAILY_KEYS = ["location_id", "date", "parameter"]
@@ -16,7 +17,8 @@ STAT_COLS = ["value_min", "value_max", "value_avg", "value_median", "value_count
 
 
 def _stats(silver: DataFrame, keys: list[str], value="value", median=True) -> DataFrame:
-    base = silver
+    # read twice (algebraic statistics and the median): materialise unless it already is a table
+    base = reusable(silver, "fact-input") if median else silver
     for k in keys:  # pandas groupby drops NULL keys
         base = base.where(F.col(k).isNotNull())
     v = F.col(value)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazelake import constants as K
 from hazelake.operators.quantiles import group_quantiles
+from hazelake.session import reusable
 
 RUN_KEYS = ["location_id", "run_date"]
 
@@ -23,6 +24,7 @@ def remove_outliers_iqr(df: DataFrame, keys=RUN_KEYS, value="value",
                         min_rows=K.IQR_MIN_ROWS, multiplier=K.IQR_MULTIPLIER) -> DataFrame:
     """C11: per run (location, run date), only when the run has more than `min_rows` rows,
     keep Q1 - m*IQR <= value <= Q3 + m*IQR (quartiles over all parameters of the run)."""
+    df = reusable(df, "iqr-input")        # read for the quartiles and again for the filter
     b = iqr_bounds(df, list(keys), value, multiplier)
     v = F.col(value)
     j = df.join(b, list(keys), "left")

@@ -63,7 +63,10 @@ class Stages:
         return parse_datetime(self.N())
 
     def V(self) -> DataFrame:
-        return self._once("V", lambda: validate_ranges(self.T()))
+        # lazy: operators that read it twice materialise it themselves (session.reusable)
+        if "V" not in self._memo:
+            self._memo["V"] = validate_ranges(self.T())
+        return self._memo["V"]
 
     def I(self) -> DataFrame:
         return remove_outliers_iqr(self.V(), RUN_KEYS)

@@ -77,4 +77,14 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._hz_materialized = True
+    return out
+
+
+def reusable(df, name: str = "stage"):
+    """For operators that read their input twice: materialise it unless it already is a
+    materialised table (then both reads are plain scans)."""
+    if getattr(df, "_hz_materialized", False):
+        return df
+    return materialize(df, name)
