@@ -82,9 +82,23 @@ def materialize(df, name: str = "stage"):
     return out
 
 
+_COSTLY = ("Aggregate", "Join", "Window", "Repartition", "Rebalance", "Sort", "Deduplicate", "Distinct",
+           "Expand", "Generate", "MapInPandas", "FlatMapGroups", "Sample", "LocalLimit", "CollectMetrics")
+
+
+def _costly(df) -> bool:
+    """True when recomputing `df` needs more than scans, filters and projections."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-!").split(" ")[0]
+        if any(node.startswith(c) for c in _COSTLY):
+            return True
+    return False
+
+
 def reusable(df, name: str = "stage"):
-    """For operators that read their input twice: materialise it unless it already is a
-    materialised table (then both reads are plain scans)."""
-    if getattr(df, "_hz_materialized", False):
+    """For operators that read their input twice: materialise it unless re-reading is already
+    cheap (a materialised table, or only scans/filters/projections over stored files)."""
+    if getattr(df, "_hz_materialized", False) or not _costly(df):
         return df
     return materialize(df, name)
