@@ -43,9 +43,9 @@ def kafka_metadata(msgs: DataFrame, partition="_partition", offset="_offset",
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"   # keep microseconds through JSON
 
 
-def land_messages(msgs: DataFrame, path: str) -> None:
-    """Land fixture messages as JSON lines (the stand-in for a topic)."""
-    msgs.write.mode("overwrite").option("timestampFormat", TS_FORMAT).json(path)
+def land_messages(msgs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Land fixture messages as JSON lines (the stand-in for a topic); `append` adds new files."""
+    msgs.write.mode(mode).option("timestampFormat", TS_FORMAT).json(path)
 
 
 def read_message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
