@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app: str = "hazelake",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -102,3 +103,30 @@ def reusable(df, name: str = "stage"):
     if getattr(df, "_hz_materialized", False) or not _costly(df):
         return df
     return materialize(df, name)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `hazelake` importable in executor Python workers (needed where a Python function
+    runs inside tasks, e.g. the stateful alert step): zip the package once per SparkContext
+    and distribute it with `addPyFile`."""
+    import zipfile
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a SparkContext handle ship code differently)
+        return
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="hazelake-pkg-"), "hazelake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))

@@ -66,6 +66,9 @@ def alert_once_per_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -
                .withColumn("alerted", F.coalesce(F.col("_first"), F.lit(False))))
         return out.select(*[c.split()[0] for c in OUT_SCHEMA.split(", ")])
 
+    from hazelake.session import ship_package
+    ship_package(readings.sparkSession)   # the state function runs in executor Python workers
+
     def fn(key, pdfs, state):
         return _decide(key, pdfs, state, thr)
 
