@@ -111,4 +111,4 @@ def gold_aqi_summary(daily: DataFrame, dim_loc: DataFrame, dim_t: DataFrame) ->
         F.col("d.value_min").alias("daily_min"), F.col("d.value_count").alias("measurement_count"),
         F.col("l.location_name").alias("location_name"), F.col("l.city").alias("city"),
         F.col("t.day_of_week").alias("day_of_week"), F.col("t.is_weekend").alias("is_weekend"),
-        view_level(F.col("d.parameter"), F.col("d.value_avg")).alias("aqi_level"))
+        view_level(F.col("d.parameter"), F.col("d.value_avg")).alias("aqi_level")).orderBy(F.col("date").desc())

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hazelake.plans import pipeline
-from hazelake.session import build_session, materialize
+from hazelake.session import apply_scale_conf, build_session, input_size, materialize
 from hazelake.sources import bronze, sinks
 
 
@@ -30,6 +30,7 @@ def date_glob(start: dt.date | None, end: dt.date | None) -> str:
 def run_batch(spark: SparkSession, bronze_base: str, out_base: str,
               start: dt.date | None = None, end: dt.date | None = None) -> dict[str, str]:
     out = out_base.rstrip("/")
+    apply_scale_conf(spark, input_size(spark, bronze_base))
     raw = bronze.read_bronze(spark, bronze_base, glob=date_glob(start, end))
     # lineage for "keep first": file path, then position inside the file
     raw = (raw.withColumn("location_id", F.coalesce(F.col("location_id"), F.col("path_location_id")))

@@ -130,3 +130,46 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
     _SHIPPED.add(id(sc))
+
+
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Settings sized from the input: shuffle partitions so each holds ~256 MB before AQE
+    coalescing, the same split size for file scans, skew thresholds at a few partition sizes,
+    and a broadcast limit that only dimension-sized tables meet. At 100 TB this gives
+    ~400k initial shuffle partitions, which AQE coalesces to the real post-filter volume."""
+    parts = max(8, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(min(parts, 100_000)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Set the sized values for keys the cluster left at their defaults; returns what was set."""
+    applied = {}
+    for k, v in scale_conf(input_bytes).items():
+        explicit = spark.sparkContext.getConf().contains(k) if hasattr(spark, "sparkContext") else False
+        if not explicit:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, from the file system listing (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

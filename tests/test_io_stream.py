@@ -76,3 +76,15 @@ def test_streaming_jobs_resume_without_realerting(spark):
     arch_out, arch_ck = scratch_path(spark, "job-arch"), scratch_path(spark, "job-arch-ck")
     jobs.start_archive(spark, jobs.message_source(spark, "json", src), arch_out, arch_ck).awaitTermination()
     assert spark.read.json(arch_out).count() == m.count()
+
+
+def test_scale_conf_and_text_recipients(spark):
+    from hazelake.session import scale_conf
+    from hazelake.sources import recipients
+    conf = scale_conf(100 * 1024 ** 4)
+    assert int(conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 409600
+    path = scratch_path(spark, "rcpt-txt")
+    spark.createDataFrame([("# team list",), ("a@x.vn, b@y.vn",), ("bad", ), ("a@x.vn",)], "value string") \
+         .coalesce(1).write.text(path)
+    got = recipients.clean_recipients(recipients.read_recipients_text(spark, path))
+    assert sorted(r.email for r in got.collect()) == ["a@x.vn", "b@y.vn"]
