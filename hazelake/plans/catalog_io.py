@@ -308,7 +308,7 @@ def q_upsert_dim_time(spark, sf):
 
 def _key_sql(name: str, src: str, keys: list[str]) -> str:
     anynull = " OR ".join(f"{k} IS NULL" for k in keys)
-    return f"""SELECT '{name}' AS table_name, sum(_c) AS rows,
+    return f"""SELECT '{name}' AS table_name, CAST(sum(_c) AS BIGINT) AS rows,
   CAST(sum(CASE WHEN _c > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
   CAST(sum(CASE WHEN _nk THEN _c ELSE 0 END) AS BIGINT) AS null_keys
 FROM (SELECT {", ".join(keys)}, count(*) AS _c, bool_or({anynull}) AS _nk FROM {src} GROUP BY {", ".join(keys)})"""
@@ -355,7 +355,7 @@ def _raw_spark():
 
 _RECIPIENTS_SQL = f"""
 SELECT email, first(pos ORDER BY pos, part) AS pos, first(part ORDER BY pos, part) AS part FROM (
-  SELECT pos, i - 1 AS part, trim(parts[i]) AS email FROM (
+  SELECT pos, CAST(i - 1 AS INTEGER) AS part, trim(parts[i]) AS email FROM (
     SELECT pos, parts, unnest(generate_series(1, len(parts))) AS i FROM (
       SELECT c_custkey AS pos, string_split({_RAW_SQL}, ',') AS parts FROM customer)))
 WHERE email <> '' AND regexp_matches(email, '{X.EMAIL_PATTERN}')
