@@ -56,7 +56,7 @@ def quality_gate(df: DataFrame, report: DataFrame | None = None, keys=RUN_KEYS)
 
 def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
                         max_null_percent=K.MAX_NULL_PERCENT,
-                        max_duplicate_percent=K.MAX_DUPLICATE_PERCENT) -> DataFrame:
+                        max_duplicate_percent=K.MAX_DUPLICATE_PERCENT, extra_aggs=()) -> DataFrame:
     """+ full-row duplicates (count - distinct rows), per-column NULL counts, issue texts."""
     cols = data_columns(df, keys)
     ncols = len(cols)
@@ -64,7 +64,7 @@ def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
     rep = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct(F.struct(*cols)).alias("_distinct"),
-        *per_col)
+        *per_col, *extra_aggs)
     null_count = None
     for c in cols:
         null_count = F.col(f"nulls_{c}") if null_count is None else null_count + F.col(f"nulls_{c}")
@@ -95,10 +95,9 @@ RULES = [
 
 def quality_rules(df: DataFrame, keys=RUN_KEYS, parameter="parameter", value="value") -> DataFrame:
     """One row per (run, rule): observed value, threshold, passed."""
-    full = quality_report_full(df, keys)
-    invalid = df.groupBy(*keys).agg(
-        F.sum((~is_value_valid(parameter, value)).cast("long")).alias("_invalid"))
-    j = full.join(invalid, list(keys))
+    # one grouped pass: the invalid-value count rides along with the full report
+    j = quality_report_full(df, keys, extra_aggs=[
+        F.sum((~is_value_valid(parameter, value)).cast("long")).alias("_invalid")])
     observed = {"count_check": F.col("total_records").cast("double"),
                 "null_check": F.col("null_percent"),
                 "duplicate_check": F.col("duplicate_percent"),

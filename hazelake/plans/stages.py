@@ -15,7 +15,7 @@ from hazelake.operators.outliers import remove_outliers_iqr
 from hazelake.operators.quality import quality_gate, quality_report
 from hazelake.operators.validate import validate_ranges
 from hazelake.plans.pipeline import add_pm25_aqi, nan_to_null
-from hazelake.session import materialize, utc
+from hazelake.session import materialize, reusable, utc
 from hazelake.sources import fixtures
 from hazelake.sources.listing import bronze_keys
 from hazelake.streaming.readings import message_to_readings
@@ -72,14 +72,18 @@ class Stages:
         return remove_outliers_iqr(self.V(), RUN_KEYS)
 
     def A(self) -> DataFrame:
-        return self._once("A", lambda: add_pm25_aqi(self.I()))
+        if "A" not in self._memo:
+            self._memo["A"] = add_pm25_aqi(self.I())
+        return self._memo["A"]
 
     def QR(self) -> DataFrame:
         return quality_report(self.A(), RUN_KEYS)
 
     def S(self) -> DataFrame:
-        a = self.A()
-        return self._once("S", lambda: quality_gate(a, quality_report(a, RUN_KEYS), RUN_KEYS))
+        def build():
+            a = reusable(self.A(), "cleaned")   # read by the report and by the gate
+            return quality_gate(a, quality_report(a, RUN_KEYS), RUN_KEYS)
+        return self._once("S", build)
 
     def HF(self) -> DataFrame:
         return round6(facts.hourly_fact(self.V()))
