@@ -121,12 +121,10 @@ def aqi_pm10_color(v) -> Column:
 def add_aqi_columns(df: DataFrame, parameter="parameter", value="value") -> DataFrame:
     p = F.lower(F.col(parameter))
     v = F.col(value)
-    return (df.withColumn("aqi", F.when(p == "pm25", aqi_pm25_helper(v))
-                          .when(p == "pm10", aqi_pm10(v)))
-              .withColumn("aqi_level", F.when(p == "pm25", aqi_pm25_helper_level(v))
-                          .when(p == "pm10", aqi_pm10_level(v)))
-              .withColumn("aqi_color", F.when(p == "pm25", aqi_pm25_helper_color(v))
-                          .when(p == "pm10", aqi_pm10_color(v))))
+    return df.withColumns({
+        "aqi": F.when(p == "pm25", aqi_pm25_helper(v)).when(p == "pm10", aqi_pm10(v)),
+        "aqi_level": F.when(p == "pm25", aqi_pm25_helper_level(v)).when(p == "pm10", aqi_pm10_level(v)),
+        "aqi_color": F.when(p == "pm25", aqi_pm25_helper_color(v)).when(p == "pm10", aqi_pm10_color(v))})
 
 
 # Q8: level ladder over an AQI value (labels selectable)

@@ -39,21 +39,15 @@ def parse_api_ts(text) -> Column:
 def add_date_parts(df: DataFrame, ts="datetime", with_names=False) -> DataFrame:
     """C6 parts (date, hour, day_of_week Mon=0); C7 adds day_name and is_weekend."""
     t = F.col(ts)
-    out = (df.withColumn("date", F.to_date(t))
-             .withColumn("hour", F.hour(t).cast("int"))
-             .withColumn("day_of_week", F.weekday(t).cast("int")))
+    parts = {"date": F.to_date(t), "hour": F.hour(t).cast("int"), "day_of_week": F.weekday(t).cast("int")}
     if with_names:
-        out = (out.withColumn("day_name", F.date_format(t, "EEEE"))
-                  .withColumn("is_weekend", F.col("day_of_week") >= 5))
-    return out
+        parts.update({"day_name": F.date_format(t, "EEEE"), "is_weekend": F.weekday(t) >= 5})
+    return df.withColumns(parts)
 
 
 def parse_datetime(df: DataFrame, strict: bool = False) -> DataFrame:
     """Parse every present datetime alias to UTC and add date parts from `datetime`."""
-    out = df
-    for c in DATETIME_ALIASES:
-        if c in out.columns:
-            out = out.withColumn(c, parse_utc(c))
+    out = df.withColumns({c: parse_utc(c) for c in DATETIME_ALIASES if c in df.columns})
     if "datetime" in out.columns:
         out = add_date_parts(out, "datetime")
     if strict:

@@ -31,10 +31,8 @@ def normalize_units(df: DataFrame, parameter="parameter", value="value", unit="u
         v = F.when(cond, F.col(value) * F.lit(factor)) if v is None else v.when(cond, F.col(value) * F.lit(factor))
     v = v.otherwise(F.col(value))
     hit = any_of([c for c, _ in rules])
-    return (df.withColumn("_unit_hit", hit)
-              .withColumn(value, v)
-              .withColumn(unit, F.when(F.col("_unit_hit"), F.lit(K.TARGET_UNIT)).otherwise(F.col(unit)))
-              .drop("_unit_hit"))
+    # one projection: both new columns are computed from the input row
+    return df.withColumns({value: v, unit: F.when(hit, F.lit(K.TARGET_UNIT)).otherwise(F.col(unit))})
 
 
 def normalize_units_lenient(df: DataFrame, parameter="parameter", value="value", unit="unit") -> DataFrame:
@@ -51,10 +49,8 @@ def normalize_units_lenient(df: DataFrame, parameter="parameter", value="value",
         ppb_hit = ppb_hit | (ppb & F.coalesce(p == gas, F.lit(False)))
     factor = factor.when(mg, F.lit(float(K.HELPER_MG_FACTOR)))
     converted = ppm | ppb_hit | mg
-    return (df.withColumn("_conv", converted).withColumn("_f", factor)
-              .withColumn(value, F.when(F.col("_conv"), val * F.col("_f")).otherwise(val))
-              .withColumn(unit, F.when(F.col("_conv"), F.lit(K.TARGET_UNIT)).otherwise(F.col(unit)))
-              .drop("_conv", "_f"))
+    return df.withColumns({value: F.when(converted, val * factor).otherwise(val),
+                           unit: F.when(converted, F.lit(K.TARGET_UNIT)).otherwise(F.col(unit))})
 
 
 def _factor_map() -> Column:

@@ -38,14 +38,15 @@ def quality_report(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
                                 F.sum(_null_sum(cols)).alias("null_count"))
     pct = F.round(F.col("null_count") / (F.col("total_records") * F.lit(ncols)) * 100, 2)
     too_few = F.col("total_records") < min_records
-    too_null = F.col("null_percent") > max_null_percent
-    return (rep.withColumn("null_percent", pct)
-               .withColumn("passed", ~too_few & ~too_null)
-               .withColumn("issues", F.concat_ws("; ",
-                   F.when(too_few, F.concat(F.lit("Too few records: "), F.col("total_records"),
-                                            F.lit(f" < {min_records}"))),
-                   F.when(too_null, F.concat(F.lit("Too many nulls: "), F.col("null_percent"),
-                                             F.lit(f"% > {max_null_percent}%"))))))
+    too_null = pct > max_null_percent
+    return rep.withColumns({
+        "null_percent": pct,
+        "passed": ~too_few & ~too_null,
+        "issues": F.concat_ws("; ",
+                              F.when(too_few, F.concat(F.lit("Too few records: "), F.col("total_records"),
+                                                       F.lit(f" < {min_records}"))),
+                              F.when(too_null, F.concat(F.lit("Too many nulls: "), pct,
+                                                        F.lit(f"% > {max_null_percent}%"))))})
 
 
 def quality_gate(df: DataFrame, report: DataFrame | None = None, keys=RUN_KEYS) -> DataFrame:

@@ -433,7 +433,7 @@ def q_daily_fact(spark, sf):
 
 def _all_sql(keys: str) -> str:
     return f"""
-SELECT {keys}, min(value) AS value_min, max(value) AS value_max, round(avg(value), 6) AS value_avg,
+SELECT {keys}, min(value) AS value_min, max(value) AS value_max, {O.exact_avg()} AS value_avg,
   round(median(value), 6) AS value_median, count(value) AS value_count
 FROM (SELECT location_id, value, CAST(substr(datetime, 1, 10) AS DATE) AS date,
         TRY_CAST(substr(datetime, 12, 2) AS INTEGER) AS hour FROM N)

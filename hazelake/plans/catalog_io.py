@@ -18,7 +18,7 @@ from hazelake.operators.rowindex import batches
 from hazelake.operators.upsert import (DAILY_KEYS, FACT_UPDATE, HOURLY_KEYS, LOCATION_UPDATE, PARAMETER_UPDATE,
                                        TIME_UPDATE, key_check, upsert)
 from hazelake.plans.catalog import register
-from hazelake.plans.oracle import d, q, sql
+from hazelake.plans.oracle import d, exact_avg, q, sql
 from hazelake.plans.stages import Stages, ntz, round6
 from hazelake.session import scratch_path
 from hazelake.sources import bronze, listing, recipients, sinks
@@ -194,7 +194,7 @@ def _split_loads(s: Stages):
 
 def _stats_sql(src: str, keys: list[str]) -> str:
     k = ", ".join(keys)
-    return f"""SELECT {k}, min(value) AS value_min, max(value) AS value_max, round(avg(value), 6) AS value_avg,
+    return f"""SELECT {k}, min(value) AS value_min, max(value) AS value_max, {exact_avg()} AS value_avg,
   round(median(value), 6) AS value_median, count(value) AS value_count, round(stddev_samp(value), 6) AS value_std
 FROM {src} WHERE {" AND ".join(c + " IS NOT NULL" for c in keys)} GROUP BY {k}"""
 
@@ -526,9 +526,9 @@ def q_kafka_records(spark, sf):
                            "m.ingest_ts"))
 
 
-@register("hourly_stream", sql("""
+@register("hourly_stream", sql(f"""
 SELECT location_id, parameter, date_trunc('hour', measurement_time) AS window_start, min(value) AS value_min,
-  max(value) AS value_max, round(avg(value), 6) AS value_avg, count(value) AS value_count
+  max(value) AS value_max, {exact_avg()} AS value_avg, count(value) AS value_count
 FROM RD GROUP BY ALL""", "RD"))
 def q_hourly_stream(spark, sf):
     """Streaming twin of the hourly fact: 1-hour tumbling windows with a watermark."""

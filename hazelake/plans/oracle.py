@@ -97,6 +97,16 @@ def r6(x: str) -> str:
     return f"round({x}, 6)"
 
 
+def exact_avg(v: str = "value", scale: int = 6, in_scale: int = 9) -> str:
+    """Mean from an exact DECIMAL sum, rounded half away from zero with integer arithmetic."""
+    unit = 10 ** (in_scale - scale)
+    si = f"CAST(sum(CAST({v} AS DECIMAL(38,{in_scale}))) * {10 ** in_scale} AS HUGEINT)"
+    n = f"count({v})"
+    q = f"((abs({si}) * 2 + {n} * {unit}) // ({n} * {2 * unit}))"
+    return (f"CASE WHEN {n} = 0 THEN NULL WHEN {si} < 0 THEN -{q} ELSE {q} END "
+            f"/ CAST({10 ** scale} AS DOUBLE)")
+
+
 # ----------------------------------------------------------------- stage CTEs
 _PM25 = "lower(parameter) = 'pm25'"
 _U_VAL, _U_UNIT = pipeline_units()
@@ -179,7 +189,7 @@ def _stats_sql(src: str, keys: list[str]) -> str:
     k = ", ".join(keys)
     nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
     return f"""
-SELECT {k}, min(value) AS value_min, max(value) AS value_max, {r6('avg(value)')} AS value_avg,
+SELECT {k}, min(value) AS value_min, max(value) AS value_max, {exact_avg()} AS value_avg,
   {r6('median(value)')} AS value_median, count(value) AS value_count,
   {r6('stddev_samp(value)')} AS value_std
 FROM {src} WHERE {nn} GROUP BY {k}"""

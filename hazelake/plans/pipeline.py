@@ -28,18 +28,14 @@ RUN_KEYS = ["location_id", "run_date"]
 
 def nan_to_null(df: DataFrame, cols=("value",)) -> DataFrame:
     """NaN -> NULL once at the scan, so every later test sees one kind of missing."""
-    out = df
-    for c in cols:
-        if c in out.columns:
-            out = out.withColumn(c, F.when(~F.isnan(F.col(c)), F.col(c)))
-    return out
+    return df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in cols if c in df.columns})
 
 
 def add_pm25_aqi(df: DataFrame, parameter="parameter", value="value") -> DataFrame:
     """Q1 on rows whose lower-cased parameter is pm25; other rows get NULL."""
     is_pm25 = ci_equals(parameter, "pm25")
-    return (df.withColumn("aqi", F.when(is_pm25, Q.aqi_pm25(value)))
-              .withColumn("aqi_level", F.when(is_pm25, Q.aqi_pm25_level(value))))
+    return df.withColumns({"aqi": F.when(is_pm25, Q.aqi_pm25(value)),
+                           "aqi_level": F.when(is_pm25, Q.aqi_pm25_level(value))})
 
 
 def cleaned(bronze: DataFrame) -> DataFrame:

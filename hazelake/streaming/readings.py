@@ -14,6 +14,7 @@ from hazelake import constants as K
 from hazelake import schemas
 from hazelake.functions.text import falsy_coalesce
 from hazelake.functions.timeparse import parse_utc_chain, partition_keys
+from hazelake.operators.facts import exact_sum, rounded_mean
 
 
 def message_to_readings(msgs: DataFrame) -> DataFrame:
@@ -93,9 +94,10 @@ def hourly_window(readings: DataFrame, watermark="2 hours") -> DataFrame:
     return (readings.withWatermark("measurement_time", watermark)
                     .groupBy("location_id", "parameter", F.window("measurement_time", "1 hour").alias("w"))
                     .agg(F.min("value").alias("value_min"), F.max("value").alias("value_max"),
-                         F.avg("value").alias("value_avg"), F.count("value").alias("value_count"))
+                         exact_sum(F.col("value")).alias("_sum"), F.count("value").alias("value_count"))
                     .select("location_id", "parameter", F.col("w.start").alias("window_start"),
-                            "value_min", "value_max", "value_avg", "value_count"))
+                            "value_min", "value_max", rounded_mean("_sum", "value_count").alias("value_avg"),
+                            "value_count"))
 
 
 def to_kafka_records(msgs: DataFrame, key="location_id") -> DataFrame:
