@@ -78,3 +78,16 @@ def test_is_value_valid(spark):
     df = spark.createDataFrame([("PM2.5", 1001.0), ("temperature", -10.0), ("xyz", -1.0), ("pm25", None)],
                                "p string, v double")
     assert [r.ok for r in df.select(is_value_valid("p", "v").alias("ok")).collect()] == [False, True, False, False]
+
+
+def test_dedupe_hot_key_combines_before_shuffle(spark):
+    hot = [("1", "t", "pm25", "u", float(i), "a", i) for i in range(3000)]          # one key, 1/3 of rows
+    rest = [(str(i % 50), f"t{i}", "pm10", "u", 1.0, "a", 10_000 + i) for i in range(6000)]
+    df = spark.createDataFrame(hot + rest, BRONZE).repartition(8)
+    out = dedupe(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange hashpartitioning")[-1]
+    assert "partial_min_by" in before_shuffle
+    got = out.where("location_id = '1' AND datetime = 't'").collect()
+    assert len(got) == 1 and got[0]._ord == 0 and got[0].value == 0.0
+    assert out.count() == 1 + 6000
