@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hazelake import constants as K
 from hazelake.functions.aqi import band
+from hazelake.session import reusable
 
 SERIES_PARAMETERS = ["pm25", "pm10", "co", "no2", "o3", "so2"]
 
@@ -20,7 +21,9 @@ def as_of(df: DataFrame, ts="measurement_time") -> Column:
 
 
 def within(df: DataFrame, ts: str, hours: int, now: Column | None = None) -> DataFrame:
-    now = now if now is not None else as_of(df, ts)
+    if now is None:
+        df = reusable(df, "serve-input")   # read by the as-of subquery and by the filter
+        now = as_of(df, ts)
     return df.where(F.col(ts) > now - F.make_interval(hours=F.lit(hours)))
 
 
