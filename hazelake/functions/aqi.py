@@ -206,12 +206,11 @@ def threshold_flags(parameter, avg, aqi_col=None) -> list[Column]:
     p, a = F.lower(_col(parameter)), _col(avg)
     t = K.ALERT_THRESHOLDS
     cols = [
-        F.when(p == "pm25", a > t["pm25_who_guideline"]).alias("over_who"),
+        F.when(p == "pm25", a > t["pm25_who_guideline"])
+         .when(p == "pm10", a > t["pm10_who_guideline"]).alias("over_who"),
         F.when(p == "pm25", a > t["pm25_vn_standard"])
          .when(p == "pm10", a > t["pm10_vn_standard"]).alias("over_national"),
     ]
-    cols[0] = F.when(p == "pm25", a > t["pm25_who_guideline"]) \
-               .when(p == "pm10", a > t["pm10_who_guideline"]).alias("over_who")
     if aqi_col is not None:
         q = _col(aqi_col)
         cols += [(q > t["aqi_unhealthy"]).alias("aqi_unhealthy"),

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazelake import constants as K
-from hazelake.functions.aqi import band
+from hazelake.functions.aqi import band, threshold_flags
 from hazelake.session import reusable
 
 SERIES_PARAMETERS = ["pm25", "pm10", "co", "no2", "o3", "so2"]
@@ -82,11 +81,9 @@ def union_files(frames: list[DataFrame]) -> DataFrame:
 
 def guideline_exceedance(daily: DataFrame) -> DataFrame:
     """Q11: share of days over the WHO and national daily limits, per station and pollutant."""
-    t = K.ALERT_THRESHOLDS
-    p, a = F.col("parameter"), F.col("value_avg")
-    who = F.when(p == "pm25", a > t["pm25_who_guideline"]).when(p == "pm10", a > t["pm10_who_guideline"])
-    nat = F.when(p == "pm25", a > t["pm25_vn_standard"]).when(p == "pm10", a > t["pm10_vn_standard"])
-    d = daily.where(p.isin("pm25", "pm10"))
+    p = F.col("parameter")
+    d = daily.where(p.isin("pm25", "pm10")).select("*", *threshold_flags("parameter", "value_avg"))
+    who, nat = F.col("over_who"), F.col("over_national")
     return d.groupBy("location_id", "parameter").agg(
         F.count(F.lit(1)).alias("days"),
         F.sum(who.cast("int")).cast("long").alias("days_over_who"),
