@@ -28,6 +28,16 @@ def _chunks(df: DataFrame, chunks: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def ranked_values(src: DataFrame, keys: list[str], value: str, n_chunks: int) -> DataFrame:
+    """Steps 1–3: distinct (keys, value) with copy counts `_c`, the range chunk `_chunk` they
+    landed in, and the running copy count `_cum` inside that chunk (in (keys, value) order)."""
+    vc = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = vc.repartitionByRange(n_chunks, *keys, value).withColumn("_chunk", F.spark_partition_id())
+    w = (Window.partitionBy("_chunk").orderBy(*keys, value)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return ranged.withColumn("_cum", F.sum("_c").over(w))
+
+
 def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                     chunks: int | None = None, with_count: bool = True,
                     materialize_ranks: bool = True) -> DataFrame:
@@ -43,12 +53,7 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     for k in keys:
         src = src.where(F.col(k).isNotNull())
 
-    vc = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    n_chunks = _chunks(df, chunks)
-    ranged = vc.repartitionByRange(n_chunks, *keys, value).withColumn("_chunk", F.spark_partition_id())
-    w = (Window.partitionBy("_chunk").orderBy(*keys, value)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranged = ranged.withColumn("_cum", F.sum("_c").over(w))
+    ranged = ranked_values(src, keys, value, _chunks(df, chunks))
     if materialize_ranks:
         # read three times below: materialise once instead of recomputing the upstream plan
         ranged = materialize(ranged)

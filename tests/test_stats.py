@@ -52,3 +52,14 @@ def test_batches(spark):
     assert [r["count"] for r in out] == [50, 50, 20]
     idx = sorted(r.idx for r in batches(df, ["pos"], 50).collect())
     assert idx == list(range(120))
+
+
+def test_hot_group_spans_many_chunks(spark):
+    from hazelake.operators.quantiles import ranked_values
+    rows = [("hot", float(i)) for i in range(4000)] + [(f"g{i % 20}", float(i)) for i in range(8000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    r = ranked_values(df, ["k"], "v", 8)
+    per_chunk = {row._chunk: row.n for row in r.where("k = 'hot'").groupBy("_chunk").count()
+                 .withColumnRenamed("count", "n").collect()}
+    assert len(per_chunk) >= 2                      # the hot group is split across tasks
+    assert max(per_chunk.values()) < 4000           # no single task holds all of it
