@@ -771,3 +771,13 @@ def q_sql_functions(spark, sf):
         SELECT _file, _ord, value, hz_aqi_pm25(value) AS aqi, hz_aqi_level_pm25(value) AS aqi_level,
                hz_aqi_category(hz_aqi_pm25(value)) AS category
         FROM {view} WHERE lower(parameter) = 'pm25'""")
+
+
+@register("stream_sample_ids", sql("""
+SELECT DISTINCT location_id, contains(location_id, '1') AS matches FROM (
+  SELECT CAST(user_id % 5 AS VARCHAR) AS location_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 20)"""))
+def q_stream_sample_ids(spark, sf):
+    """Distinct station ids among the newest 20 messages, and whether an id matches."""
+    m = Stages(spark, sf).M()
+    newest = m.orderBy(F.col("ingest_ts").desc(), F.col("event_id").desc()).limit(20)
+    return newest.select("location_id").distinct().withColumn("matches", F.col("location_id").contains("1"))
