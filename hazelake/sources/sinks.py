@@ -72,6 +72,8 @@ def merge_partitioned(spark, path: str, updates: DataFrame, keys: list[str], upd
     result under `scratch`, and overwrite just those partitions. Untouched partitions are never
     read or rewritten, so the cost follows the size of the update, not of the table."""
     from hazelake.operators.upsert import upsert
+    from hazelake.session import reusable
+    updates = reusable(updates, "merge-updates")   # read for the touched partitions and the merge
     target = spark.read.parquet(path)
     touched = updates.select(*partition_cols).distinct()
     current = target.join(touched, partition_cols, "left_semi")
