@@ -65,18 +65,39 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("overwrite").partitionBy("execution_date").json(path)
 
 
+MAX_LISTED_PARTITIONS = 1000
+
+
+def _touched_partitions(target: DataFrame, updates: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows of `target` in the partitions `updates` touches. The touched partition values are a
+    short list (days of one load), fetched with a bound and turned into a static partition
+    filter, so untouched partition folders are never listed or read. Beyond the bound the
+    left-semi join does the same without the list."""
+    from functools import reduce
+    touched = updates.select(*partition_cols).distinct()
+    vals = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(vals) > MAX_LISTED_PARTITIONS:
+        return target.join(touched, partition_cols, "left_semi")
+    if not vals:
+        return target.limit(0)
+    if len(partition_cols) == 1:
+        c = partition_cols[0]
+        return target.where(F.col(c).isin([str(r[0]) for r in vals]))
+    conds = [reduce(lambda a, b: a & b, [F.col(c) == str(r[c]) for c in partition_cols]) for r in vals]
+    return target.where(reduce(lambda a, b: a | b, conds))
+
+
 def merge_partitioned(spark, path: str, updates: DataFrame, keys: list[str], update_cols: list[str],
                       partition_cols: list[str], scratch: str) -> None:
-    """K9 on a partitioned table: read only the partitions the updates touch (a left-semi join on
-    the partition columns lets dynamic partition pruning skip the rest), merge by key, stage the
-    result under `scratch`, and overwrite just those partitions. Untouched partitions are never
-    read or rewritten, so the cost follows the size of the update, not of the table."""
+    """K9 on a partitioned table: read only the partitions the updates touch (static partition
+    filter, see `_touched_partitions`), merge by key, stage the result under `scratch`, and
+    overwrite just those partitions. Untouched partitions are never read or rewritten, so the
+    cost follows the size of the update, not of the table."""
     from hazelake.operators.upsert import upsert
     from hazelake.session import reusable
     updates = reusable(updates, "merge-updates")   # read for the touched partitions and the merge
     target = spark.read.parquet(path)
-    touched = updates.select(*partition_cols).distinct()
-    current = target.join(touched, partition_cols, "left_semi")
+    current = _touched_partitions(target, updates, partition_cols)
     merged = upsert(current.select(*updates.columns), updates, keys, update_cols)
     merged.write.mode("overwrite").parquet(scratch)            # cut the read/write cycle on `path`
     write_partitioned(spark.read.parquet(scratch), path, partition_cols)
