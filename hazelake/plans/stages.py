@@ -122,4 +122,6 @@ class Stages:
         return flag_readings(self.RD())
 
     def L(self) -> DataFrame:
-        return bronze_keys(self.R())
+        # a listing is a stored column of paths; materialising the fixture keeps the long key
+        # expression from being inlined into every parsing expression downstream
+        return self._once("L", lambda: bronze_keys(self.R()))

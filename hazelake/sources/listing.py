@@ -47,23 +47,29 @@ def parse_file_name(name) -> list[Column]:
             F.substring(d, 5, 2).alias("month"), F.substring(d, 7, 2).alias("day")]
 
 
-def _part(key: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(key, rf"(?:^|/){name}=([^/]+)", 1), F.lit(""))
+def _segment(segs, name: str):
+    """Value of the first `name=value` path segment, NULL when there is none."""
+    hit = F.get(F.filter(segs, lambda x: x.startswith(f"{name}=")), 0)
+    return F.when(hit.isNotNull(), F.substring_index(hit, "=", -1))
 
 
 def resolve_layout(keys: DataFrame, key="key") -> DataFrame:
-    """year/month/day/locationid from path parts, file-name date as the fallback."""
+    """year/month/day/locationid from `name=value` path segments (the path is split once),
+    with the date in the file name as the fallback."""
     k = F.col(key)
-    fn = parse_file_name(file_name(k))
-    fn_loc, fn_y, fn_m, fn_d = fn
-    out = keys.select(
-        k.alias("key"),
-        F.coalesce(_part(k, "locationid"), fn_loc).alias("location_id"),
-        F.coalesce(_part(k, "year"), fn_y).alias("year"),
-        F.coalesce(_part(k, "month"), fn_m).alias("month"),
-        F.coalesce(_part(k, "day"), fn_d).alias("day"),
-        F.when(_part(k, "day").isNotNull() & (F.locate("locationid=", k) < F.locate("month=", k)), F.lit(1))
-         .when(_part(k, "day").isNotNull(), F.lit(2)).otherwise(F.lit(3)).alias("layout"))
+    parsed = keys.select(k.alias("key"), F.split(k, "/").alias("_segs"), file_name(k).alias("_name"))
+    fn_loc, fn_y, fn_m, fn_d = parse_file_name("_name")
+    segs = F.col("_segs")
+    day_part = _segment(segs, "day")
+    out = parsed.select(
+        "key",
+        F.coalesce(_segment(segs, "locationid"), fn_loc).alias("location_id"),
+        F.coalesce(_segment(segs, "year"), fn_y).alias("year"),
+        F.coalesce(_segment(segs, "month"), fn_m).alias("month"),
+        F.coalesce(day_part, fn_d).alias("day"),
+        F.when(day_part.isNotNull()
+               & (F.locate("locationid=", F.col("key")) < F.locate("month=", F.col("key"))), F.lit(1))
+         .when(day_part.isNotNull(), F.lit(2)).otherwise(F.lit(3)).alias("layout"))
     return out.withColumn("run_date", F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
                                                   F.col("day").cast("int")))
 
