@@ -63,3 +63,27 @@ def test_hot_group_spans_many_chunks(spark):
                  .withColumnRenamed("count", "n").collect()}
     assert len(per_chunk) >= 2                      # the hot group is split across tasks
     assert max(per_chunk.values()) < 4000           # no single task holds all of it
+
+
+def test_exact_mean_ties_and_partitioning(spark):
+    from pyspark.sql import functions as F
+    # mean 7634.9326875 is an exact tie at the 7th decimal; -0.0000005 a negative tie
+    vals = [7634.932687, 7634.932688]
+    rows = [("a", v) for v in vals] + [("b", -0.000001), ("b", 0.0)]
+    df = spark.createDataFrame(rows, "location_id string, value double") \
+              .withColumn("date", F.lit("d")).withColumn("parameter", F.lit("p"))
+    outs = []
+    for parts in (1, 3, 7):
+        r = {x.location_id: x.value_avg for x in facts.daily_fact(df.repartition(parts)).collect()}
+        outs.append(r)
+    assert outs[0] == outs[1] == outs[2]                  # identical whatever the partitioning
+    assert outs[0]["a"] == 7634.932688                     # half away from zero
+    assert outs[0]["b"] == -0.000001
+
+
+def test_ci_equals_is_pushable(spark):
+    from hazelake.functions.text import ci_equals
+    df = spark.createDataFrame([("PM25",), ("pm25",), ("Pm25",), ("pm10",), (None,)], "p string")
+    assert sorted(r.p for r in df.where(ci_equals("p", "pm25")).collect()) == ["PM25", "Pm25", "pm25"]
+    assert "in(p, " in str(ci_equals("p", "pm25"))                 # pushable IN guard
+    assert "in(p, " not in str(ci_equals("p", "temperature"))      # too many variants: plain lower()
