@@ -23,7 +23,9 @@ def iqr_bounds(df: DataFrame, keys: list[str], value="value", multiplier=K.IQR_M
 def remove_outliers_iqr(df: DataFrame, keys=RUN_KEYS, value="value",
                         min_rows=K.IQR_MIN_ROWS, multiplier=K.IQR_MULTIPLIER) -> DataFrame:
     """C11: per run (location, run date), only when the run has more than `min_rows` rows,
-    keep Q1 - m*IQR <= value <= Q3 + m*IQR (quartiles over all parameters of the run)."""
+    keep Q1 - m*IQR <= value <= Q3 + m*IQR (quartiles over all parameters of the run).
+    The row guard counts non-NULL values; in the pipeline this step follows the range check,
+    which has already removed NULL values."""
     df = reusable(df, "iqr-input")        # read for the quartiles and again for the filter
     b = iqr_bounds(df, list(keys), value, multiplier)
     v = F.col(value)
