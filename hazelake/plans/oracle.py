@@ -261,11 +261,11 @@ def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> s
 # bronze object keys (fixture L): layout by location_id % 3
 cte("LK", ["R"], """
 SELECT CASE CAST(location_id AS INTEGER) % 3
-  WHEN 0 THEN 'bronze/openaq/backfill/year=' || strftime(run_date, '%Y') || '/locationid=' || location_id
+  WHEN 0 THEN 'lake/bronze/year=' || strftime(run_date, '%Y') || '/locationid=' || location_id
               || '/month=' || strftime(run_date, '%m') || '/day=' || strftime(run_date, '%d') || '/' || name
-  WHEN 1 THEN 'bronze/openaq/backfill/year=' || strftime(run_date, '%Y') || '/month=' || strftime(run_date, '%m')
+  WHEN 1 THEN 'lake/bronze/year=' || strftime(run_date, '%Y') || '/month=' || strftime(run_date, '%m')
               || '/day=' || strftime(run_date, '%d') || '/locationid=' || location_id || '/' || name
-  ELSE 'bronze/openaq/backfill/year=' || strftime(run_date, '%Y') || '/locationid=' || location_id
+  ELSE 'lake/bronze/year=' || strftime(run_date, '%Y') || '/locationid=' || location_id
               || '/month=' || strftime(run_date, '%m') || '/' || name END AS key
 FROM (SELECT DISTINCT location_id, run_date,
         'location-' || location_id || '-' || strftime(run_date, '%Y%m%d') || '.csv.gz' AS name

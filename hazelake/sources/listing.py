@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 FILE_RE = r"^location-(\d+)-(\d{8})\.csv\.gz$"
 
 
-def bronze_keys(readings: DataFrame, prefix="bronze/openaq/backfill") -> DataFrame:
+def bronze_keys(readings: DataFrame, prefix="lake/bronze") -> DataFrame:
     """Fixture L: one key per distinct (location_id, run_date); layout by location_id % 3."""
     d = readings.select("location_id", "run_date").where(
         F.col("location_id").isNotNull() & F.col("run_date").isNotNull()).distinct()
