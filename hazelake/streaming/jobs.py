@@ -64,12 +64,17 @@ def start_archive(spark: SparkSession, source: DataFrame, out: str, checkpoint:
     if "_partition" not in src.columns:   # file source: no transport metadata, derive stand-ins
         return _start(RS.archive_rows(src), out, checkpoint, trigger, fmt="json",
                       partition_by=["year", "month", "day", "hour"], options={"compression": "gzip"})
+    return _start(kafka_archive_rows(src), out, checkpoint, trigger, fmt="json",
+                  partition_by=["year", "month", "day", "hour"], options={"compression": "gzip"})
+
+
+def kafka_archive_rows(src: DataFrame) -> DataFrame:
+    """T2 + T5 rows for a Kafka-fed stream: the real partition, offset, timestamp and key as
+    `_kafka_metadata`, filed under the message's own year/month/day/hour."""
     from hazelake.functions.timeparse import parse_utc_chain, partition_keys
     meta = RS.kafka_metadata(src.withColumn("_offset", F.col("event_id")), key="_key")
     ts = parse_utc_chain(F.col("timestamp"), fallback=F.col("ingest_ts"))
-    rows = meta.drop("_partition", "_offset", "_key").select("*", *partition_keys(ts))
-    return _start(rows, out, checkpoint, trigger, fmt="json", partition_by=["year", "month", "day", "hour"],
-                  options={"compression": "gzip"})
+    return meta.drop("_partition", "_offset", "_key").select("*", *partition_keys(ts))
 
 
 def main(argv=None) -> None:

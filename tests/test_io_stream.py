@@ -88,3 +88,17 @@ def test_scale_conf_and_text_recipients(spark):
          .coalesce(1).write.text(path)
     got = recipients.clean_recipients(recipients.read_recipients_text(spark, path))
     assert sorted(r.email for r in got.collect()) == ["a@x.vn", "b@y.vn"]
+
+
+def test_kafka_archive_rows(spark):
+    from hazelake import schemas
+    from hazelake.streaming.jobs import kafka_archive_rows
+    row = ("2025-01-01T05:30:00Z", "7", "n", "l", "c", "VN", (1.0, 2.0), False, True, [],
+           dt.datetime(2025, 1, 1, 6, 0), 42)
+    m = spark.createDataFrame([row], schemas.LANDED_MESSAGE).withColumn("_partition", F.lit(2)) \
+             .withColumn("_key", F.lit("7"))
+    r = kafka_archive_rows(m).first()
+    assert (r.year, r.month, r.day, r.hour) == ("2025", "01", "01", "05")
+    meta = r._kafka_metadata
+    assert (meta.partition, meta.offset, meta.key) == (2, 42, "7")
+    assert "_partition" not in kafka_archive_rows(m).columns
