@@ -31,15 +31,20 @@ def message_source(spark: SparkSession, kind: str, path: str | None = None, boot
                   .option("subscribe", topic).option("startingOffsets", "earliest"))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
-        raw = r.load()
-        body = F.from_json(F.col("value").cast("string"), schemas.MESSAGE)
-        return raw.select(body.alias("m"), F.col("timestamp").alias("ingest_ts"),
-                          F.col("offset").alias("event_id"), F.col("partition").alias("_partition"),
-                          F.col("key").cast("string").alias("_key")).select("m.*", "ingest_ts", "event_id",
-                                                                            "_partition", "_key")
+        return decode_kafka(r.load())
     return RS.read_message_stream(spark, path, max_files=max_per_trigger)
 
 
+def decode_kafka(raw: DataFrame) -> DataFrame:
+    """Kafka records (key, value bytes, partition, offset, timestamp) -> landed messages:
+    MESSAGE columns + ingest_ts (broker timestamp) + event_id (offset) + transport metadata."""
+    body = F.from_json(F.col("value").cast("string"), schemas.MESSAGE)
+    return raw.select(body.alias("m"), F.col("timestamp").alias("ingest_ts"),
+                      F.col("offset").alias("event_id"), F.col("partition").alias("_partition"),
+                      F.col("key").cast("string").alias("_key")).select("m.*", "ingest_ts", "event_id",
+                                                                        "_partition", "_key")
+
+
 def _start(df: DataFrame, out: str, checkpoint: str, trigger: str | None, fmt="parquet",
            partition_by=None, options=None):
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint) \

@@ -102,3 +102,17 @@ def test_kafka_archive_rows(spark):
     meta = r._kafka_metadata
     assert (meta.partition, meta.offset, meta.key) == (2, 42, "7")
     assert "_partition" not in kafka_archive_rows(m).columns
+
+
+def test_decode_kafka_records(spark):
+    from hazelake.streaming.jobs import decode_kafka
+    value = ('{"timestamp": "2025-01-01T05:30:00", "location_id": "7", "sensors": '
+             '[{"parameter": "aqi", "unit": "AQI", "latest_value": 180.0, '
+             '"latest_datetime": "2025-01-01T00:10:00Z"}]}')
+    raw = spark.createDataFrame([(bytearray(b"7"), bytearray(value.encode()), 1, 99, dt.datetime(2025, 1, 1, 0, 11))],
+                                "key binary, value binary, partition int, offset long, timestamp timestamp")
+    m = decode_kafka(raw)
+    r = m.first()
+    assert (r.location_id, r.event_id, r._partition, r._key) == ("7", 99, 1, "7")
+    rd = RS.message_to_readings(m.drop("_partition", "_key")).first()
+    assert rd.value == 180.0 and str(rd.measurement_time) == "2025-01-01 00:10:00"
