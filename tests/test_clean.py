@@ -91,3 +91,12 @@ def test_dedupe_hot_key_combines_before_shuffle(spark):
     got = out.where("location_id = '1' AND datetime = 't'").collect()
     assert len(got) == 1 and got[0]._ord == 0 and got[0].value == 0.0
     assert out.count() == 1 + 6000
+
+
+def test_parse_datetime_strict_raises(spark):
+    import pytest
+    df = spark.createDataFrame([("2025-07-03T01:00:00Z",), ("bad",)], "datetime string")
+    with pytest.raises(Exception, match="unparsable datetime"):
+        parse_datetime(df, strict=True).collect()
+    ok = spark.createDataFrame([("2025-07-03T01:00:00Z",)], "datetime string")
+    assert parse_datetime(ok, strict=True).count() == 1
