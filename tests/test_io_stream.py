@@ -116,3 +116,23 @@ def test_decode_kafka_records(spark):
     assert (r.location_id, r.event_id, r._partition, r._key) == ("7", 99, 1, "7")
     rd = RS.message_to_readings(m.drop("_partition", "_key")).first()
     assert rd.value == 180.0 and str(rd.measurement_time) == "2025-01-01 00:10:00"
+
+
+def test_hourly_window_drops_late_data(spark):
+    src, out, ck = scratch_path(spark, "wm-src"), scratch_path(spark, "wm-out"), scratch_path(spark, "wm-ck")
+    schema = "location_id string, parameter string, value double, measurement_time timestamp"
+
+    def run():
+        RS.hourly_window_update(spark.readStream.schema(schema).parquet(src), out, ck)
+
+    t = lambda h, m: dt.datetime(2025, 1, 1, h, m)
+    spark.createDataFrame([("1", "aqi", 1.0, t(9, 5)), ("1", "aqi", 2.0, t(12, 30))], schema) \
+         .write.mode("append").parquet(src)
+    run()                                               # watermark now 12:30 - 2 h = 10:30
+    spark.createDataFrame([("1", "aqi", 100.0, t(9, 20)), ("1", "aqi", 5.0, t(11, 15))], schema) \
+         .write.mode("append").parquet(src)
+    run()
+    run()                                               # lets the advanced watermark take effect
+    got = {r.window_start.hour: (r.value_max, r.value_count) for r in RS.latest_windows(spark, out).collect()}
+    assert got[9] == (1.0, 1)                           # the 09:20 reading arrived too late
+    assert got[11] == (5.0, 1) and got[12] == (2.0, 1)
