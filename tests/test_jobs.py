@@ -41,3 +41,27 @@ def test_run_batch_three_layouts(spark):
     assert daily[("1", "co")].value_max == 1500.0           # ppm -> µg/m³
     man = spark.read.json(f"{out}/gold/metadata").collect()
     assert len(man) == 3 and all(m.status == "SUCCESS" for m in man)
+
+
+def test_cli_batch_and_stream(spark):
+    from hazelake.plans import jobs as batch_jobs
+    from hazelake.sources.fixtures import messages
+    from hazelake.streaming import jobs as stream_jobs
+    from hazelake.streaming import readings as RS
+    from conftest import SF_SMALL
+    bronze, out = scratch_path(spark, "cli-bronze"), scratch_path(spark, "cli-out")
+    rows = [("3", f"2025-07-0{d}T{h:02d}:00:00Z", "pm25", "µg/m³", str(20.0 + h)) for d in (3, 4) for h in range(12)]
+    for d in (3, 4):
+        _write(bronze, f"year=2025/locationid=3/month=07/day=0{d}/location-3-2025070{d}.csv.gz",
+               [r for r in rows if r[1].startswith(f"2025-07-0{d}")])
+    batch_jobs.main(["--bronze", bronze, "--out", out, "--start", "2025-07-04", "--end", "2025-07-04"])
+    silver = spark.read.parquet(f"{out}/silver")
+    assert silver.count() == 12
+    assert {r.run_date for r in silver.select("run_date").distinct().collect()} == {dt.date(2025, 7, 4)}
+
+    src, sout, ck = scratch_path(spark, "cli-src"), scratch_path(spark, "cli-sout"), scratch_path(spark, "cli-ck")
+    m = messages(spark, SF_SMALL)
+    RS.land_messages(m, src)
+    stream_jobs.main(["readings", "--source", "json", "--path", src, "--out", sout, "--checkpoint", ck,
+                      "--trigger", "once"])
+    assert spark.read.parquet(sout).count() == RS.message_to_readings(m).count()
