@@ -136,3 +136,12 @@ def test_hourly_window_drops_late_data(spark):
     got = {r.window_start.hour: (r.value_max, r.value_count) for r in RS.latest_windows(spark, out).collect()}
     assert got[9] == (1.0, 1)                           # the 09:20 reading arrived too late
     assert got[11] == (5.0, 1) and got[12] == (2.0, 1)
+
+
+def test_apply_scale_conf_keeps_cluster_values(spark):
+    from hazelake.session import apply_scale_conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")          # set explicitly by the test session
+    applied = apply_scale_conf(spark, 10 * 1024 ** 3)
+    assert "spark.sql.shuffle.partitions" not in applied
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "40"
