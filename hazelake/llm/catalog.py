@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazelake.llm import bpe, decontam, langid, quality
+from hazelake.llm import bpe, decontam, langid, pii, quality
 from hazelake.llm.arrays import table
 
 
@@ -26,8 +26,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_fm, op3_decontaminate, op8_bpe, op9_language)}
+    return {f.__name__: f for f in (op2_quality_fm, op3_decontaminate, op8_bpe, op9_language, op10_pii_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
