@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazelake.llm import bpe, decontam, langid, pii, quality
+from hazelake.llm import bpe, decontam, langid, neardup, pii, quality
 from hazelake.llm.arrays import table
 
 
@@ -18,6 +18,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_fm, op3_decontaminate, op8_bpe, op9_language, op10_pii_surrogates)}
+    return {f.__name__: f for f in (op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op8_bpe, op9_language, op10_pii_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
