@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazelake.llm import bpe, decontam, langid, neardup, pii, quality
+from hazelake.llm import bpe, decontam, langid, neardup, pii, quality, repeats, suffixes
 from hazelake.llm.arrays import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,6 +26,10 @@ def op4_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op8_bpe, op9_language, op10_pii_surrogates)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op7_seed_extend, op8_bpe, op9_language, op10_pii_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
