@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazelake.llm import bpe, decontam, langid, lm, neardup, pii, quality, repeats, suffixes
+from hazelake.llm import ann, bpe, decontam, langid, lm, neardup, pii, quality, repeats, suffixes
 from hazelake.llm.arrays import table
 
 
@@ -30,6 +30,10 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op5_kneser_ney, op7_seed_extend, op8_bpe, op9_language, op10_pii_surrogates)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op5_kneser_ney, op6_learned_ann, op7_seed_extend, op8_bpe, op9_language, op10_pii_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
