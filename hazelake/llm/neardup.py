@@ -7,10 +7,12 @@ their similarity. Bands of ``ROWS`` values are buckets: at a similarity of 0.85
 bucket with a probability below 1e-6.
 
 Documents with equal sets are one node from the start. In every bucket all nodes are compared
-with the bucket's first node on their full sets (a star, not all pairs). Then, in buckets that
-still hold several components, nodes outside the first node's component are compared with the
-nodes of other components, unless distances to the first node already exclude a link (the triangle
-inequality of the Jaccard distance) or sizes do. Nothing is capped.
+with the bucket's first node, its head, on their full sets (a star, not all pairs). Then, among
+the nodes of a head that still lie in several components, links are found through what differs
+from the head: with D the symmetric difference of a node's set and the head's,
+``|x ^ y| = |D_x| + |D_y| - 2 |D_x & D_y|``, so counting common elements of the small sets D gives
+the exact similarity. The nodes outside the head's component are looked up against the head's
+other nodes in cells of bounded size, which give links only, never all pairs. Nothing is capped.
 
 Defined cases: null or empty text, or text of white space, has an empty set and is linked with
 nothing; fewer words than a shingle make one shingle of all words; a null doc_id is linked with
@@ -34,6 +36,7 @@ from hazelake.llm.arrays import (
     owners,
     prefix_hashes,
     prepare,
+    ranges,
     slices,
     span_hashes,
     spans,
@@ -47,6 +50,7 @@ PERCENT = 85
 ROWS = 6
 BANDS = 30
 PERMS = ROWS * BANDS // 2
+CELL = 1024  # nodes of a head that are compared in one call
 _MULTIPLY = mix(np.arange(1, PERMS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
@@ -132,6 +136,33 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return got.select("a", "b", common.alias("common"), (F.size("__a") + F.size("__b") - common).alias("total"))
 
 
+def _links(percent: int):
+    """Links between nodes outside their head's component and other nodes of the head, from the
+    sizes of their sets and of what differs from the head's."""
+    def run(asking: pa.Table, asked: pa.Table) -> pa.Table:
+        none = pa.table({"a": asked.column("node").slice(0, 0), "b": asked.column("node").slice(0, 0)})
+        if not asking.num_rows or not asked.num_rows:
+            return none
+        read = lambda t: (t.column("n").to_numpy(), t.column("component").to_numpy(), t.column("__d").combine_chunks())
+        (an, ac, ad), (bn, bc, bd) = read(asking), read(asked)
+        b_size = np.diff(np.asarray(bd.offsets))
+        element = bd.flatten().to_numpy()
+        order = np.argsort(element, kind="stable")
+        element, holder = element[order], np.repeat(np.arange(len(bn)), b_size)[order]
+        left, right = [], []
+        for i in range(len(an)):  # one look-up of a whole cell per asking node
+            mine = ad[i].values.to_numpy()
+            lo, hi = np.searchsorted(element, mine), np.searchsorted(element, mine, side="right")
+            common = np.bincount(holder[ranges(lo, hi - lo)], minlength=len(bn))
+            apart = len(mine) + b_size - 2 * common
+            size = an[i] + bn
+            ok = np.flatnonzero((100 * (size - apart) >= percent * (size + apart)) & (bc != ac[i]))
+            left.append(np.full(len(ok), i))
+            right.append(ok)
+        return pa.table({"a": asking.column("node").take(pa.array(np.concatenate(left))), "b": asked.column("node").take(pa.array(np.concatenate(right)))})
+    return run
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     spark = docs.sparkSession
@@ -147,9 +178,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     first = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("__c")).where("__c > 1").drop("__c")
     hits = materialize(buckets.join(first, "bucket"), "minmax-hits")
     heads = nodes.select(F.col("node").alias("head"), F.col("n_shingles").alias("head_n"))
-    star = hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head")
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    star = materialize(star.withColumn("fits", fits(F.col("n"), F.col("head_n"))), "minmax-star")
+    star = materialize(hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head"), "minmax-star")
     wanted = hits.select("node").distinct()
     ids = texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
     sets = materialize(ids.mapInArrow(_sets(shingle), f"node {kind}, hashes array<bigint>").dropDuplicates(["node"]), "minmax-sets")
@@ -158,23 +187,30 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     links = linked(compared).select("a", "b")
     comp = materialize(components(links), "minmax-components")
 
-    # the rest: buckets that hold several components
+    # the rest: heads whose nodes lie in several components
     own = lambda t: F.coalesce(F.col(t), F.col("node"))
-    distance = (F.lit(1.0) - F.col("common") / F.col("total")).alias("far")
-    placed = hits.join(comp, "node", "left").withColumn("component", own("component")).join(
-        compared.select(F.col("a").alias("node"), F.col("b").alias("head"), distance), ["node", "head"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi"),
-                                         F.min(F.when(F.col("node") == F.col("head"), F.col("component"))).alias("head_component")).where("__lo != __hi")
-    placed = materialize(placed.join(mixed.select("bucket", "head_component"), "bucket"), "minmax-mixed")
-    outside = placed.where((F.col("component") != F.col("head_component")) & (F.col("node") != F.col("head"))).select(
-        "bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("far").alias("afar"), F.col("component").alias("ac"), F.col("head_component").alias("hc"))
-    reach = 1 - percent / 100 + 1e-9
-    more = outside.join(placed.where("node != head").select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("far").alias("bfar"), F.col("component").alias("bc")), "bucket").where(
-        (F.col("ac") != F.col("bc")) & fits(F.col("an"), F.col("bn")) & (F.abs(F.col("afar") - F.col("bfar")) <= reach)
-        & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
-    more = materialize(more.select("a", "b").distinct(), "minmax-rest")
+    component = comp.select("node", "component")
+    star = star.select("node", "n", "head", "head_n").join(component, "node", "left").withColumn("component", own("component")).join(
+        component.select(F.col("node").alias("head"), F.col("component").alias("head_component")), "head", "left").withColumn(
+        "head_component", F.coalesce("head_component", "head"))
+    star = materialize(star, "minmax-placed")
+    mixed = star.groupBy("head").agg(F.max((F.col("component") != F.col("head_component")).cast("int")).alias("__m")).where("__m = 1").select("head")
+    rest = star.join(mixed, "head", "left_semi")
+    far = rest.join(sets.select("node", F.col("hashes").alias("__x")), "node").join(sets.select(F.col("node").alias("head"), F.col("hashes").alias("__h")), "head")
+    far = far.withColumn("__d", F.array_union(F.array_except("__x", "__h"), F.array_except("__h", "__x")))
+    far = materialize(far.select("head", "node", "n", "component", (F.col("component") != F.col("head_component")).alias("outside"), "__d"), "minmax-far")
+    cells = far.groupBy("head").agg(F.ceil(F.count("*") / CELL).cast("int").alias("__all"), F.ceil(F.sum(F.col("outside").cast("int")) / CELL).cast("int").alias("__out"))
+    dealt = far.join(cells, "head")
+    cell = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = dealt.where("outside").withColumn("x", cell("__out")).withColumn("y", each("__all"))
+    asked = dealt.toDF(*dealt.columns).withColumn("y", cell("__all")).withColumn("x", each("__out"))
+    columns = ["head", "x", "y", "node", "n", "component", "outside", "__d"]
+    more = asking.select(*columns).groupBy("head", "x", "y").cogroup(asked.select(*columns).groupBy("head", "x", "y")).applyInArrow(
+        _links(percent), f"a {kind}, b {kind}").distinct()
+    more = materialize(more, "minmax-rest")
     if not more.isEmpty():
-        comp = materialize(components(links.unionByName(linked(_compare(more, sets)).select("a", "b"))), "minmax-components")
+        comp = materialize(components(links.unionByName(more)), "minmax-components")
 
     named = nodes.select(*same, "node").join(comp, "node", "left").select(*same, own("component").alias("component_id"))
     keyed = sketch.select("doc_id", *same)
