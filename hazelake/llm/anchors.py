@@ -38,7 +38,7 @@ from hazelake.llm.arrays import (
 )
 from hazelake.session import materialize
 
-HOT = 1000
+HOT = 8192  # about 3 MB of content and 100 MB of work arrays in one call
 BLOCK_BYTES = 1 << 20
 
 
