@@ -10,8 +10,8 @@ double precision. How many partitions a query visits is measured: the smallest n
 Clustered vectors need few; vectors without structure need most partitions for the same recall.
 
 Equal vectors are indexed once with their smallest ids (as many as a result can hold, so none is
-lost), which settles groups of copies of any size; large partitions are cut into cells for rows
-and queries. Queries that find fewer rows than there are candidates for visit all partitions.
+lost), which settles groups of copies of any size; small partitions share a shard, large ones are
+cut into cells. Queries that find fewer rows than there are candidates for visit all partitions.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part,
 nor do those of another length than most; one vector has no neighbours; ties go to the smaller
@@ -32,7 +32,7 @@ SAMPLE = 8192
 PART_ROWS = 800
 MAX_PARTS = 256
 NEIGHBOURS = 10
-CELL_ROWS = 4096
+CELL_ROWS = 8192
 CELL_QUERIES = 1024
 TARGET = 0.95
 
@@ -155,17 +155,24 @@ def _top(k: int):
             keep = min(k + 16, len(x))
             ids, qid = rows.column("vec_id").to_numpy(), queries.column("q").to_numpy()
             lists = rows.column("ids").combine_chunks()
+            part = rows.column("part").to_numpy()
+            wanted = queries.column("parts").combine_chunks()
+            asks = np.zeros((len(q), int(part.max()) + 1), bool)
+            who, what = np.repeat(np.arange(len(q)), np.diff(np.asarray(wanted.offsets))), wanted.flatten().to_numpy()
+            inside = what <= part.max()
+            asks[who[inside], what[inside]] = True
             for lo in range(0, len(q), 256):
-                s = q[lo:lo + 256] @ x.T
+                s = np.where(asks[lo:lo + 256][:, part], q[lo:lo + 256] @ x.T, -np.inf)
                 near = np.argpartition(-s, keep - 1, axis=1)[:, :keep] if keep < len(x) else np.tile(np.arange(len(x)), (len(s), 1))
                 # one order of summation for every pair, so that the score depends on the pair alone
-                exact = (q[lo:lo + 256, None, :] * x[near]).sum(axis=2)
+                exact = np.where(np.isfinite(np.take_along_axis(s, near, 1)), (q[lo:lo + 256, None, :] * x[near]).sum(axis=2), -np.inf)
                 order = np.lexsort((ids[near], -exact), axis=1)[:, :k]
                 near, exact = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
-                out["q"].append(np.repeat(qid[lo:lo + 256], near.shape[1]))
-                out["vec_id"].append(ids[near].ravel())
-                out["rank_score"].append(exact.ravel())
-                out["ids"].append(near.ravel())
+                ok = np.isfinite(exact)
+                out["q"].append(np.repeat(qid[lo:lo + 256], near.shape[1]).reshape(near.shape)[ok])
+                out["vec_id"].append(ids[near][ok])
+                out["rank_score"].append(exact[ok])
+                out["ids"].append(near[ok])
         cat = lambda c, kind: np.concatenate(out[c]) if out[c] else np.zeros(0, kind)
         at = cat("ids", np.int64)
         picked = lists.take(pa.array(at)) if len(at) else pa.array([], pa.list_(pa.int64()))
@@ -205,15 +212,39 @@ def search(vectors: DataFrame, *, k: int = 20, every: int = 20, part_rows: int =
     index = distinct.mapInArrow(place(1), "v array<double>, ids array<bigint>, vec_id bigint, parts array<int>").withColumn("part", F.get("parts", F.lit(0))).drop("parts")
     index = materialize(index, "ann-index")
     sizes = {r[0]: r[1] for r in index.groupBy("part").count().collect()}  # one row per partition
-    cells = F.element_at(F.create_map(*[F.lit(x) for p in range(parts) for x in (p, -(-sizes.get(p, 1) // CELL_ROWS))]), F.col("part"))
+    # small partitions share a shard, so that a query gets few partial results; large ones have cells
+    shard, held = [0] * parts, 0
+    for p in range(parts):
+        full = held and held + sizes.get(p, 0) > CELL_ROWS
+        shard[p] = (shard[p - 1] if p else 0) + bool(full)
+        held = sizes.get(p, 0) + (0 if full else held)
+    n_cells = [max(1, -(-sum(n for p, n in sizes.items() if shard[p] == k) // CELL_ROWS)) for k in range(shard[-1] + 1)]
+    numbers = lambda values: F.array(*[F.lit(int(x)) for x in values])
+    cells = F.get(numbers(n_cells), F.col("shard"))
+    index = index.withColumn("shard", F.get(numbers(shard), F.col("part")))
+    of = np.array(shard)
+
+    def route(count):
+        def run(batches):
+            for part in batches:
+                if not part.num_rows:
+                    continue
+                visited = np.sort(shared.value.ranked(matrix(column(part, "v")))[:, :count], axis=1)  # shards ascend with partitions
+                who = np.repeat(np.arange(len(visited)), visited.shape[1])
+                flat = visited.ravel()
+                first = np.flatnonzero(np.diff(who * parts + of[flat], prepend=-1))
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "v").take(pa.array(who[first])), column(part, "q").take(pa.array(who[first])), pa.array(of[flat[first]].astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(np.append(first, len(flat)), pa.int32()), pa.array(flat.astype(np.int32)))], ["v", "q", "shard", "parts"])
+        return run
 
     def found(heads: DataFrame, count: int) -> DataFrame:
-        routed = heads.mapInArrow(place(count), "v array<double>, q bigint, parts array<int>").select("v", "q", F.explode("parts").alias("part"))
-        per = {r[0]: r[1] for r in routed.groupBy("part").count().collect()}
-        blocks = F.element_at(F.create_map(*[F.lit(x) for p in range(parts) for x in (p, -(-per.get(p, 1) // CELL_QUERIES))]), F.col("part"))
+        routed = heads.mapInArrow(route(count), "v array<double>, q bigint, shard int, parts array<int>")
+        per = {r[0]: r[1] for r in routed.groupBy("shard").count().collect()}
+        blocks = F.get(numbers([max(1, -(-per.get(k, 1) // CELL_QUERIES)) for k in range(len(n_cells))]), F.col("shard"))
         rows = index.withColumn("cell", F.pmod(F.xxhash64("vec_id"), cells).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
         ask = routed.withColumn("block", F.pmod(F.xxhash64("q"), blocks).cast("int")).withColumn("cell", F.explode(F.sequence(F.lit(0), cells - 1)))
-        keys = ["part", "cell", "block"]
+        keys = ["shard", "cell", "block"]
         got = rows.groupBy(*keys).cogroup(ask.groupBy(*keys)).applyInArrow(_top(k + 1), "q bigint, vec_id bigint, score double, ids array<bigint>")
         best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         got = got.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1)
