@@ -38,9 +38,11 @@ def q_bronze_scan(spark, sf):
              .withColumn("day", F.date_format("run_date", "dd")).withColumn("locationid", F.col("location_id")))
     cols = [f.name for f in schemas.BRONZE.fields]
     even = F.col("location_id").cast("int") % 2 == 0
-    for cond, parts in ((even, ["year", "locationid", "month", "day"]),
-                        (~even, ["year", "month", "day", "locationid"])):
-        (rows.where(cond).select(*cols, *parts).hint("rebalance", *parts).write.mode("append")
+    # the files of one layout order their columns differently and hold two more
+    other = ["value", F.lit("x").alias("sensors_id"), "unit", "parameter", F.lit(21.0).alias("lat"), "datetime", "location_id"]
+    for cond, parts, named in ((even, ["year", "locationid", "month", "day"], cols),
+                               (~even, ["year", "month", "day", "locationid"], other)):
+        (rows.where(cond).select(*named, *parts).hint("rebalance", *parts).write.mode("append")
              .option("header", True).option("compression", "gzip").partitionBy(*parts).csv(base))
     back = bronze.read_bronze(spark, base, glob=None)
     layout = F.when(F.locate("locationid=", F.col("_file")) < F.locate("month=", F.col("_file")), 1).otherwise(2)
@@ -229,12 +231,10 @@ def q_upsert_hourly(spark, sf):
 def _merge_fact(spark, sf, build, keys):
     a, b = _split_loads(Stages(spark, sf))
     path = scratch_path(spark, "fact-table")
-    target = round6(build(a)).withColumn("part_date", F.date_format("date", "yyyy-MM-dd"))
-    updates = round6(build(b)).withColumn("part_date", F.date_format("date", "yyyy-MM-dd"))
-    sinks.write_partitioned(target, path, ["part_date"])
-    sinks.merge_partitioned(spark, path, updates.select(*target.columns), keys, FACT_UPDATE, ["part_date"],
-                            scratch_path(spark, "fact-merge"))
-    return spark.read.parquet(path).drop("part_date")
+    hourly = "hour" in keys
+    (sinks.write_hourly if hourly else sinks.write_daily)(round6(build(a)), path)
+    sinks.merge_fact(spark, path, round6(build(b)), keys, FACT_UPDATE, scratch_path(spark, "fact-merge"), hourly=hourly)
+    return sinks.read_table(spark, path, sinks.FACT_PARTITIONS[hourly]).drop("year", "month", "day", "locationid")
 
 
 @register("upsert_daily", sql(
@@ -434,7 +434,10 @@ def q_stream_readings(spark, sf):
 SELECT event_id, CAST(user_id % 5 AS VARCHAR) AS location_id, CAST((user_id % 5) % 3 AS INTEGER) AS meta_partition,
   event_id AS meta_offset, epoch_us(ts) // 1000 AS meta_timestamp, CAST(user_id % 5 AS VARCHAR) AS meta_key FROM events"""))
 def q_kafka_metadata(spark, sf):
-    a = RS.archive_rows(Stages(spark, sf).M())
+    # the transport's own columns, as a topic of three partitions keyed by station would hand them on
+    m = Stages(spark, sf).M()
+    m = m.withColumn("_partition", F.pmod(F.col("location_id").cast("int"), F.lit(3))).withColumn("_offset", F.col("event_id"))
+    a = RS.archive_rows(m)
     m = F.col("_kafka_metadata")
     return a.select("event_id", "location_id", m["partition"].alias("meta_partition"),
                     m["offset"].alias("meta_offset"), m["timestamp"].alias("meta_timestamp"),

@@ -3,8 +3,8 @@
     python -m hazelake.plans.jobs --bronze <dir> --out <dir> [--start 2025-07-01 --end 2025-07-31]
 
 bronze CSV.gz (three layouts) -> silver (partitioned, sorted) -> gold facts and dimensions
--> one manifest row per (station, run date). The date range prunes files before they are
-read: every layout carries the date in its file name, so a `pathGlobFilter` selects them.
+-> one manifest row per (station, run date). The date range prunes files by the date in their
+path, or in their name where the path has none.
 """
 
 from __future__ import annotations
@@ -15,40 +15,47 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from hazelake.operators.quality import quality_gate, quality_report
 from hazelake.plans import pipeline
 from hazelake.session import apply_scale_conf, build_session, input_size, materialize
 from hazelake.sources import bronze, sinks
 
 
-def date_glob(start: dt.date | None, end: dt.date | None) -> str:
-    if start is None or end is None:
-        return "*.csv.gz"
-    days = [(start + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((end - start).days + 1)]
-    return "location-*-{" + ",".join(days) + "}.csv.gz"
-
-
 def run_batch(spark: SparkSession, bronze_base: str, out_base: str,
               start: dt.date | None = None, end: dt.date | None = None) -> dict[str, str]:
+    """One run over a date range (all dates without one), which adds to what earlier runs wrote.
+
+    Fact rows belong to UTC dates, which runs of neighbouring local days share: every UTC date
+    that this run touches is rebuilt from the stored silver rows of all runs (medians do not
+    merge). Dimensions are merged by key, and the manifest gets one entry per run from the
+    report before the gate, failed runs included."""
     out = out_base.rstrip("/")
     apply_scale_conf(spark, input_size(spark, bronze_base))
-    raw = bronze.read_bronze(spark, bronze_base, glob=date_glob(start, end))
-    # lineage for "keep first": file path, then position inside the file
-    raw = (raw.withColumn("location_id", F.coalesce(F.col("location_id"), F.col("path_location_id")))
-              .withColumn("_ord", F.monotonically_increasing_id())
-              .drop("path_location_id"))
-    silver = materialize(pipeline.silver(raw), "silver")
+    raw = bronze.read_bronze(spark, bronze_base)
+    if start is not None and end is not None:   # dates come from the path: other files are not opened
+        raw = raw.where(F.col("run_date").between(F.lit(start), F.lit(end)))
+    raw = raw.withColumn("location_id", F.coalesce(F.col("location_id"), F.col("path_location_id"))).drop("path_location_id")
+    cleaned = materialize(pipeline.cleaned(raw), "cleaned")
+    report = materialize(quality_report(cleaned, pipeline.RUN_KEYS), "report")
+    silver = materialize(quality_gate(cleaned, report, pipeline.RUN_KEYS), "silver")
+    manifest = sinks.run_manifest(report, f"{out}/gold/fact_aqi_hourly", f"{out}/gold/fact_aqi_daily")
+    sinks.write_manifest(manifest, f"{out}/gold/metadata")
+    first, last = silver.agg(F.min("date"), F.max("date")).first()
+    if first is None:   # no run passed the gate: nothing to add
+        return {"silver": f"{out}/silver", "gold": f"{out}/gold"}
     sinks.write_silver(silver.drop("_file", "_ord"), f"{out}/silver")
-    g = pipeline.gold(silver)
+    day = dt.timedelta(days=1)
+    stored = sinks.read_table(spark, f"{out}/silver", sinks.FACT_PARTITIONS[True])
+    run_day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    # runs whose rows may fall on the touched UTC dates (offsets stay below a day)
+    rows = stored.where(run_day.between(F.lit(first - day), F.lit(last + day)) & F.col("date").between(F.lit(first), F.lit(last)))
+    g = pipeline.gold(materialize(rows.drop("year", "month", "day", "locationid"), "touched"))
     sinks.write_hourly(g.hourly, f"{out}/gold/fact_aqi_hourly")
     sinks.write_daily(g.daily, f"{out}/gold/fact_aqi_daily")
-    for name, dim in (("dim_location", g.dim_location), ("dim_parameter", g.dim_parameter),
-                      ("dim_time", g.dim_time)):
-        sinks.write_dimension(dim, f"{out}/gold/{name}")
-    c = spark.read.parquet(f"{out}/silver")  # report over the written silver layer
-    report = pipeline.quality_report_full(c.withColumn("run_date", F.to_date(
-        F.concat_ws("-", "year", "month", "day"))).drop("year", "month", "day", "locationid"))
-    manifest = sinks.run_manifest(report, f"{out}/gold/fact_aqi_hourly", f"{out}/gold/fact_aqi_daily")
-    sinks.write_manifest(manifest, f"{out}/gold/metadata")
+    new = pipeline.gold(silver)
+    for name, dim, keys in (("dim_location", new.dim_location, ["location_id"]), ("dim_parameter", new.dim_parameter, ["parameter"]),
+                            ("dim_time", new.dim_time, ["date"])):
+        sinks.merge_dimension(spark, f"{out}/gold/{name}", dim, keys)
     return {"silver": f"{out}/silver", "gold": f"{out}/gold"}
 
 

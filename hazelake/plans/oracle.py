@@ -271,7 +271,7 @@ FROM (SELECT DISTINCT location_id, run_date,
         'location-' || location_id || '-' || strftime(run_date, '%Y%m%d') || '.csv.gz' AS name
       FROM R WHERE location_id IS NOT NULL AND run_date IS NOT NULL)""")
 
-_FILE_RE = r"^location-(\d+)-(\d{8})\.csv\.gz$"
+_FILE_RE = r"^location-(\d+)-(\d{8})\.csv\.gz"
 
 
 def _part(k: str, name: str) -> str:

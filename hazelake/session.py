@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001  (sessions without a SparkContext handle)
             d = None
     if not d:
-        # only reached where the cluster names no shared folder (tests, local runs)
+        # only local runs may go without a shared folder: on a cluster each node would write to its own disk
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share (master is {master})")
         d = tempfile.mkdtemp(prefix="hazelake-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, d)
     try:
@@ -146,7 +149,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.shuffle.partitions": str(min(parts, 100_000)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
@@ -167,6 +170,12 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     return applied
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def input_size(spark: SparkSession, path: str) -> int:
     """Bytes under a path, from the file system listing (no data is read)."""
     jvm = spark.sparkContext._jvm

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FILE_RE = r"^location-(\d+)-(\d{8})\.csv\.gz$"
+FILE_RE = r"^location-(\d+)-(\d{8})\.csv\.gz"
 
 
 def bronze_keys(readings: DataFrame, prefix="lake/bronze") -> DataFrame:

@@ -62,42 +62,58 @@ def run_manifest(report: DataFrame, hourly_path: str, daily_path: str) -> DataFr
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    manifest.write.mode("overwrite").partitionBy("execution_date").json(path)
+    """One folder per execution date and station: a run replaces its own entries only."""
+    (manifest.withColumn("locationid", F.col("location_id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("execution_date", "locationid").json(path))
 
 
-MAX_LISTED_PARTITIONS = 1000
+FACT_PARTITIONS = {True: ["year", "month", "day", "locationid"], False: ["year", "month", "locationid", "day"]}
+FACT_SORT = {True: ["parameter", "hour"], False: ["parameter"]}
+
+
+def read_table(spark, path: str, partition_cols: list[str]) -> DataFrame:
+    """A partitioned Parquet table with its partition columns as text ('07' stays '07')."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    found = spark.read.option("basePath", path).parquet(path).schema
+    kept = [StructField(f.name, StringType()) if f.name in partition_cols else f for f in found.fields]
+    return spark.read.schema(StructType(kept)).option("basePath", path).parquet(path)
 
 
 def _touched_partitions(target: DataFrame, updates: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """Rows of `target` in the partitions `updates` touches. The touched partition values are a
-    short list (days of one load), fetched with a bound and turned into a static partition
-    filter, so untouched partition folders are never listed or read. Beyond the bound the
-    left-semi join does the same without the list."""
+    """Rows of `target` in the partitions `updates` touches (NULL partitions included). The
+    semi-join is on partition columns only, so Spark prunes the scan at run time."""
     from functools import reduce
-    touched = updates.select(*partition_cols).distinct()
-    vals = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(vals) > MAX_LISTED_PARTITIONS:
-        return target.join(touched, partition_cols, "left_semi")
-    if not vals:
-        return target.limit(0)
-    if len(partition_cols) == 1:
-        c = partition_cols[0]
-        return target.where(F.col(c).isin([str(r[0]) for r in vals]))
-    conds = [reduce(lambda a, b: a & b, [F.col(c) == str(r[c]) for c in partition_cols]) for r in vals]
-    return target.where(reduce(lambda a, b: a | b, conds))
+    touched = updates.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_cols])
+    return target.join(touched, same, "left_semi")
 
 
 def merge_partitioned(spark, path: str, updates: DataFrame, keys: list[str], update_cols: list[str],
-                      partition_cols: list[str], scratch: str) -> None:
-    """K9 on a partitioned table: read only the partitions the updates touch (static partition
-    filter, see `_touched_partitions`), merge by key, stage the result under `scratch`, and
-    overwrite just those partitions. Untouched partitions are never read or rewritten, so the
-    cost follows the size of the update, not of the table."""
+                      partition_cols: list[str], scratch: str, sort_within: list[str] | None = None) -> None:
+    """K9 on a partitioned table: read only the partitions the updates touch, merge by key, stage
+    the result under `scratch`, and overwrite just those partitions in the table's own sort
+    order. Untouched partitions are never rewritten, so the cost follows the size of the update."""
     from hazelake.operators.upsert import upsert
     from hazelake.session import reusable
     updates = reusable(updates, "merge-updates")   # read for the touched partitions and the merge
-    target = spark.read.parquet(path)
-    current = _touched_partitions(target, updates, partition_cols)
+    current = _touched_partitions(read_table(spark, path, partition_cols), updates, partition_cols)
     merged = upsert(current.select(*updates.columns), updates, keys, update_cols)
     merged.write.mode("overwrite").parquet(scratch)            # cut the read/write cycle on `path`
-    write_partitioned(spark.read.parquet(scratch), path, partition_cols)
+    staged = spark.read.schema(merged.schema).parquet(scratch)
+    write_partitioned(staged, path, partition_cols, sort_within=sort_within)
+
+
+def merge_fact(spark, path: str, updates: DataFrame, keys: list[str], update_cols: list[str], scratch: str,
+               hourly: bool) -> None:
+    """Merge fact rows into a table that `write_hourly` or `write_daily` wrote."""
+    merge_partitioned(spark, path, _partition_cols(updates, "date"), keys, update_cols, FACT_PARTITIONS[hourly], scratch,
+                      sort_within=FACT_SORT[hourly])
+
+
+def merge_dimension(spark, path: str, dim: DataFrame, keys: list[str]) -> None:
+    """K4 over runs: new keys are added, known keys take the run's values."""
+    from hazelake.operators.upsert import upsert
+    from hazelake.session import materialize, path_exists
+    if path_exists(spark, path):
+        dim = materialize(upsert(spark.read.parquet(path).select(*dim.columns), dim, keys, [c for c in dim.columns if c not in keys]), "dimension")
+    write_dimension(dim, path)

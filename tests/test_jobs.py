@@ -2,21 +2,20 @@ import datetime as dt
 import gzip
 import os
 
-from hazelake.plans.jobs import date_glob, run_batch
+import pytest
+from pyspark.sql import functions as F
+
+from hazelake.plans.jobs import run_batch
 from hazelake.session import local_path, scratch_path
 
 HEADER = "location_id,datetime,parameter,unit,value\n"
 
 
-def _write(base, rel, rows):
+def _write(base, rel, rows, header=HEADER):
     p = os.path.join(local_path(base), rel)
     os.makedirs(os.path.dirname(p), exist_ok=True)
     with gzip.open(p, "wt", encoding="utf-8") as f:
-        f.write(HEADER + "".join(",".join(r) + "\n" for r in rows))
-
-
-def test_date_glob():
-    assert date_glob(dt.date(2025, 7, 3), dt.date(2025, 7, 4)) == "location-*-{20250703,20250704}.csv.gz"
+        f.write(header + "".join(",".join(r) + "\n" for r in rows))
 
 
 def test_run_batch_three_layouts(spark):
@@ -65,3 +64,98 @@ def test_cli_batch_and_stream(spark):
     stream_jobs.main(["readings", "--source", "json", "--path", src, "--out", sout, "--checkpoint", ck,
                       "--trigger", "once"])
     assert spark.read.parquet(sout).count() == RS.message_to_readings(m).count()
+
+
+OTHER = "location_id,sensors_id,location,datetime,lat,lon,parameter,unit,value\n"
+
+
+def test_columns_are_bound_by_header(spark):
+    """Reordered and extra columns, a quoted header, and a file name without a date in a day folder."""
+    from hazelake.sources.bronze import read_bronze
+    base = scratch_path(spark, "headers")
+    _write(base, "year=2025/month=07/day=01/locationid=1/part.csv.gz",
+           [("7", "77", "Hanoi", "2025-07-01T00:00:00+07:00", "21.0", "105.8", "pm25", "ug/m3", "12.5")], OTHER)
+    _write(base, "year=2025/locationid=2/month=07/location-2-20250702.csv.gz", [("3.5", "co", "2025-07-02T00:00:00Z")],
+           '"value","parameter","datetime"\n')
+    rows = {r.path_location_id: r for r in read_bronze(spark, base).collect()}
+    a, b = rows["1"], rows["2"]
+    assert (a.location_id, a.datetime, a.parameter, a.unit, a.value) == ("7", "2025-07-01T00:00:00+07:00", "pm25", "ug/m3", 12.5)
+    assert (b.location_id, b.datetime, b.parameter, b.unit, b.value) == (None, "2025-07-02T00:00:00Z", "co", None, 3.5)
+    assert (a.run_date, b.run_date) == (dt.date(2025, 7, 1), dt.date(2025, 7, 2))
+
+
+def test_a_file_without_required_columns_fails(spark):
+    from hazelake.sources.bronze import read_bronze
+    base = scratch_path(spark, "noheader")
+    _write(base, "year=2025/month=07/day=01/locationid=1/part.csv.gz", [("1", "pm25", "ug/m3")], "location_id,parameter,unit\n")
+    with pytest.raises(Exception, match="no header"):
+        read_bronze(spark, base).collect()
+
+
+def test_daily_runs_add_up_to_one_run(spark):
+    """Two local days in two runs share a UTC date: the tables equal those of one run."""
+    bronze, one, two = (scratch_path(spark, x) for x in ("inc-bronze", "inc-one", "inc-two"))
+    for d in (1, 2):
+        rows = [("1", f"2025-07-0{d}T{h:02d}:00:00+07:00", "pm25", "µg/m³", str(10.0 * d + h)) for h in range(24)]
+        _write(bronze, f"year=2025/month=07/day=0{d}/locationid=1/part.csv.gz", rows)
+    _write(bronze, "year=2025/month=07/day=02/locationid=2/part.csv.gz", [("2", *r[1:]) for r in rows[:3]])   # too few rows: the run fails
+    run_batch(spark, bronze, one, dt.date(2025, 7, 1), dt.date(2025, 7, 2))
+    for d in (1, 2, 2):   # the second day twice: a repeated run changes nothing
+        run_batch(spark, bronze, two, dt.date(2025, 7, d), dt.date(2025, 7, d))
+    for name in ("fact_aqi_hourly", "fact_aqi_daily", "dim_location", "dim_parameter", "dim_time"):
+        a, b = (spark.read.parquet(f"{x}/gold/{name}") for x in (one, two))
+        assert sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(map(str, b.select(*sorted(a.columns)).collect())), name
+    hourly = spark.read.parquet(f"{two}/gold/fact_aqi_hourly")
+    assert hourly.where("date = date'2025-07-01'").count() == 24 and hourly.count() == 48
+    assert spark.read.parquet(f"{two}/gold/dim_time").count() == 2
+    status = {(str(r.execution_date), str(r.locationid)): r.status for r in spark.read.json(f"{two}/gold/metadata").collect()}
+    assert status == {("2025-07-01", "1"): "SUCCESS", ("2025-07-02", "1"): "SUCCESS", ("2025-07-02", "2"): "FAILED"}
+
+
+def test_merge_keeps_partition_text_and_keys(spark):
+    from hazelake.operators.upsert import DAILY_KEYS, FACT_UPDATE
+    from hazelake.sources import sinks
+    path = scratch_path(spark, "merge")
+    cols = "location_id string, date date, parameter string, value_min double, value_max double, value_avg double, value_median double, value_count long, value_std double"
+    row = lambda v, d="2025-07-03", loc="1": (loc, dt.date.fromisoformat(d), "pm25", v, v, v, v, 1, None)
+    sinks.write_daily(spark.createDataFrame([row(1.0), row(2.0, "2025-08-04"), row(5.0, loc=None)], cols), path)
+    sinks.merge_fact(spark, path, spark.createDataFrame([row(9.0), row(3.0, "2025-07-05"), row(6.0, loc=None)], cols), DAILY_KEYS, FACT_UPDATE,
+                     scratch_path(spark, "merge-stage"), hourly=False)
+    got = sinks.read_table(spark, path, sinks.FACT_PARTITIONS[False])
+    assert sorted((str(r.location_id), str(r.date), r.value_avg, r.month) for r in got.collect()) == [
+        ("1", "2025-07-03", 9.0, "07"), ("1", "2025-07-05", 3.0, "07"), ("1", "2025-08-04", 2.0, "08"), ("None", "2025-07-03", 6.0, "07")]
+
+
+def test_gate_judges_unrounded_percentages(spark):
+    from hazelake.operators.quality import quality_report
+    n = 100_000   # two data columns: 40 002 empty cells of 200 000 are 20.001 %
+    df = spark.range(n).select(F.lit("1").alias("location_id"), F.lit(dt.date(2025, 7, 1)).alias("run_date"),
+                               F.when(F.col("id") >= 40_002, F.col("id")).alias("value"))
+    r = quality_report(df).first()
+    assert (r.null_percent, r.passed) == (20.0, False)
+
+
+def test_means_keep_small_values(spark):
+    from hazelake.operators import facts
+    df = spark.createDataFrame([("1", dt.date(2025, 7, 1), "co", 2e-7), ("1", dt.date(2025, 7, 1), "co", 4e-7)],
+                               "location_id string, date date, parameter string, value double")
+    r = facts.daily_fact(df).first()
+    assert r.value_min < r.value_avg < r.value_max and abs(r.value_avg - 3e-7) < 1e-20
+
+
+def test_alert_flag_needs_the_same_reading(spark):
+    """Two partitions hold the same offset: only the reading above the threshold is flagged."""
+    from hazelake.operators.alerts import flag_readings
+    t = dt.datetime(2025, 7, 1, 0, 30)   # 07:30 in UTC+7, inside a slot
+    df = spark.createDataFrame([("a", "aqi", t, 5, 180.0, "x"), ("b", "aqi", t, 5, 20.0, "x")],
+                               "location_id string, parameter string, created_at timestamp, event_id long, value double, main_pollutant string")
+    assert {r.location_id: r.alerted for r in flag_readings(df).collect()} == {"a": True, "b": False}
+
+
+def test_archive_of_text_ids_has_no_invented_offsets(spark):
+    from hazelake.sources.fixtures import messages
+    from hazelake.streaming import readings as RS
+    from conftest import SF_SMALL
+    m = messages(spark, SF_SMALL).limit(3).withColumn("location_id", F.lit("iqair_hanoi_hanoi"))
+    for r in RS.archive_rows(m).collect():
+        assert r._kafka_metadata.partition is None and r._kafka_metadata.offset is None and r._kafka_metadata.key == "iqair_hanoi_hanoi"
