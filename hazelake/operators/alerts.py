@@ -40,10 +40,21 @@ def first_in_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD, arrival
               .select(*SLOT_KEYS, "_a.*"))
 
 
+def position_columns(readings: DataFrame) -> list[str]:
+    return [c for c in ("kafka_partition", "sensor_position") if c in readings.columns]
+
+
+def alert_keys(readings: DataFrame) -> list[str]:
+    """What names one reading: offsets repeat across topic partitions, and a message may hold
+    several sensors, so the event id alone does not."""
+    return ["location_id", "parameter", "created_at", "event_id", *position_columns(readings)]
+
+
 def flag_readings(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
     """Every reading kept, `alerted` set on the first candidate of each slot (K8 rows)."""
-    alerts = first_in_slot(readings, threshold).select("event_id", F.lit(True).alias("_hit"))
-    return (readings.join(alerts, "event_id", "left")
+    keys = alert_keys(readings)
+    alerts = first_in_slot(readings, threshold, order=("created_at", "event_id", *position_columns(readings))).select(*keys, F.lit(True).alias("_hit"))
+    return (readings.join(alerts, keys, "left")
                     .withColumn("alerted", F.coalesce(F.col("_hit"), F.lit(False)))
                     .withColumn("alert_sent_at", F.when(F.col("alerted"), F.col("created_at")))
                     .drop("_hit"))

@@ -16,23 +16,18 @@ DAILY_KEYS = ["location_id", "date", "parameter"]
 STAT_COLS = ["value_min", "value_max", "value_avg", "value_median", "value_count", "value_std"]
 
 
-AVG_SCALE = 6            # decimals of the reported mean
-_IN_SCALE = 9            # input resolution of the exact sum (values are rounded to 1e-9 first)
-
-
 def exact_sum(v):
     """Order-independent sum: DECIMAL addition is exact, so every partitioning, retry or
-    engine gives the same total (a double sum depends on the order of additions)."""
-    return F.sum(v.cast(f"decimal(38,{_IN_SCALE})"))
+    engine gives the same total (a double sum depends on the order of additions). NULL where a
+    value does not fit 20 digits before and 18 after the point."""
+    fits = F.sum(F.when(v.isNotNull() & v.try_cast("decimal(38,18)").isNull(), 1).otherwise(0)) == 0
+    return F.when(fits, F.try_sum(v.try_cast("decimal(38,18)")))
 
 
-def rounded_mean(sum_col: str, count_col: str, scale: int = AVG_SCALE):
-    """Mean of an exact decimal sum, rounded half away from zero to `scale` decimals with
-    integer arithmetic, so ties (e.g. x.xxxxxx5 exactly) resolve the same way everywhere."""
-    unit = 10 ** (_IN_SCALE - scale)
-    si = f"CAST({sum_col} * {10 ** _IN_SCALE} AS DECIMAL(38,0))"
-    q = f"((abs({si}) * 2 + {count_col} * {unit}) div ({count_col} * {2 * unit}))"
-    return F.expr(f"CASE WHEN {count_col} = 0 THEN NULL WHEN {si} < 0 THEN -{q} ELSE {q} END / {10 ** scale}D")
+def full_mean(sum_col: str, count_col: str, mean_col: str):
+    """Mean at full double precision: of the exact sum, or the plain mean where there is none."""
+    exact = F.when(F.col(count_col) > 0, F.col(sum_col).cast("double") / F.col(count_col))
+    return F.coalesce(exact, F.col(mean_col))
 
 
 def _stats(silver: DataFrame, keys: list[str], value="value", median=True) -> DataFrame:
@@ -42,9 +37,9 @@ def _stats(silver: DataFrame, keys: list[str], value="value", median=True) -> Da
         base = base.where(F.col(k).isNotNull())
     v = F.col(value)
     algebraic = (base.groupBy(*keys).agg(
-        F.min(v).alias("value_min"), F.max(v).alias("value_max"), exact_sum(v).alias("_sum"),
+        F.min(v).alias("value_min"), F.max(v).alias("value_max"), exact_sum(v).alias("_sum"), F.avg(v).alias("_avg"),
         F.count(v).alias("value_count"), F.stddev_samp(v).alias("value_std"))
-        .withColumn("value_avg", rounded_mean("_sum", "value_count")).drop("_sum"))
+        .withColumn("value_avg", full_mean("_sum", "value_count", "_avg")).drop("_sum", "_avg"))
     if not median:
         return algebraic
     med = group_quantiles(base, keys, value, {"value_median": 0.5}, with_count=False)

@@ -36,9 +36,10 @@ def quality_report(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
     ncols = len(cols)
     rep = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_records"),
                                 F.sum(_null_sum(cols)).alias("null_count"))
-    pct = F.round(F.col("null_count") / (F.col("total_records") * F.lit(ncols)) * 100, 2)
+    raw = F.col("null_count") / (F.col("total_records") * F.lit(ncols)) * 100   # judged as it is, rounded for the report
+    pct = F.round(raw, 2)
     too_few = F.col("total_records") < min_records
-    too_null = pct > max_null_percent
+    too_null = raw > max_null_percent
     return rep.withColumns({
         "null_percent": pct,
         "passed": ~too_few & ~too_null,
@@ -57,7 +58,7 @@ def quality_gate(df: DataFrame, report: DataFrame | None = None, keys=RUN_KEYS)
 
 def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
                         max_null_percent=K.MAX_NULL_PERCENT,
-                        max_duplicate_percent=K.MAX_DUPLICATE_PERCENT, extra_aggs=()) -> DataFrame:
+                        max_duplicate_percent=K.MAX_DUPLICATE_PERCENT, extra_aggs=(), keep_raw=False) -> DataFrame:
     """+ full-row duplicates (count - distinct rows), per-column NULL counts, issue texts."""
     cols = data_columns(df, keys)
     ncols = len(cols)
@@ -70,19 +71,21 @@ def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
     for c in cols:
         null_count = F.col(f"nulls_{c}") if null_count is None else null_count + F.col(f"nulls_{c}")
     rep = (rep.withColumn("null_count", null_count)
-              .withColumn("null_percent", F.round(F.col("null_count") / (F.col("total_records") * ncols) * 100, 2))
+              .withColumn("_null_raw", F.col("null_count") / (F.col("total_records") * ncols) * 100)
+              .withColumn("null_percent", F.round("_null_raw", 2))
               .withColumn("duplicate_count", F.col("total_records") - F.col("_distinct"))
-              .withColumn("duplicate_percent",
-                          F.round(F.col("duplicate_count") / F.col("total_records") * 100, 2))
+              .withColumn("_dup_raw", F.col("duplicate_count") / F.col("total_records") * 100)
+              .withColumn("duplicate_percent", F.round("_dup_raw", 2))
               .drop("_distinct"))
     too_few = F.col("total_records") < min_records
-    too_null = F.col("null_percent") > max_null_percent
-    too_dup = F.col("duplicate_percent") > max_duplicate_percent
-    return (rep.withColumn("passed", ~too_few & ~too_null & ~too_dup)
+    too_null = F.col("_null_raw") > max_null_percent
+    too_dup = F.col("_dup_raw") > max_duplicate_percent
+    rep = (rep.withColumn("passed", ~too_few & ~too_null & ~too_dup)
                .withColumn("issues", F.concat_ws("; ",
                    F.when(too_few, F.lit("Too few records")),
                    F.when(too_null, F.lit("Too many nulls")),
                    F.when(too_dup, F.lit("Too many duplicates")))))
+    return rep if keep_raw else rep.drop("_null_raw", "_dup_raw")
 
 
 RULES = [
@@ -98,7 +101,7 @@ def quality_rules(df: DataFrame, keys=RUN_KEYS, parameter="parameter", value="va
     """One row per (run, rule): observed value, threshold, passed."""
     # one grouped pass: the invalid-value count rides along with the full report
     j = quality_report_full(df, keys, extra_aggs=[
-        F.sum((~is_value_valid(parameter, value)).cast("long")).alias("_invalid")])
+        F.sum((~is_value_valid(parameter, value)).cast("long")).alias("_invalid")], keep_raw=True)
     observed = {"count_check": F.col("total_records").cast("double"),
                 "null_check": F.col("null_percent"),
                 "duplicate_check": F.col("duplicate_percent"),
@@ -106,7 +109,8 @@ def quality_rules(df: DataFrame, keys=RUN_KEYS, parameter="parameter", value="va
     entries = []
     for name, level, kind, thr in RULES:
         obs = observed[kind]
-        ok = obs >= F.lit(thr) if kind == "count_check" else obs <= F.lit(thr)
+        judged = {"null_check": F.col("_null_raw"), "duplicate_check": F.col("_dup_raw")}.get(kind, obs)
+        ok = judged >= F.lit(thr) if kind == "count_check" else judged <= F.lit(thr)
         entries.append(F.struct(F.lit(name).alias("rule"), F.lit(level).alias("level"),
                                 F.lit(kind).alias("check_type"), obs.alias("observed"),
                                 F.lit(float(thr)).alias("threshold"), ok.alias("passed")))

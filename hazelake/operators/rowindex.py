@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazelake.session import materialize
+
 
 def global_index(df: DataFrame, order_cols: list[str], name: str = "idx",
                  chunks: int | None = None) -> DataFrame:
     """Adds `name` = 0-based position in `order_cols` order (the order must be total)."""
     n = chunks or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_chunk", F.spark_partition_id())
+    # stored once: range bounds come from sampling, and both readers below must see the same chunks
+    ranged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_chunk", F.spark_partition_id()), "range-chunks")
     ranged = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_chunk").orderBy(*order_cols)))
     sizes = ranged.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_t"))
     offs = sizes.select("_chunk", F.coalesce(

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.functions.aqi import band, threshold_flags
-from hazelake.session import reusable
 
 SERIES_PARAMETERS = ["pm25", "pm10", "co", "no2", "o3", "so2"]
 
@@ -20,28 +19,30 @@ def as_of(df: DataFrame, ts="measurement_time") -> Column:
 
 
 def within(df: DataFrame, ts: str, hours: int, now: Column | None = None) -> DataFrame:
+    """Rows of the last `hours` before `now` (default: the newest instant, a scalar subquery over
+    the time column alone). Nothing is written: on a stored table the bound reaches its scan."""
     if now is None:
-        df = reusable(df, "serve-input")   # read by the as-of subquery and by the filter
         now = as_of(df, ts)
     return df.where(F.col(ts) > now - F.make_interval(hours=F.lit(hours)))
 
 
 def series(df: DataFrame, parameter: str, ts="measurement_time", value="value",
-           hours: int = 6) -> DataFrame:
+           hours: int = 6, now: Column | None = None) -> DataFrame:
     """O1: one parameter over the dashboard window, ordered by time."""
-    w = within(df, ts, hours).where(F.col("parameter") == parameter)
+    w = within(df, ts, hours, now).where(F.col("parameter") == parameter)
     return w.select(F.col(ts).alias("time"), F.col(value).alias("value")).orderBy("time")
 
 
-def series_wide(df: DataFrame, ts="measurement_time", value="value", hours: int = 6) -> DataFrame:
+def series_wide(df: DataFrame, ts="measurement_time", value="value", hours: int = 6,
+                now: Column | None = None) -> DataFrame:
     """The six series side by side (max per instant when stations share a timestamp)."""
-    w = within(df, ts, hours).where(F.col("parameter").isin(SERIES_PARAMETERS))
+    w = within(df, ts, hours, now).where(F.col("parameter").isin(SERIES_PARAMETERS))
     return (w.groupBy(F.col(ts).alias("time")).pivot("parameter", SERIES_PARAMETERS).agg(F.max(value)))
 
 
-def latest_readings(readings: DataFrame, limit: int = 100, hours: int = 24) -> DataFrame:
+def latest_readings(readings: DataFrame, limit: int = 100, hours: int = 24, now: Column | None = None) -> DataFrame:
     """O2: last 24 h, newest first, top 100 (TakeOrderedAndProject), unique tie-break."""
-    w = within(readings, "measurement_time", hours)
+    w = within(readings, "measurement_time", hours, now)
     return (w.orderBy(F.col("measurement_time").desc(), F.col("location_id"), F.col("event_id"))
              .limit(limit)
              .select("location_name", "parameter", "value", "unit", "measurement_time",
@@ -49,14 +50,14 @@ def latest_readings(readings: DataFrame, limit: int = 100, hours: int = 24) -> D
                      "event_id"))
 
 
-def readings_24h(readings: DataFrame, hours: int = 24) -> DataFrame:
+def readings_24h(readings: DataFrame, hours: int = 24, now: Column | None = None) -> DataFrame:
     """Readings in the last 24 h."""
-    return within(readings, "measurement_time", hours).agg(F.count(F.lit(1)).alias("count"))
+    return within(readings, "measurement_time", hours, now).agg(F.count(F.lit(1)).alias("count"))
 
 
-def alerts_24h(readings: DataFrame, hours: int = 24) -> DataFrame:
+def alerts_24h(readings: DataFrame, hours: int = 24, now: Column | None = None) -> DataFrame:
     """Alerted readings in the last 24 h."""
-    w = within(readings, "measurement_time", hours).where(F.col("alerted"))
+    w = within(readings, "measurement_time", hours, now).where(F.col("alerted"))
     return w.agg(F.count(F.lit(1)).alias("count")).withColumn("band", band("count", "alerts"))
 
 

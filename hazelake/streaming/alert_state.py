@@ -1,8 +1,9 @@
 """T4 as a stateful stream: at most one alert per (station, parameter, local date, slot).
 
 Keyed by (location_id, parameter) with `applyInPandasWithState`; inside a micro-batch
-the rows of a key are ordered by arrival, decided in a vectorised pandas step, and the
-state keeps only the alerted slot keys of the last two local dates (bounded).
+the rows of a key are ordered by arrival, decided in a vectorised pandas step. The state keeps
+every alerted slot key (at most two a day for a station), so late and out-of-order batches
+never raise a second alert.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ OUT_SCHEMA = ("location_id string, parameter string, event_id long, created_at t
               "measurement_time timestamp, value double, main_pollutant string, "
               "location_name string, alerted boolean, slot_date date, slot_hour int")
 STATE_SCHEMA = "slots string"
-KEEP_DAYS = 2
 
 
 def _decide(key, pdfs: Iterator[pd.DataFrame], state, threshold: float) -> Iterator[pd.DataFrame]:
@@ -38,10 +38,6 @@ def _decide(key, pdfs: Iterator[pd.DataFrame], state, threshold: float) -> Itera
     df = df.assign(alerted=first.astype(bool), slot_date=day.where(in_slot),
                    slot_hour=hour.where(in_slot).astype("Int32"))
     seen |= set(slot[first])
-    if seen:
-        newest = max(s.split("T")[0] for s in seen)
-        keep_from = (pd.Timestamp(newest) - pd.Timedelta(days=KEEP_DAYS - 1)).date().isoformat()
-        seen = {s for s in seen if s.split("T")[0] >= keep_from}
     state.update((",".join(sorted(seen)),))
     cols = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
     yield df[cols]
@@ -60,9 +56,10 @@ def alert_once_per_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -
     thr = float(threshold)
     if not readings.isStreaming:
         # bounded input: the same decision as an aggregate (first candidate per slot)
-        from hazelake.operators.alerts import first_in_slot, with_slot
-        firsts = first_in_slot(readings.select(*cols), thr).select("event_id", F.lit(True).alias("_first"))
-        out = (with_slot(readings.select(*cols)).join(firsts, "event_id", "left")
+        from hazelake.operators.alerts import alert_keys, first_in_slot, with_slot
+        keys = alert_keys(readings.select(*cols))
+        firsts = first_in_slot(readings.select(*cols), thr).select(*keys, F.lit(True).alias("_first"))
+        out = (with_slot(readings.select(*cols)).join(firsts, keys, "left")
                .withColumn("alerted", F.coalesce(F.col("_first"), F.lit(False))))
         return out.select(*[c.split()[0] for c in OUT_SCHEMA.split(", ")])
 

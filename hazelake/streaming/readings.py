@@ -14,7 +14,7 @@ from hazelake import constants as K
 from hazelake import schemas
 from hazelake.functions.text import falsy_coalesce
 from hazelake.functions.timeparse import parse_utc_chain, partition_keys
-from hazelake.operators.facts import exact_sum, rounded_mean
+from hazelake.operators.facts import exact_sum, full_mean
 
 
 def message_to_readings(msgs: DataFrame) -> DataFrame:
@@ -76,8 +76,10 @@ def archive_rows(msgs: DataFrame) -> DataFrame:
     """T5 rows: message + metadata, filed per row under year/month/day/hour of its timestamp
     (unparsable -> ingest time)."""
     ts = parse_utc_chain(F.col("timestamp"), fallback=F.col("ingest_ts"))
-    with_meta = kafka_metadata(msgs.withColumn("_partition", F.pmod(F.col("location_id").cast("int"), F.lit(3)))
-                                   .withColumn("_offset", F.col("event_id")))
+    for c, kind in (("_partition", "int"), ("_offset", "long")):   # a file source has neither
+        if c not in msgs.columns:
+            msgs = msgs.withColumn(c, F.lit(None).cast(kind))
+    with_meta = kafka_metadata(msgs)
     return with_meta.drop("_partition", "_offset").select("*", *partition_keys(ts))
 
 
@@ -94,9 +96,10 @@ def hourly_window(readings: DataFrame, watermark="2 hours") -> DataFrame:
     return (readings.withWatermark("measurement_time", watermark)
                     .groupBy("location_id", "parameter", F.window("measurement_time", "1 hour").alias("w"))
                     .agg(F.min("value").alias("value_min"), F.max("value").alias("value_max"),
-                         exact_sum(F.col("value")).alias("_sum"), F.count("value").alias("value_count"))
+                         exact_sum(F.col("value")).alias("_sum"), F.avg("value").alias("_avg"),
+                         F.count("value").alias("value_count"))
                     .select("location_id", "parameter", F.col("w.start").alias("window_start"),
-                            "value_min", "value_max", rounded_mean("_sum", "value_count").alias("value_avg"),
+                            "value_min", "value_max", full_mean("_sum", "value_count", "_avg").alias("value_avg"),
                             "value_count"))
 
 

@@ -20,12 +20,32 @@ def test_no_forbidden_operators(spark, name):
 
 
 def test_pushdown_into_scan(spark):
+    """On a stored table the parameter and the time bound reach the scan; nothing is written."""
     import contextlib
     import io
-    df = E.queries()["series_pm25"](spark, SF_SMALL)
+
+    from pyspark.sql import functions as F
+
+    from hazelake.operators import serve
+    from hazelake.plans.stages import Stages
+    from hazelake.session import scratch_path
+    path = scratch_path(spark, "serving")
+    Stages(spark, SF_SMALL).V().write.parquet(path)
+    stored = spark.read.parquet(path)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        serve.series(stored, "pm25", "datetime", now=F.lit("2025-07-10 00:00:00").cast(stored.schema["datetime"].dataType)).explain("formatted")
     text = buf.getvalue()
-    assert "EqualTo(parameter,pm25)" in text
-    assert "ReadSchema: struct<parameter:string,datetime:timestamp,value:double>" in text
+    assert "EqualTo(parameter,pm25)" in text and "GreaterThan(datetime,2025-07-09" in text
+
+
+def test_serving_writes_nothing(spark, monkeypatch):
+    from hazelake import session
+    from hazelake.operators import serve
+    from hazelake.plans.stages import Stages
+
+    def refuse(*_, **__):
+        raise AssertionError("a serving query wrote a copy of its input")
+    v = Stages(spark, SF_SMALL).V()
+    monkeypatch.setattr(session, "materialize", refuse)
+    assert serve.series(v, "pm25", "datetime").count() > 0
