@@ -14,7 +14,6 @@ from __future__ import annotations
 MIN_RECORDS = 10
 MAX_NULL_PERCENT = 20.0
 MAX_DUPLICATE_PERCENT = 5.0
-MAX_OUTLIER_PERCENT = 10.0
 IQR_MIN_ROWS = 10          # pipeline IQR runs only when a run has more rows than this
 IQR_MULTIPLIER = 1.5
 ZSCORE_THRESHOLD = 3.0

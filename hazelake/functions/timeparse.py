@@ -63,11 +63,6 @@ def parse_datetime_helper(df: DataFrame, column="datetime") -> DataFrame:
     return add_date_parts(df.withColumn(column, parse_utc(column)), column, with_names=True)
 
 
-def local_time(ts, offset=K.LOCAL_OFFSET) -> Column:
-    """Wall clock at a fixed offset (UTC+7)."""
-    return F.from_utc_timestamp(_c(ts), offset)
-
-
 def dim_time_parts(date_col) -> list[Column]:
     """Day, month, year, weekday name, weekend flag, quarter for a date."""
     d = _c(date_col)
