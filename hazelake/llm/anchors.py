@@ -231,7 +231,8 @@ def repeated_ranges(docs: DataFrame, rule: Rule) -> DataFrame:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     found = materialize(texts.mapInArrow(_find(rule), f"h bigint, content bigint, doc_id {kind}, place bigint"), "segments")
     alone = found.groupBy("h").agg(F.count("*").alias("__c"), *([] if rule.anywhere else [F.min("doc_id").alias("__lo"), F.max("doc_id").alias("__hi")]))
-    several = alone.where("__c > 1" if rule.anywhere else "__lo < __hi").select("h")
+    # written first: with a plain table on that side Spark can split a hot anchor's rows in the join
+    several = materialize(alone.where("__c > 1" if rule.anywhere else "__lo < __hi").select("h"), "several")
     shared = materialize(found.join(several, "h", "left_semi"), "shared")
     by_content = shared.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "place")).alias("first"))
     by_content = materialize(by_content, "contents")
