@@ -179,10 +179,13 @@ def _resolve(rule: Rule):
              pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.bool_())], names)
         hot = np.flatnonzero(col["hot"][row])
         if len(hot):
-            # one row for each different window of a task; it asks for itself only if nothing here settles it
-            _, first = np.unique(np.where(repeated[hot] if not rule.anywhere else False, -1, label[hot]), return_index=True)
-            hot = hot[np.sort(first)]
-            hot = hot[~repeated[hot]] if not rule.anywhere else hot
+            if rule.anywhere:
+                # one row for each different window of a task: one that occurs twice here is settled, and only counts
+                _, first = np.unique(label[hot], return_index=True)
+                hot = hot[np.sort(first)]
+            else:
+                # every occurrence in the smallest document of a task asks for itself
+                hot = hot[~repeated[hot]]
             r = row[hot]
             prefix = prefix_hashes(rows.symbols)
             s = rows.begin[r] + at[hot]

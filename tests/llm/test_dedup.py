@@ -20,6 +20,19 @@ def test_seed_extend_matches_brute_force(spark, monkeypatch, hot):
     assert got == H.repeated_words(rows)
 
 
+def test_seed_extend_removes_every_occurrence_of_a_hot_window(spark, monkeypatch):
+    """Passages twice in document 2 with one context, and in document 1 with another: in other tasks."""
+    monkeypatch.setattr(anchors, "HOT", 1)
+    part = lambda name, i: " ".join(f"{name}{i}x{j}" for j in range(60))
+    texts = {1: " ".join(f"{part('a', i)} {part('p', i)} {part('b', i)}" for i in range(12)),
+             2: " ".join(f"{part('x', i)} {part('p', i)} {part('y', i)}" for i in [*range(12), *range(12)])}
+    rows = [(i, t, None, None, None, None, None) for i, t in texts.items()]
+    want = H.repeated_words(rows)
+    assert want[2][1] == 2 * 12 * 60
+    got = {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in H.by_id(repeats.digests(H.frame(spark, rows))).items()}
+    assert got == want
+
+
 def test_minmax_matches_brute_force(spark):
     rows = H.docs()
     got = {i: (r.n_shingles, r.component_id, r.kept) for i, r in H.by_id(neardup.near_duplicates(H.frame(spark, rows))).items()}
