@@ -3,9 +3,11 @@
 Detected entities are replaced by keyed, type-consistent surrogates: digits stay digits, letters
 keep their case, separators stay, card numbers keep their first digit and a valid check digit,
 IP addresses stay valid (in the unassigned block 240/4), e-mail hosts end in a reserved example
-domain, secrets keep their shape, and names after a form of address keep gender, script, case and
-number of words (the surrogate depends on each name word, so "Mr Ann Lee" and "Ms Lee" still
-share their last name). The same value gets the same surrogate in every document.
+domain, secrets keep their shape, and names after a form of address keep gender, script, case,
+particles and number of words (the surrogate depends on each name word, so "Mr Ann Lee" and "Ms
+Lee" still share their last name; initials become other initials). Capitalised mentions of a name
+word elsewhere in the same document get its surrogate too. The same value gets the same surrogate
+in every document.
 
 All distinct values of the corpus form one table. Surrogates are checked there: two values with
 one surrogate, or a surrogate that is itself a value of the corpus, get the next attempt of the
@@ -18,6 +20,8 @@ texts get equal results; all other columns pass as they are.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +34,27 @@ _MALE = "Mr|Herr|Monsieur|Señor|Sr|Don|Signor|Господин|Г-н|Κύριο
 _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Señorita|Doña|Signora|Господжа|Госпожа|Г-жа|Κυρία"
 _NEUTRAL = "Dr|Prof"
 _TITLES = "|".join(t for title in f"{_MALE}|{_FEMALE}|{_NEUTRAL}".split("|") for t in dict.fromkeys((title, title.upper())))
-_NAME_WORD = r"\p{Lu}[\p{L}’'-]+"
+_MORE = "|".join(t for title in _NEUTRAL.split("|") for t in (title, title.upper()))
+_PARTICLE = "von|vom|van|de|del|della|di|da|do|dos|das|du|des|zu|zur|af|av|ter|ten|bin|ibn|al|el|la|le|y|e|фон|ван|де"
+_AFTER = "der|den|dem|la|las|los|het"  # only after another particle
+#: A name word without a possessive s; prefixes like d’ and al- belong to it.
+_TAIL = r"(?:[’'-](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)"
+_NAME_WORD = rf"(?:[dl][’']|(?:al|el)-)?\p{{Lu}}(?:[\p{{L}}\p{{M}}]+{_TAIL}*+|{_TAIL}++)"
+_PARTICLES = rf"(?:(?:{_PARTICLE})(?: (?:{_AFTER}))? ){{0,2}}"
+_INITIALS = rf"(?:(?:\p{{Lu}}\p{{M}}*\.-?)+(?<!-)(?!\p{{L}})|\p{{Lu}}\p{{M}}*(?= {_PARTICLES}{_NAME_WORD}))"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
 SECRET_MARK = r"(?i:token|secret|password|passwd|pwd|api[_-]?key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
-SECRET = SECRET_MARK + r"[A-Za-z0-9+/_-]{8,128}"
+#: To white space, a quote, a bracket or a separator; the punctuation that ends a sentence stays out.
+SECRET = SECRET_MARK + r"[!-~&&[^\"'`,;&<>(){}\[\]|\\]]{7,}[A-Za-z0-9+/_=-]"
 CLOUD_KEY = r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAME_WORD}(?: {_NAME_WORD}){{0,2}}"
+NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.?(?: (?:{_MORE})\.?(?= ))*+(?: (?:{_PARTICLES}{_NAME_WORD}|{_INITIALS}))++"
+MENTION = rf"(?<![\p{{L}}\p{{M}}]){_NAME_WORD}"
 KINDS = (("email", EMAIL), ("cloud_key", CLOUD_KEY), ("secret", SECRET), ("ipv4", IPV4), ("ssn", SSN), ("phone", PHONE), ("card", CARD), ("name", NAME))
 #: Entities start where no ASCII letter or digit stands before; the first character picks the kinds to try.
 ANY = (rf"(?<![A-Za-z0-9])(?:(?=[A-Za-z0-9])(?:{EMAIL}|{CLOUD_KEY})|(?=[TtSsPpAa]){SECRET}"
@@ -53,6 +66,7 @@ _SYLLABLES = {"latin": "ba be bi bo da de di do ka ke ki ko la le li lo ma me mi
 _ENDINGS = {("latin", "m"): "n", ("latin", "f"): "na", ("latin", "n"): "le", ("latin", "last"): "rsen",
             ("cyrillic", "m"): "н", ("cyrillic", "f"): "на", ("cyrillic", "n"): "ль", ("cyrillic", "last"): "енко",
             ("greek", "m"): "ς", ("greek", "f"): "να", ("greek", "n"): "λι", ("greek", "last"): "κης"}
+_LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 
 
 def kind_of(value: Column) -> Column:
@@ -153,15 +167,40 @@ def script_of(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def name_parts(names: DataFrame) -> DataFrame:
-    """(value, pos, word, kind) of every name's words; the form of address comes first and has no kind."""
+def initials(word: Column, key: str) -> Column:
+    """Every initial turned by a keyed step in its alphabet, so that different ones stay different;
+    capitals outside these alphabets become some Latin letter."""
+    steps = hashlib.sha256(f"{key}\u0001initials".encode()).digest()
+    turned = "".join(x[(k := 1 + steps[i] % (len(x) - 1)):] + x[:k] for i, x in enumerate(_LETTERS))
+    known = "".join(_LETTERS)
+    return F.translate(F.regexp_replace(word, rf"[\p{{Lu}}&&[^{known}]]\p{{M}}*", "X"), known, turned)
+
+
+def is_initials(word: Column) -> Column:
+    return word.rlike(r"^(?:\p{Lu}\p{M}*|(?:\p{Lu}\p{M}*\.-?)+)$")
+
+
+def is_name_word(word: Column) -> Column:
+    return ~(is_initials(word) | word.rlike(rf"^(?:(?:{_MORE})\.?|{_PARTICLE}|{_AFTER})$"))
+
+
+def with_name_words(kinds: DataFrame) -> DataFrame:
+    """Adds the words of names, the place of the last name and the gender of the form of address."""
+    name = F.col("kind") == "name"
     title = F.regexp_replace(F.substring_index("value", " ", 1), r"\.$", "")
     gender = F.when(title.rlike(f"^(?i:{_MALE})$"), "m").when(title.rlike(f"^(?i:{_FEMALE})$"), "f").otherwise("n")
     words = F.split("value", " ")
-    return names.select("value", F.size(words).alias("__n"), gender.alias("__g"), F.posexplode(words).alias("pos", "word")).select(
-        "value", "pos", "word",
-        F.when(F.col("pos") > 0, F.concat(F.lit("name/"), script_of(F.col("word")), F.lit("/"),
-                                          F.when(F.col("pos") == F.col("__n") - 1, "last").otherwise(F.col("__g")))).alias("kind"))
+    last = F.array_max(F.transform(words, lambda w, i: F.when((i > 0) & is_name_word(w), i)))
+    return kinds.select("*", F.md5("value").alias("id"), F.when(name, words).alias("words"), F.when(name, last).alias("last"), F.when(name, gender).alias("gender"))
+
+
+def name_parts(names: DataFrame) -> DataFrame:
+    """(id, pos, word, kind) of every name's words, from stored columns of ``with_name_words``: a
+    name may be long. Forms of address (one comes first), particles and initials have no kind."""
+    return names.select("id", "last", "gender", F.posexplode("words").alias("pos", "word")).select(
+        "id", "pos", "word",
+        F.when((F.col("pos") > 0) & is_name_word(F.col("word")),
+               F.concat(F.lit("name/"), script_of(F.col("word")), F.lit("/"), F.when(F.col("pos") == F.col("last"), "last").otherwise(F.col("gender")))).alias("kind"))
 
 
 def settle(values: DataFrame, key: str) -> DataFrame:
@@ -183,26 +222,50 @@ def settle(values: DataFrame, key: str) -> DataFrame:
 
 
 def surrogate_table(matches: DataFrame, key: str) -> DataFrame:
-    """(value, surrogate) of all distinct matches (column value) that are entities."""
+    """(value, surrogate, words) of all distinct matches (column value) that are entities; words
+    are a name's words with their surrogates, last names first."""
     kinds = matches.select("value").distinct().withColumn("kind", kind_of(F.col("value")))
     kinds = kinds.where(real(F.col("kind"), F.col("value"))).withColumn("mark", mark_of(F.col("kind"), F.col("value")))
-    kinds = materialize(kinds.withColumn("core", F.expr("substring(value, length(mark) + 1)")), "pii-kinds")
+    kinds = materialize(with_name_words(kinds.withColumn("core", F.expr("substring(value, length(mark) + 1)"))), "pii-kinds")
     parts = name_parts(kinds.where(F.col("kind") == "name"))
     words = parts.where(F.col("kind").isNotNull()).select("kind", F.lower("word").alias("value")).distinct()
     cores = kinds.where(F.col("kind") != "name").select("kind", F.col("core").alias("value")).distinct()
     settled = settle(cores.unionByName(words), key)
     w = settled.select(F.col("kind").alias("__k"), F.col("value").alias("__w"), F.col("surrogate").alias("__s"))
     named = parts.join(w, (F.col("kind") == F.col("__k")) & (F.lower("word") == F.col("__w")), "left")
-    cased = F.when(F.col("__s").isNull(), F.col("word")).when(
-        (F.col("word") == F.upper("word")) & (F.length("word") > 1), F.upper("__s")).otherwise(F.initcap("__s"))
-    names = named.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("pos", cased.alias("w")))).alias("__ws")).select(
-        "value", F.array_join(F.col("__ws.w"), " ").alias("surrogate"))
+    initial = (F.col("pos") > 0) & F.col("kind").isNull() & is_initials(F.col("word"))
+    new = F.when(initial, initials(F.col("word"), key)).when(F.col("__s").isNull(), F.col("word")).otherwise(cased(F.col("word"), F.col("__s")))
+    word = F.when(F.col("__s").isNotNull(), F.struct(F.col("__w").alias("word"), (~F.col("kind").endswith("/last")).alias("given"), F.col("__s").alias("s")))
+    names = named.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", new.alias("w")))).alias("__ws"), F.collect_list(word).alias("words"))
+    names = kinds.where(F.col("kind") == "name").select("id", "value").join(names, "id").select(
+        "value", F.array_join(F.col("__ws.w"), " ").alias("surrogate"), "words")
     others = kinds.where(F.col("kind") != "name").join(w, (F.col("kind") == F.col("__k")) & (F.col("core") == F.col("__w")))
-    return others.select("value", F.concat("mark", "__s").alias("surrogate")).unionByName(names)
+    none = F.lit(None).cast("array<struct<word:string,given:boolean,s:string>>")
+    return others.select("value", F.concat("mark", "__s").alias("surrogate"), none.alias("words")).unionByName(names)
+
+
+def cased(word: Column, surrogate: Column) -> Column:
+    return F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+
+
+def mentions(part: Column, words: Column) -> Column:
+    """Pieces (text, n) of a text part; n is the number of name words that the piece replaces."""
+    def one(word):
+        return cased(word, words[F.lower(word)])
+
+    def swap(token):
+        whole = F.map_contains_key(words, F.lower(token))
+        some = F.filter(F.split(token, "-"), lambda x: F.map_contains_key(words, F.lower(x)))
+        by_part = F.array_join(F.transform(F.split(token, "-"), lambda x: F.coalesce(one(x), x)), "-")
+        return F.struct(F.when(whole, one(token)).otherwise(by_part).alias("t"), F.when(whole, 1).otherwise(F.size(some)).alias("n"))
+    between = F.transform(F.split(part, MENTION, -1), lambda x: F.struct(x.alias("t"), F.lit(0).alias("n")))
+    tokens = F.transform(F.regexp_extract_all(part, F.lit(MENTION), F.lit(0)), swap)
+    return F.flatten(F.zip_with(between, tokens, lambda x, y: F.array(x, F.coalesce(y, F.struct(F.lit("").alias("t"), F.lit(0).alias("n"))))))
 
 
 def replace(docs: DataFrame, key: str = DEMO_KEY, text: str = "text", out_count: str | None = None) -> DataFrame:
-    """``docs`` with surrogates in ``text``; ``out_count`` names an added column of replaced entities."""
+    """``docs`` with surrogates in ``text``; ``out_count`` names an added column of replaced entities,
+    mentions of name words included."""
     names = docs.columns
     docs = docs.withColumn(text, F.col(text).cast("string"))
     body = F.col(f"`{text}`")
@@ -213,12 +276,21 @@ def replace(docs: DataFrame, key: str = DEMO_KEY, text: str = "text", out_count:
     pairs = materialize(per_text.select("__text", F.explode("__found").alias("value")).distinct(), "pii-matches")
     table = materialize(surrogate_table(pairs, key), "pii-surrogates")
     maps = pairs.join(table, "value").groupBy("__text").agg(
-        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__map"))
+        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__map"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("__all"))
+    every = F.col("__all")
+    chosen = F.filter(every, lambda x, i: (i == 0) | (F.get(every, i - 1)["word"] != x["word"]))  # a last name before a given name
+    maps = maps.select("__text", "__map", F.map_from_entries(F.transform(chosen, lambda x: F.struct(x["word"], x["s"]))).alias("__words"))
     joined = marked.withColumn("__text", F.md5(body)).join(maps, "__text", "left")
-    parts, hits = F.split(body, ANY, -1), found
+    hits = found
+    joined = joined.withColumn("__parts", F.when(F.coalesce(F.size("__words"), F.lit(0)) > 0, F.transform(F.split(body, ANY, -1), lambda p: mentions(p, F.col("__words")))))
+    swapped = F.transform("__parts", lambda p: F.array_join(p["t"], ""))
+    parts = F.coalesce(swapped, F.split(body, ANY, -1))
+    again = F.coalesce(F.aggregate(F.flatten("__parts"), F.lit(0), lambda n, p: n + p["n"]), F.lit(0))
     new = F.transform(hits, lambda v: F.coalesce(F.col("__map")[v], v))
     rebuilt = F.array_join(F.flatten(F.zip_with(parts, new, lambda p, s: F.array(p, F.coalesce(s, F.lit(""))))), "")
-    count = F.coalesce(F.size(F.filter(hits, lambda v: F.map_contains_key(F.coalesce(F.col("__map"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), v))), F.lit(0)).cast("long")
+    count = F.coalesce(F.size(F.filter(hits, lambda v: F.map_contains_key(F.coalesce(F.col("__map"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), v))), F.lit(0))
+    count = (count + again).cast("long")
     keep = [F.col(f"`{c}`") for c in names]
     changed = joined.select(*[rebuilt.alias(text) if c == text else k for c, k in zip(names, keep, strict=True)], *([count.alias(out_count)] if out_count else []))
     same = clean.select(*keep, *([F.lit(0).cast("long").alias(out_count)] if out_count else []))

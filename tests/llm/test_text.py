@@ -122,6 +122,24 @@ def test_surrogates(spark):
     assert other[0] != text[0]
 
 
+def test_surrogates_replace_whole_entities_and_later_mentions(spark):
+    long, jwt = "k3Y" * 100, "eyJhbGciOi.eyJzdWIiOjEyMzQ1.SflKxwRJSM-eK_w"
+    texts = [f"api_key={long} end", f"token={jwt}. Then password='p4ss$word!xyz9' done", "Sr Juan Carlos Garcia Lopez de la Vega spoke",
+             "Smith left. Mr J. Smith and Herr von Berg met; later Smith’s friend SMITH, the Berg-Smith house and a smith saw J.",
+             "Herr Prof. Dr. Müller, Mme d’Arc, Mr J.-P. O’Brien, Dr A Weiss", "Smith alone", "MR " + "AB " * 20000 + "end"]
+    got = {r.doc_id: r for r in pii.replace(H.frame(spark, [(i, t, None, None, None, i, "x") for i, t in enumerate(texts)]), out_count="n").collect()}
+    text = {i: r.text for i, r in got.items()}
+    key = text[0].removeprefix("api_key=").removesuffix(" end")
+    assert len(key) == 300 and "k3Yk3Y" not in key
+    assert not any(x in text[1] for x in [*jwt.replace("-", ".").split("."), "p4ss", "word!", "xyz9"]) and ". Then password='" in text[1] and text[1].endswith("' done")
+    assert not any(x in text[2] for x in "Juan Carlos Garcia Lopez Vega".split()) and text[2].endswith("spoke") and " de la " in text[2]
+    assert not any(x in text[3] for x in ("Smith", "SMITH", "Berg", "J. S")) and "a smith saw J." in text[3] and "Herr von " in text[3]
+    last = text[3].split()[0]
+    assert text[3].split("Mr ")[1].split()[1] == last and f"{last}’s friend {last.upper()}," in text[3] and f"-{last} house" in text[3] and got[3].n == 2 + 5
+    assert not any(x in text[4] for x in ("Müller", "Arc", "J.-P.", "Brien", "A W", "Weiss")) and text[4].startswith("Herr Prof. Dr. ")
+    assert text[5] == "Smith alone" and "AB" not in text[6].split()
+
+
 def test_surrogate_collisions_are_settled(spark):
     """Two-digit values have few surrogates: all stay distinct and none is a value of the corpus."""
     values = spark.range(40).select(F.lit("code").alias("kind"), F.format_string("%02d", F.col("id") * 2).alias("value"))
