@@ -27,6 +27,6 @@ def test_stages_keep_columns_and_decide(spark):
 def test_registered_queries(spark):
     import __spark_entry__ as E
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
     assert E.queries()["op3_decontaminate"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
