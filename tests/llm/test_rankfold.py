@@ -51,11 +51,10 @@ def test_defined_cases(spark):
 def test_pattern_on_all_code_points(library):
     """Every code point between letters, digits and blanks, pieces as the library cuts them."""
     pattern = regex.compile(rankfold.default_pattern())
-    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and pattern.findall(f"a{chr(c)}") is not None]
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for lo in range(0, len(every), 1 << 14):
         text = "".join(f"a{c}1{c} {c}" for c in every[lo:lo + (1 << 14)])
-        assert b"".join(library.decode_tokens_bytes([t for p in pattern.findall(text) for t in library.encode_single_piece(p.encode())])) == text.encode()
-        assert [t for p in pattern.findall(text) for t in library.encode_single_piece(p.encode())] == library.encode_ordinary(text)
+        assert [t for p in pattern.findall(text) for t in library._encode_single_piece(p.encode())] == library.encode_ordinary(text)
 
 
 def test_cuts_and_heap_merge_like_the_library(ranks, library):
@@ -67,7 +66,7 @@ def test_cuts_and_heap_merge_like_the_library(ranks, library):
         at = [0, *splitter.cuts(word), len(word)]
         assert whole == [ranks[t] for a, b in zip(at[:-1], at[1:], strict=True) for t in splitter.merged(word[a:b])]
         if word not in ranks:
-            assert whole == library.encode_single_piece(word)
+            assert whole == library._encode_single_piece(word)
 
 
 def test_no_python_below_the_chunks(spark, library):
