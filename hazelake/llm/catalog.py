@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazelake.llm import ann, bpe, decontam, langid, lm, neardup, periodic, pii, quality, rankfold, repeats, suffixes
+from hazelake.llm import ann, bpe, decontam, langid, lm, neardup, periodic, pii, quality, rankfold, repeats, resample, suffixes
 from hazelake.llm.arrays import table
 
 
@@ -50,6 +50,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -59,8 +63,8 @@ def op13_rank_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op5_kneser_ney, op6_learned_ann, op7_seed_extend, op8_bpe, op9_language, op10_pii_surrogates, op12_periodic_runs, op13_rank_fold)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_fm, op3_decontaminate, op4_minmax_neardup, op5_kneser_ney, op6_learned_ann, op7_seed_extend, op8_bpe, op9_language, op10_pii_surrogates, op11_importance_resample, op12_periodic_runs, op13_rank_fold)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_importance_resample": resample.ORACLE_SQL}
