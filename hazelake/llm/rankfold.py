@@ -71,14 +71,15 @@ class Splitter:
             if len(token) == 2:
                 self.pairs[token[0] << 8 | token[1]] = True
             triples.update(token[i:i + 3] for i in range(len(token) - 2))
-        self.triples = np.unique(np.array([t[0] << 16 | t[1] << 8 | t[2] for t in triples], np.int64))
+        self.triples = np.unique(np.array([-1, *(t[0] << 16 | t[1] << 8 | t[2] for t in triples)], np.int64))
 
     def cuts(self, word: bytes) -> list[int]:
         """Offsets that no token can lie across: it would be the pair around the offset, or hold one
         of the two triples around it."""
         b = np.frombuffer(word, np.uint8).astype(np.int64)
         crossed = self.pairs[b[:-1] << 8 | b[1:]]
-        held = np.isin(b[:-2] << 16 | b[1:-1] << 8 | b[2:], self.triples)
+        triple = b[:-2] << 16 | b[1:-1] << 8 | b[2:]
+        held = self.triples[np.minimum(np.searchsorted(self.triples, triple), len(self.triples) - 1)] == triple
         crossed[:-1] |= held
         crossed[1:] |= held
         return (np.flatnonzero(~crossed) + 1).tolist()
