@@ -24,16 +24,15 @@ from hazelake.plans.oracle import d, exact_avg, q, sql
 from hazelake.plans.stages import Stages, ntz, round6
 from hazelake.session import scratch_path
 from hazelake.sources import bronze, listing, recipients, sinks
+from hazelake.sources.filecatalog import catalogue
 from hazelake.streaming import alert_state
 from hazelake.streaming import readings as RS
 
 # =========================================================== bronze files (S1) and listings
 
 
-@register("bronze_scan", sql("""
-SELECT location_id, datetime, parameter, unit, value, run_date,
-  CASE WHEN CAST(location_id AS INTEGER) % 2 = 0 THEN 1 ELSE 2 END AS layout FROM R""", "R"))
-def q_bronze_scan(spark, sf):
+def _land_bronze(spark, sf) -> str:
+    """View R as CSV.gz files in two layouts, whose columns differ in order and number."""
     r = Stages(spark, sf).R()
     base = scratch_path(spark, "bronze")
     rows = (r.withColumn("year", F.date_format("run_date", "yyyy")).withColumn("month", F.date_format("run_date", "MM"))
@@ -46,9 +45,41 @@ def q_bronze_scan(spark, sf):
                                (~even, ["year", "month", "day", "locationid"], other)):
         (rows.where(cond).select(*named, *parts).hint("rebalance", *parts).write.mode("append")
              .option("header", True).option("compression", "gzip").partitionBy(*parts).csv(base))
-    back = bronze.read_bronze(spark, base, glob=None)
+    return base
+
+
+def _bronze_columns(back: DataFrame) -> DataFrame:
     layout = F.when(F.locate("locationid=", F.col("_file")) < F.locate("month=", F.col("_file")), 1).otherwise(2)
-    return back.select(*cols, "run_date", layout.alias("layout"))
+    return back.select(*[f.name for f in schemas.BRONZE.fields], "run_date", layout.alias("layout"))
+
+
+@register("bronze_scan", sql("""
+SELECT location_id, datetime, parameter, unit, value, run_date,
+  CASE WHEN CAST(location_id AS INTEGER) % 2 = 0 THEN 1 ELSE 2 END AS layout FROM R""", "R"))
+def q_bronze_scan(spark, sf):
+    return _bronze_columns(bronze.read_bronze(spark, _land_bronze(spark, sf), glob="*.csv.gz"))
+
+
+@register("bronze_range", sql("""
+SELECT location_id, datetime, parameter, unit, value, run_date,
+  CASE WHEN CAST(location_id AS INTEGER) % 2 = 0 THEN 1 ELSE 2 END AS layout FROM R
+WHERE run_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-16'""", "R"))
+def q_bronze_range(spark, sf):
+    """A scan of nine days opens only their files; headers known from the first half of them are not read again."""
+    base, store = _land_bronze(spark, sf), scratch_path(spark, "bronze-files")
+    catalogue(spark, base, dt.date(2024, 1, 8), dt.date(2024, 1, 11), store)
+    return _bronze_columns(bronze.read_bronze(spark, base, start=dt.date(2024, 1, 8), end=dt.date(2024, 1, 16), store=store))
+
+
+@register("file_catalogue", sql("""
+SELECT location_id, run_date, CASE WHEN CAST(location_id AS INTEGER) % 2 = 0 THEN 1 ELSE 2 END AS layout,
+  CASE WHEN CAST(location_id AS INTEGER) % 2 = 0 THEN 'location_id,datetime,parameter,unit,value'
+       ELSE 'value,sensors_id,unit,parameter,lat,datetime,location_id' END AS header, true AS has_size
+FROM (SELECT DISTINCT location_id, run_date FROM R WHERE location_id IS NOT NULL AND run_date IS NOT NULL)""", "R"))
+def q_file_catalogue(spark, sf):
+    """Station, date, layout and header of every bronze file."""
+    files = catalogue(spark, _land_bronze(spark, sf))
+    return files.select("location_id", "run_date", "layout", "header", (F.col("size") > 0).alias("has_size")).distinct()
 
 
 @register("incremental_batch", sql("SELECT * FROM SHF", "SHF"))

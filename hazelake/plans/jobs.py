@@ -3,8 +3,8 @@
     python -m hazelake.plans.jobs --bronze <dir> --out <dir> [--start 2025-07-01 --end 2025-07-31]
 
 bronze CSV.gz (three layouts) -> silver (partitioned, sorted) -> gold facts and dimensions
--> one manifest row per (station, run date). The date range prunes files by the date in their
-path, or in their name where the path has none.
+-> one manifest row per (station, run date). Only files whose path (or name, where the path has
+no date) lies in the date range are opened; headers of files seen by earlier runs come from the file catalogue.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from hazelake.operators.quality import quality_gate, quality_report
 from hazelake.plans import pipeline
-from hazelake.session import apply_scale_conf, build_session, input_size, materialize
+from hazelake.session import apply_scale_conf, build_session, materialize
 from hazelake.sources import bronze, sinks
+from hazelake.sources.filecatalog import catalogue
 
 
 def run_batch(spark: SparkSession, bronze_base: str, out_base: str,
@@ -30,10 +31,9 @@ def run_batch(spark: SparkSession, bronze_base: str, out_base: str,
     merge). Dimensions are merged by key, and the manifest gets one entry per run from the
     report before the gate, failed runs included."""
     out = out_base.rstrip("/")
-    apply_scale_conf(spark, input_size(spark, bronze_base))
-    raw = bronze.read_bronze(spark, bronze_base)
-    if start is not None and end is not None:   # dates come from the path: other files are not opened
-        raw = raw.where(F.col("run_date").between(F.lit(start), F.lit(end)))
+    files = catalogue(spark, bronze_base, start, end, store=f"{out}/catalogue/bronze_files")
+    apply_scale_conf(spark, files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
+    raw = bronze.read_bronze(spark, bronze_base, files=files)
     raw = raw.withColumn("location_id", F.coalesce(F.col("location_id"), F.col("path_location_id"))).drop("path_location_id")
     cleaned = materialize(pipeline.cleaned(raw), "cleaned")
     report = materialize(quality_report(cleaned, pipeline.RUN_KEYS), "report")

@@ -1,93 +1,70 @@
 """Bronze CSV scans over mixed layouts (S1, S2 on real files, S8 gold scan).
 
-Partition discovery fails when layouts disagree on the column order, so the scan reads
-recursively, binds columns by each file's header and takes year/month/day/locationid from the file path
-(`_metadata.file_path`), falling back to the date in the file name.
+Partition discovery fails when layouts disagree on the column order, so the scan takes the files of
+the date range from the file catalogue, binds columns by each file's header, and takes
+year/month/day/locationid from the file path (`_metadata.file_path`), falling back to the date in the file name.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hazelake import schemas
-from hazelake.session import materialize
+from hazelake.sources.filecatalog import REQUIRED, catalogue, header_names, literal_path
 from hazelake.sources.listing import file_name, parse_file_name
 
 
-REQUIRED = ("datetime", "parameter", "value")
-MAX_HEADERS = 1000   # different header lines; each becomes a branch of a CASE expression
-
-
-def _reader(spark: SparkSession, glob: str | None):
-    r = spark.read.option("recursiveFileLookup", True)
-    return r.option("pathGlobFilter", glob) if glob else r
-
-
-def file_headers(spark: SparkSession, base: str, glob: str | None) -> DataFrame:
-    """(_file, _header): the header line of every file, the first line that names all required
-    columns."""
-    lines = _reader(spark, glob).text(base).select(
-        F.col("_metadata.file_path").alias("_file"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
-    for name in REQUIRED:
-        lines = lines.where(F.col("value").rlike(rf'(?i)(^|,)\s*"?{name}"?\s*(,|$)'))
-    lines = lines.withColumn("_line", F.monotonically_increasing_id())
-    return lines.groupBy("_file").agg(F.min_by("value", "_line").alias("_header"))
-
-
-def header_names(line: str) -> list[str]:
-    return [c.strip().strip('"').strip().lower() for c in line.split(",")]
-
-
-def read_bronze(spark: SparkSession, base: str, schema: StructType = schemas.BRONZE,
-                glob: str | None = "*.csv.gz") -> DataFrame:
-    """Every CSV.gz under `base` (one task per file: gzip is not splittable). Columns are bound
-    by the names in each file's header, so files may order them differently or hold more; a column
-    that a file lacks is NULL, and a file whose header lacks a required one (or that has none)
-    fails. `_ord` is the position of a row in the scan."""
-    headers = materialize(file_headers(spark, base, glob), "headers")
-    lines = [r[0] for r in headers.select("_header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(lines) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different header lines under {base}")
-    layouts = {line: header_names(line) for line in sorted(lines)}
-    width = max([len(schema.fields), *map(len, layouts.values())])
-    cells = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
-    path = F.col("_metadata.file_path")
-    rows = (_reader(spark, glob).schema(cells).option("header", False).option("mode", "PERMISSIVE").csv(base)
-            .withColumn("_file", path).withColumn("_ord", F.monotonically_increasing_id()))
-    df = rows.join(headers, "_file", "left")
-
-    def column(field: StructField):
-        cell = F.lit(None).cast("string")
-        for line, names in layouts.items():
-            if field.name in names:
-                cell = F.when(F.col("_header") == line, F.col(f"_c{names.index(field.name)}")).otherwise(cell)
-        if field.name in REQUIRED:
-            cell = F.when(F.col("_header").isNull(), F.raise_error(F.concat(
-                F.lit(f"no header with {', '.join(REQUIRED)} in "), F.col("_file"))).cast("string")).otherwise(cell)
-        return cell.try_cast(field.dataType).alias(field.name)
+def read_bronze(spark: SparkSession, base: str, schema: StructType = schemas.BRONZE, glob: str | None = "*.csv.gz",
+                start: dt.date | None = None, end: dt.date | None = None, store: str | None = None,
+                files: DataFrame | None = None) -> DataFrame:
+    """Every CSV.gz under `base` whose path dates it from `start` to `end` (one task per file: gzip is
+    not splittable). Files of other dates are listed, not opened. Columns are bound by the names in each
+    file's header, so files may order them differently or hold more; a column that a file lacks is NULL, and a
+    file whose header lacks a required one (or that has none) fails. `_ord` is the position of a row in its file's
+    scan. `store` keeps the headers between runs; `files` is a catalogue made before."""
+    if files is None:
+        files = catalogue(spark, base, start, end, store, glob)
+    by_header: dict[str | None, list[str]] = {}
+    for r in files.select("header", "path").collect():   # the scan's own file list
+        by_header.setdefault(r["header"], []).append(r["path"])
+    if None in by_header:
+        raise ValueError(f"no header with {', '.join(REQUIRED)} in {', '.join(sorted(by_header[None])[:5])}"
+                         f" ({len(by_header[None])} files)")
+    parts = [_scan(spark, sorted(by_header[line]), header_names(line), schema) for line in sorted(by_header)]
+    if not parts:
+        empty = StructType([*schema.fields, *(StructField(n, StringType()) for n in ("_file", "path_location_id"))])
+        df = spark.createDataFrame([], empty).withColumn("_ord", F.lit(0).cast("long")).withColumn("run_date", F.lit(None).cast("date"))
+        return df.select(*[f.name for f in schema.fields], "_file", "_ord", "run_date", "path_location_id")
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    return df
+
+
+def _scan(spark: SparkSession, paths: list[str], names: list[str], schema: StructType) -> DataFrame:
+    """The files of one header line."""
+    cells = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))])
+    df = (spark.read.schema(cells).option("header", False).option("mode", "PERMISSIVE").csv([literal_path(p) for p in paths])
+          .withColumn("_file", F.col("_metadata.file_path")).withColumn("_ord", F.monotonically_increasing_id()))
+
+    def cell(name):
+        return F.col(f"_c{names.index(name)}") if name in names else F.lit(None).cast("string")
 
     def part(name):
         return F.nullif(F.regexp_extract(F.col("_file"), rf"/{name}=([^/]+)", 1), F.lit(""))
     loc_f, y_f, m_f, d_f = parse_file_name(file_name(F.col("_file")))
-    year = F.coalesce(part("year"), y_f)
-    month = F.coalesce(part("month"), m_f)
-    day = F.coalesce(part("day"), d_f)
+    year, month, day = (F.coalesce(part(n), f) for n, f in (("year", y_f), ("month", m_f), ("day", d_f)))
     # the header row itself names its columns in the columns' places
-    df = df.where(~F.coalesce(F.lower(F.trim(_cell_of("datetime", layouts))) == "datetime", F.lit(False)))
-    return df.select(*[column(f) for f in schema.fields], "_file", "_ord",
+    df = df.where(~F.coalesce(F.lower(F.trim(F.regexp_replace(cell("datetime"), "^\ufeff", ""))) == "datetime", F.lit(False)))
+    return df.select(*[cell(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], "_file", "_ord",
                      F.make_date(year.cast("int"), month.cast("int"), day.cast("int")).alias("run_date"),
                      F.coalesce(part("locationid"), loc_f).alias("path_location_id"))
 
 
-def _cell_of(name: str, layouts: dict[str, list[str]]):
-    cell = F.lit(None).cast("string")
-    for line, names in layouts.items():
-        cell = F.when(F.col("_header") == line, F.col(f"_c{names.index(name)}")).otherwise(cell)
-    return cell
-
-
 def with_partition_strings(schema: StructType, parts: list[str]) -> StructType:
     """Schema for reading a partitioned table with its partition columns kept as text."""
     return StructType(list(schema.fields) + [StructField(p, StringType()) for p in parts])

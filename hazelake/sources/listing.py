@@ -53,16 +53,17 @@ def _segment(segs, name: str):
     return F.when(hit.isNotNull(), F.substring_index(hit, "=", -1))
 
 
-def resolve_layout(keys: DataFrame, key="key") -> DataFrame:
+def resolve_layout(keys: DataFrame, key="key", carry: list[str] | None = None) -> DataFrame:
     """year/month/day/locationid from `name=value` path segments (the path is split once),
-    with the date in the file name as the fallback."""
+    with the date in the file name as the fallback. `carry`: further columns to keep."""
     k = F.col(key)
-    parsed = keys.select(k.alias("key"), F.split(k, "/").alias("_segs"), file_name(k).alias("_name"))
+    carry = carry or []
+    parsed = keys.select(k.alias("key"), F.split(k, "/").alias("_segs"), file_name(k).alias("_name"), *carry)
     fn_loc, fn_y, fn_m, fn_d = parse_file_name("_name")
     segs = F.col("_segs")
     day_part = _segment(segs, "day")
     out = parsed.select(
-        "key",
+        "key", *carry,
         F.coalesce(_segment(segs, "locationid"), fn_loc).alias("location_id"),
         F.coalesce(_segment(segs, "year"), fn_y).alias("year"),
         F.coalesce(_segment(segs, "month"), fn_m).alias("month"),

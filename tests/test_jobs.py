@@ -159,3 +159,52 @@ def test_archive_of_text_ids_has_no_invented_offsets(spark):
     m = messages(spark, SF_SMALL).limit(3).withColumn("location_id", F.lit("iqair_hanoi_hanoi"))
     for r in RS.archive_rows(m).collect():
         assert r._kafka_metadata.partition is None and r._kafka_metadata.offset is None and r._kafka_metadata.key == "iqair_hanoi_hanoi"
+
+
+def test_range_scan_opens_only_its_files(spark):
+    """A corrupt file of another date does not stop a run; headers come from the store the second time."""
+    from hazelake.sources import filecatalog
+    from hazelake.sources.bronze import read_bronze
+    base, store = scratch_path(spark, "range"), scratch_path(spark, "range-store")
+    for d in (1, 2, 3):
+        _write(base, f"year=2025/month=07/day=0{d}/locationid=1/part [{d}].csv.gz", [("1", f"2025-07-0{d}T00:00:00Z", "pm25", "ug/m3", f"{d}.5")])
+    with open(os.path.join(local_path(base), "year=2025/month=07/day=03/locationid=1/bad.csv.gz"), "wb") as f:
+        f.write(b"not gzip at all")
+    first, last = dt.date(2025, 7, 1), dt.date(2025, 7, 2)
+    df = read_bronze(spark, base, start=first, end=last, store=store)
+    assert sorted((r.run_date.day, r.value) for r in df.collect()) == [(1, 1.5), (2, 2.5)]
+    assert all("day=03" not in p for p in df.inputFiles()) and len(df.inputFiles()) == 2
+    assert spark.read.parquet(store).count() == 2
+    # a changed file is read again, a known one is not
+    _write(base, "year=2025/month=07/day=02/locationid=1/part [2].csv.gz", [("3.5", "co", "2025-07-02T00:00:00Z")], "value,parameter,datetime\n")
+    asked = []
+    real = filecatalog.read_headers
+    filecatalog.read_headers = lambda s, paths: asked.extend(paths) or real(s, paths)
+    try:
+        again = read_bronze(spark, base, start=first, end=last, store=store)
+    finally:
+        filecatalog.read_headers = real
+    assert sorted((r.run_date.day, r.value, r.parameter) for r in again.collect()) == [(1, 1.5, "pm25"), (2, 3.5, "co")]
+    assert len(asked) == 1 and "day=02" in asked[0]
+    none = read_bronze(spark, base, start=dt.date(2030, 1, 1), end=dt.date(2030, 1, 2), store=store)
+    assert none.count() == 0 and none.columns == df.columns
+
+
+def test_headers_come_from_the_first_bytes(spark):
+    """A file damaged far behind its header still gives it; a byte order mark and files without a header are told."""
+    import random
+    from hazelake.sources import filecatalog
+    base = scratch_path(spark, "first-bytes")
+    rnd = random.Random(1)
+    _write(base, "location-1-20250701.csv.gz", [("1", f"2025-07-01T{i:07d}", "pm25", "ug/m3", str(rnd.random())) for i in range(20000)])
+    path = os.path.join(local_path(base), "location-1-20250701.csv.gz")
+    data = bytearray(open(path, "rb").read())
+    assert len(data) > 3 * filecatalog.HEAD_BYTES
+    data[len(data) // 2:] = b"\0" * (len(data) - len(data) // 2)
+    open(path, "wb").write(data)
+    _write(base, "location-2-20250701.csv.gz", [("2", "x", "pm25", "ug/m3", "1")], "\ufeff" + HEADER)
+    _write(base, "location-3-20250701.csv.gz", [], "")
+    with open(os.path.join(local_path(base), "location-4-20250701.csv.gz"), "wb") as f:
+        f.write(b"\x1f\x8bbroken")
+    got = {r.path.split("/")[-1]: (r.location_id, r.header) for r in filecatalog.catalogue(spark, base).collect()}
+    assert got == {f"location-{i}-20250701.csv.gz": (str(i), HEADER.strip() if i < 3 else None) for i in (1, 2, 3, 4)}
