@@ -71,6 +71,23 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts])
 
 
+_PLACED = mix(np.arange(64 * 256, dtype=U64) * U64(0xE7037ED1A0B428DB) + U64(1))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each (non-empty) word: the sum of its bytes, each mixed with its place in the word. Other than a
+    polynomial modulo 2**64, whose hashes of long words of two symbols collide by their form alone."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    lens = ends - starts
+    first = np.cumsum(lens) - lens
+    key = (np.arange(int(lens.sum())) - np.repeat(first, lens)) << 8 | data[ranges(starts, lens)]
+    value = _PLACED[np.minimum(key, len(_PLACED) - 1)]
+    far = np.flatnonzero(key >= len(_PLACED))
+    value[far] = mix(key[far].astype(U64) * U64(0xE7037ED1A0B428DB) + U64(1))
+    return mix(np.add.reduceat(value, first) + lens.astype(U64) * U64(0x8EBC6AF09C88C6E3))
+
+
 def spans(mask: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of ``mask`` that do not cross a document offset."""
     n = len(mask)

@@ -24,14 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import (
-    BYTE_VALUES,
     column,
-    prefix_hashes,
     prepare,
     ranges,
     slices,
-    span_hashes,
     text_bytes,
+    word_hashes,
 )
 
 #: The split pattern of this vocabulary (fixed value, as its README gives it).
@@ -39,7 +37,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 NONE = np.int64(1 << 62)
 POS_BITS = 24
 WIDE = 128  # pre-tokens with more bytes use the tree on lists
-CACHE_WORDS = 1_000_000  # pre-tokens kept per worker, about 100 bytes each
+CACHE_WORDS = 250_000  # pre-tokens kept within a task, about 100 bytes each
 
 
 def default_vocabulary() -> str:
@@ -121,7 +119,7 @@ def piece_starts(cps: np.ndarray, cls: np.ndarray, cut: np.ndarray) -> np.ndarra
 
 class Codec:
     """Encoder and decoder of one vocabulary, with a bounded cache of encoded pre-tokens. Within a
-    chunk and the cache a pre-token is known by its 64-bit polynomial hash."""
+    chunk and the cache a pre-token is known by its 64-bit hash."""
 
     def __init__(self, vocabulary: dict):
         self.v = vocabulary
@@ -268,7 +266,7 @@ class Codec:
             start[lo + 1:hi] = False
         at = byte_at[np.flatnonzero(start)]
         ends = np.append(at[1:], len(data))
-        hashes = span_hashes(prefix_hashes(BYTE_VALUES[data]), at, ends)
+        hashes = word_hashes(data, at, ends)
         uniq, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = uniq.tolist()
         slots = np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
@@ -318,6 +316,7 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, key: str = "do
             yield pa.RecordBatch.from_arrays(
                 [column(part, "key"), pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32())),
                  pa.array(c.decode(ids, offs), pa.string())], ["key", "ids", "decoded"])
+        c.clear()   # a reused worker keeps nothing but the vocabulary
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(

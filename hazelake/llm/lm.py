@@ -33,19 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import (
-    BYTE_VALUES,
     LOWER,
     SPACE,
     column,
     crc_mod,
     mix,
     owners,
-    prefix_hashes,
     prepare,
     slices,
-    span_hashes,
     spans,
     text_bytes,
+    word_hashes,
 )
 from hazelake.session import materialize, scratch_path
 
@@ -63,7 +61,7 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(n + 1)
     out = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint64)
     if len(start):
-        out[np.arange(len(start)) + doc] = span_hashes(prefix_hashes(BYTE_VALUES[low]), start, stop)
+        out[np.arange(len(start)) + doc] = word_hashes(low, start, stop)
     return out, np.concatenate([[0], ends]).astype(np.int64)
 
 

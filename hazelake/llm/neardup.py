@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import (
-    BYTE_VALUES,
     LOWER,
     SPACE,
     column,
@@ -41,6 +40,7 @@ from hazelake.llm.arrays import (
     span_hashes,
     spans,
     text_bytes,
+    word_hashes,
 )
 from hazelake.llm.graph import components
 from hazelake.session import materialize
@@ -50,6 +50,7 @@ PERCENT = 85
 ROWS = 6
 BANDS = 30
 PERMS = ROWS * BANDS // 2
+CHUNK = 256 << 10  # bytes of text sketched at once; the work arrays take about a hundred times as much
 CELL = 1024  # nodes of a head that are compared in one call
 _MULTIPLY = mix(np.arange(1, PERMS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
@@ -59,7 +60,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndar
     low = LOWER[data]
     start, stop = spans(~SPACE[low], offs)
     doc = owners(offs, start)
-    words = span_hashes(prefix_hashes(BYTE_VALUES[low]), start, stop) | np.uint64(1)
+    words = word_hashes(low, start, stop) | np.uint64(1)
     n = np.bincount(doc, minlength=len(offs) - 1) if len(doc) else np.zeros(len(offs) - 1, np.int64)
     first = np.cumsum(n) - n
     prefix = prefix_hashes(words)
@@ -99,7 +100,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 def _sketch(size: int):
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", CHUNK):
             who, h = shingle_sets(*text_bytes(column(part, "text")), size)
             n = np.bincount(who, minlength=part.num_rows)
             has = np.flatnonzero(n)
@@ -119,7 +120,7 @@ def _sketch(size: int):
 
 def _sets(size: int):
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", CHUNK):
             who, h = shingle_sets(*text_bytes(column(part, "text")), size)
             ends = np.searchsorted(who, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(

@@ -41,10 +41,10 @@ _AFTER = "der|den|dem|la|las|los|het"  # only after another particle
 _TAIL = r"(?:[’'-](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)"
 _NAME_WORD = rf"(?:[dl][’']|(?:al|el)-)?\p{{Lu}}(?:[\p{{L}}\p{{M}}]+{_TAIL}*+|{_TAIL}++)"
 _PARTICLES = rf"(?:(?:{_PARTICLE})(?: (?:{_AFTER}))? ){{0,2}}"
-_INITIALS = rf"(?:(?:\p{{Lu}}\p{{M}}*\.-?)+(?<!-)(?!\p{{L}})|\p{{Lu}}\p{{M}}*(?= {_PARTICLES}{_NAME_WORD}))"
+_INITIALS = rf"(?:(?:\p{{Lu}}\p{{M}}*+\.(?:-(?=\p{{Lu}}\p{{M}}*+\.))?)++(?!\p{{L}})|\p{{Lu}}\p{{M}}*(?= {_PARTICLES}{_NAME_WORD}))"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}+\.){1,10}[A-Za-z]{2,24}"
 SECRET_MARK = r"(?i:token|secret|password|passwd|pwd|api[_-]?key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
 #: To white space, a quote, a bracket or a separator; the punctuation that ends a sentence stays out.
 SECRET = SECRET_MARK + r"[!-~&&[^\"'`,;&<>(){}\[\]|\\]]{7,}[A-Za-z0-9+/_=-]"
@@ -177,7 +177,7 @@ def initials(word: Column, key: str) -> Column:
 
 
 def is_initials(word: Column) -> Column:
-    return word.rlike(r"^(?:\p{Lu}\p{M}*|(?:\p{Lu}\p{M}*\.-?)+)$")
+    return word.rlike(r"^(?:\p{Lu}\p{M}*+|(?:\p{Lu}\p{M}*+\.-?)++)$")
 
 
 def is_name_word(word: Column) -> Column:

@@ -23,16 +23,14 @@ from pyspark.sql import functions as F
 
 from hazelake.llm.anchors import Rows, Rule, covered, repeated_ranges, window_classes_by_hash
 from hazelake.llm.arrays import (
-    BYTE_VALUES,
     SPACE,
     column,
     owners,
-    prefix_hashes,
     ranges,
     slices,
-    span_hashes,
     spans,
     text_bytes,
+    word_hashes,
 )
 
 WINDOW = 50
@@ -47,7 +45,7 @@ def word_spans(data: np.ndarray, offs: np.ndarray):
 
 def word_symbols(data: np.ndarray, offs: np.ndarray):
     start, stop, by_doc = word_spans(data, offs)
-    h = span_hashes(prefix_hashes(BYTE_VALUES[data]), start, stop) | np.uint64(1)
+    h = word_hashes(data, start, stop) | np.uint64(1)
     return h, h, by_doc
 
 
