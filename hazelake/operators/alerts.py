@@ -8,6 +8,8 @@ above the threshold in a slot, by arrival order, raises the alert — at most on
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,12 +54,23 @@ def alert_keys(readings: DataFrame) -> list[str]:
 
 def flag_readings(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
     """Every reading kept, `alerted` set on the first candidate of each slot (K8 rows)."""
+    return mark(readings, first_in_slot(readings, threshold, order=arrival_order(readings)))
+
+
+def arrival_order(readings: DataFrame) -> tuple[str, ...]:
+    return ("created_at", "event_id", *position_columns(readings))
+
+
+def mark(readings: DataFrame, alerts: DataFrame) -> DataFrame:
+    """`alerted` and `alert_sent_at` of every reading, given the readings that raise alerts. The columns
+    that name a reading may be NULL (a file source has no topic partition)."""
     keys = alert_keys(readings)
-    alerts = first_in_slot(readings, threshold, order=("created_at", "event_id", *position_columns(readings))).select(*keys, F.lit(True).alias("_hit"))
-    return (readings.join(alerts, keys, "left")
+    hits = alerts.select(*[F.col(k).alias(f"_hit_{k}") for k in keys], F.lit(True).alias("_hit"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hit_{k}")) for k in keys])
+    return (readings.join(hits, same, "left")
                     .withColumn("alerted", F.coalesce(F.col("_hit"), F.lit(False)))
                     .withColumn("alert_sent_at", F.when(F.col("alerted"), F.col("created_at")))
-                    .drop("_hit"))
+                    .select(*readings.columns, "alerted", "alert_sent_at"))
 
 
 def alert_rollup(alerts: DataFrame) -> DataFrame:

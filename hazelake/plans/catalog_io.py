@@ -26,6 +26,7 @@ from hazelake.session import scratch_path
 from hazelake.sources import bronze, listing, recipients, sinks
 from hazelake.sources.filecatalog import catalogue
 from hazelake.streaming import alert_state
+from hazelake.streaming import jobs as stream_jobs
 from hazelake.streaming import readings as RS
 
 # =========================================================== bronze files (S1) and listings
@@ -483,7 +484,7 @@ def q_stream_readings(spark, sf):
     src = _land(spark, sf, "msgs")
     out, ck = scratch_path(spark, "readings"), scratch_path(spark, "readings-ck")
     RS.run_available_now(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck)
-    return ntz(spark.read.parquet(out))
+    return ntz(spark.read.parquet(out).drop("kafka_partition", "sensor_position"))
 
 
 @register("kafka_metadata", sql("""
@@ -520,9 +521,7 @@ SELECT location_id, parameter, slot_date, slot_hour, event_id, created_at, value
 def q_alert_once_per_slot(spark, sf):
     src = _land(spark, sf, "msgs")
     out, ck = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-ck")
-    flagged = alert_state.alert_once_per_slot(RS.message_to_readings(RS.read_message_stream(spark, src)))
-    RS.run_available_now(flagged, out, ck)
-    res = spark.read.parquet(out).where(F.col("alerted"))
+    res = alert_state.run_flagged(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck).where(F.col("alerted"))
     return ntz(res.select("location_id", "parameter", "slot_date", "slot_hour", "event_id", "created_at", "value"))
 
 
@@ -547,9 +546,8 @@ def q_readings_flagged(spark, sf):
     """K8: every reading appended with its alert flag (stateful candidates + stateless rest)."""
     src = _land(spark, sf, "msgs")
     out, ck = scratch_path(spark, "flagged"), scratch_path(spark, "flagged-ck")
-    flagged = alert_state.flag_stream(RS.message_to_readings(RS.read_message_stream(spark, src)))
-    RS.run_available_now(flagged, out, ck)
-    return ntz(spark.read.parquet(out).select("event_id", "location_id", "parameter", "created_at",
+    stored = alert_state.run_flagged(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck)
+    return ntz(stored.select("event_id", "location_id", "parameter", "created_at",
                                               "measurement_time", "value", "alerted"))
 
 
@@ -562,17 +560,81 @@ def q_alert_notifications(spark, sf):
     """Alerts handed to a per-micro-batch handler; this handler files the subject lines."""
     src = _land(spark, sf, "msgs")
     out, ck = scratch_path(spark, "notified"), scratch_path(spark, "notified-ck")
-    flagged = alert_state.alert_once_per_slot(RS.message_to_readings(RS.read_message_stream(spark, src)))
 
     def handler(alerts, batch_id):
         # keyed by batch id and overwritten, so a replayed batch does not notify twice
         alerts.select("event_id", X.alert_subject("location_name", "value", "main_pollutant").alias("subject")) \
               .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    alert_state.alert_sink(flagged, handler, ck)
+    alert_state.run_flagged(RS.message_to_readings(RS.read_message_stream(spark, src)), f"{out}-readings", ck, handler=handler)
     return spark.read.parquet(out).drop("batch")
 
 
+KAFKA_RECORD = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+
+
+def _land_records(spark, sf) -> str:
+    """The messages as a topic's records (three partitions, keyed by station), each with a second sensor at half
+    the value; every 97th value is cut short."""
+    m = Stages(spark, sf).M()
+    first = F.get("sensors", 0)
+    second = first.withField("id", F.lit("second")).withField("unit", F.lit("AQI")).withField("latest_value", first["latest_value"] / 2)
+    m = m.withColumn("sensors", F.when(F.size("sensors") > 0, F.array(first, second)).otherwise(F.col("sensors")))
+    value = F.to_json(F.struct(*[f.name for f in schemas.MESSAGE.fields]))
+    value = F.when(F.col("event_id") % 97 == 0, F.substring(value, 1, 25)).otherwise(value)
+    path = scratch_path(spark, "records")
+    m.select(F.col("location_id").cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("air").alias("topic"),
+             (F.col("location_id").cast("int") % 3).alias("partition"), F.col("event_id").alias("offset"), F.col("ingest_ts").alias("timestamp")) \
+        .write.parquet(path)
+    return path
+
+
+def _run_job(spark, sf, start) -> str:
+    """One of the streaming applications over the topic's records; its output folder."""
+    out, ck = scratch_path(spark, "job"), scratch_path(spark, "job-ck")
+    records = spark.readStream.schema(KAFKA_RECORD).parquet(_land_records(spark, sf))
+    q = start(spark, stream_jobs.decode_kafka(records), out, ck)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return out
+
+
+_TWO_SENSORS = """SELECT event_id, location_id, kafka_partition, sensor_position, created_at, value FROM (
+  SELECT ts AS created_at, event_id, CAST(user_id % 5 AS VARCHAR) AS location_id, CAST((user_id % 5) % 3 AS INTEGER) AS kafka_partition,
+    p AS sensor_position, CASE p WHEN 0 THEN value * 4 ELSE value * 4 / 2 END AS value, CASE WHEN p = 0 AND event_id % 7 = 0 THEN 'no' ELSE 'AQI' END AS unit
+  FROM events, (VALUES (0), (1)) t(p) WHERE event_id % 31 <> 0 AND event_id % 97 <> 0) WHERE unit = 'AQI'"""
+
+
+@register("reading_identity", sql(f"""
+SELECT s.event_id, s.kafka_partition, s.sensor_position, s.location_id, s.value, s.created_at, f.event_id IS NOT NULL AS alerted,
+  CASE WHEN f.event_id IS NOT NULL THEN s.created_at END AS alert_sent_at, true AS located
+FROM S2 s LEFT JOIN F2 f ON f.event_id = s.event_id AND f.sensor_position = s.sensor_position AND f.kafka_partition = s.kafka_partition""",
+    extra=[("S2", _TWO_SENSORS), ("F2", f"""
+SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY location_id, CAST(created_at + INTERVAL {K.LOCAL_OFFSET_HOURS} HOUR AS DATE),
+    hour(created_at + INTERVAL {K.LOCAL_OFFSET_HOURS} HOUR) ORDER BY created_at, event_id, kafka_partition, sensor_position) AS r
+  FROM S2 WHERE hour(created_at + INTERVAL {K.LOCAL_OFFSET_HOURS} HOUR) IN ({", ".join(map(str, K.ALERT_SLOT_HOURS))})
+    AND value > {d(K.STREAM_AQI_THRESHOLD)}) WHERE r = 1""")]))
+def q_reading_identity(spark, sf):
+    """Two sensors a message, named by partition, offset and position up to the sink."""
+    rows = spark.read.parquet(_run_job(spark, sf, stream_jobs.start_readings))
+    return ntz(rows.select("event_id", "kafka_partition", "sensor_position", "location_id", "value", "created_at", "alerted", "alert_sent_at",
+                           (F.col("location_name").isNotNull() & F.col("latitude").isNotNull()).alias("located")))
+
+
+@register("record_errors", sql("""
+SELECT 'air' AS topic, CAST((user_id % 5) % 3 AS INTEGER) AS partition, event_id AS offset, ts AS ingest_ts,
+  '{"timestamp":"' || strftime(ts, '%Y-%m-%dT') AS raw, NULL::BIGINT AS archived FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) FROM events WHERE event_id % 97 <> 0"""))
+def q_record_errors(spark, sf):
+    """Malformed records with topic, partition and offset; the archive holds all others."""
+    out = _run_job(spark, sf, stream_jobs.start_archive)
+    errors = spark.read.parquet(f"{out}_errors").drop("batch_id").withColumn("archived", F.lit(None).cast("long"))
+    count = spark.read.schema("event_id long").json(out).agg(F.count("event_id").alias("archived"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in errors.schema.fields if f.name != "archived"]
+    return ntz(errors.unionByName(count.select(*empty, "archived")))
+
+
 @register("kafka_records", sql("""
 SELECT CAST(user_id % 5 AS VARCHAR) AS key, event_id, CAST(user_id % 5 AS VARCHAR) AS location_id,
   CASE WHEN event_id % 31 = 0 THEN 0 ELSE 1 END AS sensors, ts AS ingest_ts FROM events"""))

@@ -1,105 +1,82 @@
-"""T4 as a stateful stream: at most one alert per (station, parameter, local date, slot).
+"""T4 as a stream: at most one alert per (station, parameter, local date, slot).
 
-Keyed by (location_id, parameter) with `applyInPandasWithState`; inside a micro-batch
-the rows of a key are ordered by arrival, decided in a vectorised pandas step. The state keeps
-every alerted slot key (at most two a day for a station), so late and out-of-order batches
-never raise a second alert.
+Every micro-batch finds its first candidate of each slot with an aggregate, drops the slots that an
+earlier batch has alerted (an anti join with the slot table, pruned to the batch's slot dates), and stores the
+new slots and all readings under its batch id. A batch that is run again reads the slots of earlier batches
+only and overwrites its own folders, so the outcome is the same; late and out-of-order batches never
+raise a second alert. No rows of a station are gathered in one place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from hazelake import constants as K
+from hazelake.operators.alerts import SLOT_KEYS, arrival_order, candidates, first_in_slot, mark, with_slot
+from hazelake.session import path_exists
 
-OUT_SCHEMA = ("location_id string, parameter string, event_id long, created_at timestamp, "
-              "measurement_time timestamp, value double, main_pollutant string, "
-              "location_name string, alerted boolean, slot_date date, slot_hour int")
-STATE_SCHEMA = "slots string"
-
-
-def _decide(key, pdfs: Iterator[pd.DataFrame], state, threshold: float) -> Iterator[pd.DataFrame]:
-    parts = [p for p in pdfs if len(p)]
-    if not parts:
-        return
-    df = pd.concat(parts, ignore_index=True).sort_values(["created_at", "event_id"], kind="stable")
-    seen = set(state.get[0].split(",")) if state.exists and state.get[0] else set()
-    local = pd.to_datetime(df["created_at"]) + pd.Timedelta(hours=K.LOCAL_OFFSET_HOURS)
-    hour = local.dt.hour
-    day = local.dt.date
-    in_slot = hour.isin(K.ALERT_SLOT_HOURS)
-    cand = in_slot & df["value"].notna() & (df["value"] > threshold)
-    slot = day.astype(str) + "T" + hour.astype(str)
-    first = cand & ~slot.where(cand).duplicated(keep="first") & ~slot.isin(seen)
-    df = df.assign(alerted=first.astype(bool), slot_date=day.where(in_slot),
-                   slot_hour=hour.where(in_slot).astype("Int32"))
-    seen |= set(slot[first])
-    state.update((",".join(sorted(seen)),))
-    cols = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
-    yield df[cols]
+SLOT_TABLE = StructType([StructField("location_id", StringType()), StructField("parameter", StringType()),
+                         StructField("slot_hour", IntegerType()), StructField("slot_date", DateType()),
+                         StructField("batch_id", LongType())])
 
 
-def alert_once_per_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
-    """Candidate readings (above threshold inside a slot hour) with their `alerted` flag.
-    Only candidates reach the keyed state, so a busy station's ordinary readings never
-    pile up in one task; works on streaming and batch DataFrames."""
-    from pyspark.sql import functions as F
-    local_hour = F.hour(F.col("created_at") + F.make_interval(hours=F.lit(K.LOCAL_OFFSET_HOURS)))
-    readings = readings.where(local_hour.isin(K.ALERT_SLOT_HOURS) & F.col("value").isNotNull()
-                              & (F.col("value") > F.lit(float(threshold))))
-    cols = [c.split()[0] for c in OUT_SCHEMA.split(", ") if c.split()[0] not in
-            ("alerted", "slot_date", "slot_hour")]
-    thr = float(threshold)
-    if not readings.isStreaming:
-        # bounded input: the same decision as an aggregate (first candidate per slot)
-        from hazelake.operators.alerts import alert_keys, first_in_slot, with_slot
-        keys = alert_keys(readings.select(*cols))
-        firsts = first_in_slot(readings.select(*cols), thr).select(*keys, F.lit(True).alias("_first"))
-        out = (with_slot(readings.select(*cols)).join(firsts, keys, "left")
-               .withColumn("alerted", F.coalesce(F.col("_first"), F.lit(False))))
-        return out.select(*[c.split()[0] for c in OUT_SCHEMA.split(", ")])
-
-    from hazelake.session import ship_package
-    ship_package(readings.sparkSession)   # the state function runs in executor Python workers
-
-    def fn(key, pdfs, state):
-        return _decide(key, pdfs, state, thr)
-
-    return (readings.select(*cols).groupBy("location_id", "parameter")
-                    .applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                            GroupStateTimeout.NoTimeout))
-
-
-def flag_stream(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
-    """K8 rows: every reading, `alerted` from the stateful decision for candidates and
-    false for the rest (stateless branch), as one append-only stream."""
-    from pyspark.sql import functions as F
-    local = F.col("created_at") + F.make_interval(hours=F.lit(K.LOCAL_OFFSET_HOURS))
-    cand = (F.hour(local).isin(K.ALERT_SLOT_HOURS) & F.col("value").isNotNull()
-            & (F.col("value") > F.lit(float(threshold))))
-    cols = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
-    rest = (readings.where(~F.coalesce(cand, F.lit(False)))
-                    .withColumn("alerted", F.lit(False))
-                    .withColumn("slot_date", F.when(F.hour(local).isin(K.ALERT_SLOT_HOURS), F.to_date(local)))
-                    .withColumn("slot_hour", F.when(F.hour(local).isin(K.ALERT_SLOT_HOURS), F.hour(local)))
-                    .select(*cols))
-    return alert_once_per_slot(readings, threshold).unionByName(rest)
-
-
-def alert_sink(flagged: DataFrame, handler, checkpoint: str) -> None:
-    """Hand each micro-batch's alert rows to `handler(df, batch_id)` (notifier hook).
-    The default handler in the catalog writes the alert texts as Parquet."""
-    from pyspark.sql import functions as F
+def with_slot_columns(readings: DataFrame) -> DataFrame:
+    """`slot_date` and `slot_hour` of readings that arrive in a slot hour, NULL for the rest."""
+    return with_slot(readings).withColumn("slot_date", F.when(F.col("slot_hour").isNotNull(), F.col("slot_date")))
+
 
+def alert_once_per_slot(readings: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
+    """Candidate readings of a bounded frame (above the threshold inside a slot hour) with their `alerted` flag."""
+    c = candidates(readings, threshold).drop("slot_date", "slot_hour")
+    return with_slot_columns(mark(c, first_in_slot(readings, threshold, order=arrival_order(readings))))
+
+
+def flag_batch(batch: DataFrame, batch_id: int, store: str, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
+    """K8 rows of one micro-batch; writes the slots it alerts to the slot table at `store`."""
+    spark = batch.sparkSession
+    firsts = first_in_slot(batch, threshold, order=arrival_order(batch))
+    low, high = firsts.agg(F.min("slot_date"), F.max("slot_date")).first()
+    if low is not None and path_exists(spark, store):
+        earlier = (spark.read.schema(SLOT_TABLE).option("basePath", store).parquet(store)
+                   .where(F.col("slot_date").between(F.lit(low), F.lit(high)) & (F.col("batch_id") < batch_id)))
+        firsts = firsts.join(earlier.select(*SLOT_KEYS), SLOT_KEYS, "left_anti")
+    if low is not None:
+        (firsts.select("location_id", "parameter", "slot_hour", "slot_date", F.lit(batch_id).cast("long").alias("batch_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot_date", "batch_id").parquet(store))
+    return with_slot_columns(mark(batch, firsts))
+
+
+def store_batch(batch: DataFrame, batch_id: int, out: str, threshold=K.STREAM_AQI_THRESHOLD,
+                handler: Callable[[DataFrame, int], None] | None = None) -> None:
+    """Flag one micro-batch of readings, file it under its batch id, and hand its alerts to `handler`."""
+    path = f"{out.rstrip('/')}/batch_id={batch_id}"
+    flag_batch(batch, batch_id, f"{out.rstrip('/')}_slots", threshold).write.mode("overwrite").parquet(path)
+    if handler is not None:
+        handler(batch.sparkSession.read.parquet(path).where(F.col("alerted")), batch_id)
+
+
+def start_flagged(readings: DataFrame, out: str, checkpoint: str, trigger: str | None = None, threshold=K.STREAM_AQI_THRESHOLD,
+                  handler: Callable[[DataFrame, int], None] | None = None):
+    """Run `store_batch` over a stream of readings: every reading is stored once, with its flag."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        handler(batch.where(F.col("alerted")), batch_id)
+        batch.persist()   # read for the slots, for the readings and for the count of both
+        try:
+            store_batch(batch, batch_id, out, threshold, handler)
+        finally:
+            batch.unpersist()
+
+    w = readings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    return (w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)).start()
+
 
-    q = (flagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
-                .trigger(availableNow=True).start())
+def run_flagged(readings: DataFrame, out: str, checkpoint: str, **options) -> DataFrame:
+    """Drain what is available and return all stored readings."""
+    q = start_flagged(readings, out, checkpoint, **options)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return readings.sparkSession.read.parquet(out).drop("batch_id")

@@ -17,6 +17,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hazelake import schemas
 from hazelake.streaming import alert_state
@@ -32,45 +33,55 @@ def message_source(spark: SparkSession, kind: str, path: str | None = None, boot
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
         return decode_kafka(r.load())
-    return RS.read_message_stream(spark, path, max_files=max_per_trigger)
+    return RS.split_corrupt(spark, path, stream=True, max_files=max_per_trigger)
 
 
 def decode_kafka(raw: DataFrame) -> DataFrame:
     """Kafka records (key, value bytes, partition, offset, timestamp) -> landed messages:
-    MESSAGE columns + ingest_ts (broker timestamp) + event_id (offset) + transport metadata."""
-    body = F.from_json(F.col("value").cast("string"), schemas.MESSAGE)
-    return raw.select(body.alias("m"), F.col("timestamp").alias("ingest_ts"),
-                      F.col("offset").alias("event_id"), F.col("partition").alias("_partition"),
+    MESSAGE columns + ingest_ts (broker timestamp) + event_id (offset) + transport metadata. A value that is no message
+    is kept as it came in `_corrupt_record`; `_empty` marks a record without a value."""
+    schema = StructType([*schemas.MESSAGE.fields, StructField("_corrupt_record", StringType())])
+    body = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    topic = F.col("topic") if "topic" in raw.columns else F.lit(None).cast("string")
+    return raw.select(body.alias("m"), F.col("value").isNull().alias("_empty"), F.col("timestamp").alias("ingest_ts"),
+                      F.col("offset").alias("event_id"), F.col("partition").alias("_partition"), topic.alias("_topic"),
                       F.col("key").cast("string").alias("_key")).select("m.*", "ingest_ts", "event_id",
-                                                                        "_partition", "_key")
+                                                                        "_partition", "_key", "_topic", "_empty")
 
 
-def _start(df: DataFrame, out: str, checkpoint: str, trigger: str | None, fmt="parquet",
-           partition_by=None, options=None):
-    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint) \
-          .option("path", out)
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
-    return w.start()
+def _each_batch(source: DataFrame, checkpoint: str, trigger: str | None, out: str, write):
+    """One stream written to two tables. What is no message goes to `<out>_errors`, the rest to `write`; both
+    under the batch id, in overwrite mode, so a batch that is run again replaces its own output."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if "_corrupt_record" in batch.columns:
+                batch, errors = RS.split_bad(batch)
+                errors.write.mode("overwrite").parquet(f"{out.rstrip('/')}_errors/batch_id={batch_id}")
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
 
+    w = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    return (w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)).start()
 
-def start_readings(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, trigger: str | None = None):
-    """T1 -> T4 -> K8: every reading appended with its alert flag."""
-    flagged = alert_state.flag_stream(RS.message_to_readings(source))
-    return _start(flagged, out, checkpoint, trigger)
+
+def start_readings(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, trigger: str | None = None, handler=None):
+    """T1 -> T4 -> K8: every reading stored with its alert flag; malformed records go to `<out>_errors`."""
+    def write(batch, batch_id):
+        alert_state.store_batch(RS.message_to_readings(batch), batch_id, out, handler=handler)
+    return _each_batch(source, checkpoint, trigger, out, write)
 
 
 def start_archive(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, trigger: str | None = None):
-    """T2 -> T5/K6: archive every message as gzip JSON under year/month/day/hour."""
-    src = source
-    if "_partition" not in src.columns:   # file source: no transport metadata, derive stand-ins
-        return _start(RS.archive_rows(src), out, checkpoint, trigger, fmt="json",
-                      partition_by=["year", "month", "day", "hour"], options={"compression": "gzip"})
-    return _start(kafka_archive_rows(src), out, checkpoint, trigger, fmt="json",
-                  partition_by=["year", "month", "day", "hour"], options={"compression": "gzip"})
+    """T2 -> T5/K6: archive every message as gzip JSON under year/month/day/hour (and its batch id)."""
+    parts = ["year", "month", "day", "hour", "batch_id"]
+
+    def write(batch, batch_id):
+        rows = kafka_archive_rows(batch) if "_partition" in batch.columns else RS.archive_rows(batch)
+        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("compression", "gzip").option("timestampFormat", RS.TS_FORMAT).partitionBy(*parts).json(out))
+    return _each_batch(source, checkpoint, trigger, out, write)
 
 
 def kafka_archive_rows(src: DataFrame) -> DataFrame:
@@ -92,7 +103,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--trigger", default="300 seconds", help="processing-time interval; 'once' drains and stops")
-    ap.add_argument("--max-per-trigger", type=int, default=100)
+    ap.add_argument("--max-per-trigger", type=int, default=100, help="messages (kafka) or files (json) a batch")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     from hazelake.session import build_session

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hazelake import constants as K
 from hazelake import schemas
@@ -19,8 +20,11 @@ from hazelake.operators.facts import exact_sum, full_mean
 
 def message_to_readings(msgs: DataFrame) -> DataFrame:
     """Explode sensors (empty/NULL arrays give no rows), keep AQI-unit sensors,
-    base columns, parameter 'aqi', main pollutant fallback, time fallback chain (P3)."""
-    s = msgs.select("*", F.explode("sensors").alias("s"))
+    base columns, parameter 'aqi', main pollutant fallback, time fallback chain (P3). A reading is named by
+    topic partition (NULL from a file source), offset (`event_id`) and its sensor's position in the message."""
+    if "_partition" not in msgs.columns:
+        msgs = msgs.withColumn("_partition", F.lit(None).cast("int"))
+    s = msgs.select("*", F.posexplode("sensors").alias("sensor_position", "s"))
     s = s.where(F.upper(F.col("s.unit")) == "AQI")
     return s.select(
         "location_id", "location_name", "locality", "country", "country_code",
@@ -30,7 +34,7 @@ def message_to_readings(msgs: DataFrame) -> DataFrame:
         parse_utc_chain(F.col("s.latest_datetime"), F.col("timestamp"),
                         fallback=F.col("ingest_ts")).alias("measurement_time"),
         falsy_coalesce(F.col("s.main_pollutant_display"), F.col("s.main_pollutant")).alias("main_pollutant"),
-        F.col("ingest_ts").alias("created_at"), "event_id")
+        F.col("ingest_ts").alias("created_at"), "event_id", F.col("_partition").alias("kafka_partition"), "sensor_position")
 
 
 def kafka_metadata(msgs: DataFrame, partition="_partition", offset="_offset",
@@ -83,14 +87,28 @@ def archive_rows(msgs: DataFrame) -> DataFrame:
     return with_meta.drop("_partition", "_offset").select("*", *partition_keys(ts))
 
 
-def split_corrupt(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+def split_corrupt(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
     """PERMISSIVE JSON read; malformed lines land in `_corrupt_record` instead of failing."""
-    schema = schemas.LANDED_MESSAGE.add("_corrupt_record", "string")
+    schema = StructType([*schemas.LANDED_MESSAGE.fields, StructField("_corrupt_record", StringType())])
     r = (spark.readStream if stream else spark.read).schema(schema).option("timestampFormat", TS_FORMAT) \
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
     return r.json(path)
 
 
+def split_bad(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages, errors) of one micro-batch: a record that is no message is kept with its topic, partition
+    and offset, as it came."""
+    bad = F.col("_corrupt_record").isNotNull() | F.coalesce(F.col("_empty"), F.lit(False)) if "_empty" in batch.columns else F.col("_corrupt_record").isNotNull()
+
+    def column(name, kind):
+        return (F.col(name) if name in batch.columns else F.lit(None)).cast(kind)
+    errors = batch.where(bad).select(column("_topic", "string").alias("topic"), column("_partition", "int").alias("partition"),
+                                     F.col("event_id").alias("offset"), "ingest_ts", F.col("_corrupt_record").alias("raw"))
+    return batch.where(~bad).drop("_corrupt_record", "_empty", "_topic"), errors
+
+
 def hourly_window(readings: DataFrame, watermark="2 hours") -> DataFrame:
     """Streaming twin of the hourly fact: 1-hour tumbling windows per station (algebraic stats)."""
     return (readings.withWatermark("measurement_time", watermark)

@@ -145,3 +145,23 @@ def test_apply_scale_conf_keeps_cluster_values(spark):
     assert "spark.sql.shuffle.partitions" not in applied
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "40"
+
+
+def test_jobs_keep_malformed_records_apart(spark):
+    """Good and bad rows of one stream, both jobs; a landing file with a broken line, and Kafka records."""
+    from hazelake.streaming import jobs
+    good = ('{"timestamp": "2025-01-01T00:10:00", "location_id": "7", "sensors": [{"unit": "AQI", "latest_value": 180.0}], '
+            '"ingest_ts": "2025-01-01T00:11:00.000000Z", "event_id": 5}')
+    src = scratch_path(spark, "bad-src")
+    spark.createDataFrame([(good,), (good[:40],), ("[]",)], "value string").coalesce(1).write.text(src)
+    for start, count in ((jobs.start_readings, lambda o: spark.read.parquet(o).count()), (jobs.start_archive, lambda o: spark.read.json(o).count())):
+        out, ck = scratch_path(spark, "bad-out"), scratch_path(spark, "bad-ck")
+        start(spark, jobs.message_source(spark, "json", src), out, ck).awaitTermination()
+        errors = spark.read.parquet(f"{out}_errors").collect()
+        assert count(out) == 1 and good[:40] in {r.raw for r in errors}
+    records = spark.createDataFrame([(b"7", good.encode(), "air", 2, 10, dt.datetime(2025, 1, 1)), (b"7", b"{oops", "air", 2, 11, dt.datetime(2025, 1, 1)),
+                                     (b"7", None, "air", 0, 12, dt.datetime(2025, 1, 1))], "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    messages, errors = RS.split_bad(jobs.decode_kafka(records))
+    assert [(r.event_id, r._partition) for r in messages.collect()] == [(10, 2)]
+    assert sorted((r.topic, r.partition, r.offset, r.raw) for r in errors.select("topic", "partition", "offset", F.coalesce("raw", F.lit("")).alias("raw")).collect()) == \
+        [("air", 0, 12, ""), ("air", 2, 11, "{oops")]

@@ -3,11 +3,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hazelake.functions import text as X
-from hazelake.operators.alerts import first_in_slot
+from hazelake.operators.alerts import first_in_slot, flag_readings
 from hazelake.operators.upsert import key_check, upsert
 from hazelake.session import scratch_path
 from hazelake.streaming import alert_state
-from hazelake.streaming import readings as RS
 
 
 def test_normalize_param(spark):
@@ -44,10 +43,11 @@ def test_alert_once_per_slot_batch(spark):
     assert alerts == {1, 4}
 
 
-def test_alert_state_function_matches(spark):
-    out = alert_state.flag_stream(_readings(spark, T4))
+def test_flags_of_one_batch(spark):
+    out = alert_state.flag_batch(_readings(spark, T4), 0, scratch_path(spark, "t4slots"))
     got = {r.event_id: r.alerted for r in out.collect()}
     assert got == {1: True, 2: False, 3: False, 4: True, 5: False, 6: False, 7: False}
+    assert {r.event_id for r in alert_state.alert_once_per_slot(_readings(spark, T4)).where("alerted").collect()} == {1, 4}
 
 
 def test_alert_state_across_micro_batches(spark):
@@ -57,15 +57,41 @@ def test_alert_state_across_micro_batches(spark):
              "measurement_time timestamp, event_id long, main_pollutant string, location_name string"
 
     def run():
-        stream = spark.readStream.schema(schema).parquet(src)
-        RS.run_available_now(alert_state.alert_once_per_slot(stream), out, ck)
+        return alert_state.run_flagged(spark.readStream.schema(schema).parquet(src), out, ck)
 
     _readings(spark, [("07:10", 180.0, 1)]).write.mode("append").parquet(src)
     run()
     _readings(spark, [("07:20", 200.0, 2), ("17:01", 300.0, 3)]).write.mode("append").parquet(src)
-    run()
+    got = {r.event_id: (r.alerted, r.alert_sent_at is not None) for r in run().collect()}
+    assert got == {1: (True, True), 2: (False, False), 3: (True, True)}
+
+
+def test_replayed_and_late_batches_alert_once(spark):
+    """A batch that runs again gives the same flags; an earlier reading that arrives later raises no second alert;
+    the plan has no Python step."""
+    out = scratch_path(spark, "t4replay")
+    alert_state.store_batch(_readings(spark, [("07:30", 180.0, 1), ("17:10", 100.0, 2)]), 0, out)
+    late = _readings(spark, [("07:10", 190.0, 3), ("17:20", 160.0, 4)])
+    told = []
+    for _ in range(2):   # the second time as after a failure between the slots and the readings
+        alert_state.store_batch(late, 1, out, handler=lambda a, i: told.append((i, sorted(r.event_id for r in a.collect()))))
     got = {r.event_id: r.alerted for r in spark.read.parquet(out).collect()}
-    assert got == {1: True, 2: False, 3: True}
+    assert got == {1: True, 2: False, 3: False, 4: True} and told == [(1, [4])] * 2
+    assert spark.read.parquet(f"{out}_slots").count() == 2
+    plan = alert_state.flag_batch(late, 2, f"{out}_slots")._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Python" not in plan and "PartitionFilters: [isnotnull(slot_date" in plan
+
+
+def test_two_sensors_of_one_message(spark):
+    """The sensor below the threshold is not flagged with its neighbour, with and without a topic partition."""
+    rows = _readings(spark, [("07:10", 180.0, 1)])
+    for part in (F.lit(3), F.lit(None)):
+        two = (rows.withColumn("sensor_position", F.lit(0)).unionByName(rows.withColumn("sensor_position", F.lit(1)).withColumn("value", F.lit(20.0)))
+               .withColumn("kafka_partition", part.cast("int")))
+        got = {r.sensor_position: r.alerted for r in flag_readings(two).collect()}
+        assert got == {0: True, 1: False}
+        again = two.withColumn("kafka_partition", F.lit(9)).withColumn("value", F.lit(170.0))
+        assert flag_readings(two.unionByName(again)).where("alerted").count() == 1
 
 
 def test_upsert_rules(spark):
