@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from hazelake import constants as K
 from hazelake.functions.aqi import view_level
 from hazelake.functions.timeparse import dim_time_parts
-from hazelake.operators.quantiles import group_quantiles
-from hazelake.session import reusable
+from hazelake.operators.quantiles import group_quantiles, hot_groups, interpolated, known, value_list
 
 HOURLY_KEYS = ["location_id", "date", "hour", "parameter"]
 DAILY_KEYS = ["location_id", "date", "parameter"]
@@ -31,20 +30,22 @@ def full_mean(sum_col: str, count_col: str, mean_col: str):
 
 
 def _stats(silver: DataFrame, keys: list[str], value="value", median=True) -> DataFrame:
-    # read twice (algebraic statistics and the median): materialise unless it already is a table
-    base = reusable(silver, "fact-input") if median else silver
-    for k in keys:  # pandas groupby drops NULL keys
-        base = base.where(F.col(k).isNotNull())
+    """One aggregate over the rows, the median included, unless a group is too large for one task: then the
+    medians come from `group_quantiles`. Nothing is stored either way but the hot groups' bounds."""
+    base = known(silver, keys)  # pandas groupby drops NULL keys
     v = F.col(value)
-    algebraic = (base.groupBy(*keys).agg(
-        F.min(v).alias("value_min"), F.max(v).alias("value_max"), exact_sum(v).alias("_sum"), F.avg(v).alias("_avg"),
-        F.count(v).alias("value_count"), F.stddev_samp(v).alias("value_std"))
-        .withColumn("value_avg", full_mean("_sum", "value_count", "_avg")).drop("_sum", "_avg"))
+    hot = hot_groups(base, keys, value) if median else None
+    aggs = [F.min(v).alias("value_min"), F.max(v).alias("value_max"), exact_sum(v).alias("_sum"), F.avg(v).alias("_avg"),
+            F.count(v).alias("value_count"), F.stddev_samp(v).alias("value_std")]
+    if median and hot is None:
+        aggs.append(value_list(value).alias("_values"))
+    out = base.groupBy(*keys).agg(*aggs).withColumn("value_avg", full_mean("_sum", "value_count", "_avg")).drop("_sum", "_avg")
     if not median:
-        return algebraic
+        return out
+    if hot is None:
+        return out.withColumn("value_median", interpolated(F.col("_values"), 0.5)).select(*keys, *STAT_COLS)
     med = group_quantiles(base, keys, value, {"value_median": 0.5}, with_count=False)
-    out = algebraic.join(med, keys, "left")
-    return out.select(*keys, *STAT_COLS)
+    return out.join(med, keys, "left").select(*keys, *STAT_COLS)
 
 
 def hourly_fact(silver: DataFrame, keys=HOURLY_KEYS, value="value") -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hazelake import constants as K
 from hazelake.operators.quantiles import group_quantiles
-from hazelake.session import reusable
 
 RUN_KEYS = ["location_id", "run_date"]
 
@@ -26,7 +25,6 @@ def remove_outliers_iqr(df: DataFrame, keys=RUN_KEYS, value="value",
     keep Q1 - m*IQR <= value <= Q3 + m*IQR (quartiles over all parameters of the run).
     The row guard counts non-NULL values; in the pipeline this step follows the range check,
     which has already removed NULL values."""
-    df = reusable(df, "iqr-input")        # read for the quartiles and again for the filter
     b = iqr_bounds(df, list(keys), value, multiplier)
     v = F.col(value)
     j = df.join(b, list(keys), "left")

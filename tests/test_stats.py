@@ -65,6 +65,44 @@ def test_hot_group_spans_many_chunks(spark):
     assert max(per_chunk.values()) < 4000           # no single task holds all of it
 
 
+def test_hot_groups_are_exact_in_two_narrow_passes(spark):
+    """Groups above the bound, with ties, few distinct values, one value, and a coarse sketch; the rest by the aggregate."""
+    import random
+    from hazelake.operators.quantiles import group_quantiles, group_quantiles_builtin
+    rnd = random.Random(5)
+    rows = [("skew", rnd.random() ** 9) for _ in range(7001)] + [("few", float(rnd.randint(0, 2))) for _ in range(5000)] + [("one", 4.0)] * 3000
+    rows += [("big", float(i * 7919 % 20011)) for i in range(20011)] + [(f"s{i % 30}", rnd.random()) for i in range(600)] + [(None, 1.0), ("skew", None), ("s0", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    probs = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99, "q100": 1.0}
+    want = {r.k: r for r in group_quantiles_builtin(df, ["k"], "v", probs).collect()}
+    for small, accuracy in ((2000, 1000), (2000, 100), (25, 10000)):
+        got = {r.k: r for r in group_quantiles(df, ["k"], "v", probs, chunks=5, small=small, accuracy=accuracy).collect()}
+        assert got.keys() == want.keys()
+        for k, r in got.items():
+            assert r._n == want[k]._n and all(abs(r[p] - want[k][p]) < 1e-12 for p in probs), (k, small, accuracy)
+    whole = group_quantiles(df, [], "v", {"m": 0.5}, small=100).first()
+    assert abs(whole.m - group_quantiles_builtin(df.withColumn("k", F.lit(1)), ["k"], "v", {"m": 0.5}).first().m) < 1e-12
+
+
+def test_facts_with_hot_groups_equal_those_without(spark, monkeypatch):
+    from hazelake.operators import quantiles
+    rows = [("1", "d", "pm25", float(i % 97) / 7) for i in range(900)] + [("2", "d", "pm25", float(i)) for i in range(5)] + [("3", "d", "co", None)]
+    df = spark.createDataFrame(rows, "location_id string, date string, parameter string, value double")
+    plain = sorted(map(tuple, facts.daily_fact(df).collect()), key=str)
+    monkeypatch.setattr(quantiles, "SMALL", 100)
+    assert sorted(map(tuple, facts.daily_fact(df).collect()), key=str) == plain
+
+
+def test_facts_store_no_copy(spark, monkeypatch):
+    from hazelake.operators import quantiles
+    df = spark.createDataFrame([("1", "d", "pm25", 1.0), ("1", "d", "pm25", 2.0)], "location_id string, date string, parameter string, value double")
+
+    def refuse(*_, **__):
+        raise AssertionError("a copy was stored")
+    monkeypatch.setattr(quantiles, "materialize", refuse)
+    assert facts.daily_fact(df.distinct()).first().value_median == 1.5
+
+
 def test_exact_mean_ties_and_partitioning(spark):
     from pyspark.sql import functions as F
     # mean 7634.9326875 is an exact tie at the 7th decimal; -0.0000005 a negative tie
