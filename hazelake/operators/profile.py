@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from hazelake.session import materialize
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """A10: COUNT(*) of each table as (table_name, n)."""
@@ -61,15 +63,24 @@ def object_coverage(resolved: DataFrame, table: str, samples: int = 3) -> DataFr
                           F.array_join("_s", ",").alias("sample_keys")))
 
 
-def step_report(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Row count after each stage, one row per stage."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("step_no"),
-                                                            F.lit(name).alias("step"), "rows")
-             for i, (name, df) in enumerate(stages)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def step_report(source: DataFrame, steps) -> DataFrame:
+    """Row count after the source and after each step, counted while the steps run. `steps` are (name, function,
+    stored): a stored step's rows are written once, as the next step reads them more than once, and every step
+    runs once. A step that is not stored must read its input once."""
+    spark = source.sparkSession
+    seen = [("bronze", Observation())]
+    df = source.observe(seen[0][1], F.count(F.lit(1)).alias("rows"))
+    pending = True
+    for name, step, stored in steps:
+        seen.append((name, Observation()))
+        df = step(df).observe(seen[-1][1], F.count(F.lit(1)).alias("rows"))
+        pending = not stored
+        if stored:
+            df = materialize(df, f"step-{name}")
+    if pending:
+        df.write.format("noop").mode("overwrite").save()
+    rows = [(i, name, o.get["rows"]) for i, (name, o) in enumerate(seen)]
+    return spark.createDataFrame(rows, "step_no int, step string, rows long")
 
 
 def gold_outcome(hourly: DataFrame, daily: DataFrame, dim_loc: DataFrame, expected: int = 2) -> DataFrame:

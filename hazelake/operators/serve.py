@@ -92,6 +92,15 @@ def guideline_exceedance(daily: DataFrame) -> DataFrame:
         F.round(F.sum(who.cast("int")) / F.count(F.lit(1)) * 100, 2).alias("share_over_who"))
 
 
+def aqi_exceedance(rows: DataFrame) -> DataFrame:
+    """Q11: per station, readings with an AQI, how many pass each alert threshold, and the days with any above the first."""
+    flags = ("aqi_unhealthy", "aqi_very_unhealthy", "aqi_hazardous")
+    d = rows.where(F.col("aqi").isNotNull()).select("location_id", "date", *threshold_flags("parameter", "value", "aqi")[2:])
+    return d.groupBy("location_id").agg(
+        F.count(F.lit(1)).alias("readings"), *[F.count_if(F.col(f)).alias(f) for f in flags],
+        F.count_distinct(F.when(F.col("aqi_unhealthy"), F.col("date"))).alias("days_unhealthy"))
+
+
 def band_classify(daily: DataFrame) -> DataFrame:
     """Q12: dashboard colour of each daily PM2.5 / PM10 mean."""
     p = F.col("parameter")

@@ -23,6 +23,7 @@ from hazelake.operators.outliers import remove_outliers_iqr_param, remove_outlie
 from hazelake.operators.quality import quality_report_full, quality_rules
 from hazelake.operators.validate import is_value_valid, validate_nonzero
 from hazelake.plans import oracle as O
+from hazelake.plans import pipeline
 from hazelake.plans.oracle import d, q, sql
 from hazelake.plans.pipeline import bronze_to_silver_helper, nan_to_null
 from hazelake.plans.stages import Stages, ntz, round6
@@ -325,6 +326,15 @@ def q_guideline_exceedance(spark, sf):
     return serve.guideline_exceedance(Stages(spark, sf).DF())
 
 
+@register("aqi_exceedance", sql(f"""
+SELECT location_id, count(*) AS readings, count(*) FILTER (aqi > {_T['aqi_unhealthy']}) AS aqi_unhealthy,
+  count(*) FILTER (aqi > {_T['aqi_very_unhealthy']}) AS aqi_very_unhealthy, count(*) FILTER (aqi > {_T['aqi_hazardous']}) AS aqi_hazardous,
+  count(DISTINCT date) FILTER (aqi > {_T['aqi_unhealthy']}) AS days_unhealthy
+FROM A WHERE aqi IS NOT NULL GROUP BY location_id""", "A"))
+def q_aqi_exceedance(spark, sf):
+    return serve.aqi_exceedance(Stages(spark, sf).A())
+
+
 def _band_sql(v: str, kind: str) -> str:
     bounds, colors = K.BANDS[kind]
     parts = " ".join(f"WHEN {v} >= {b} THEN {q(c)}" for b, c in reversed(list(zip(bounds, colors[1:]))))
@@ -415,8 +425,7 @@ UNION ALL SELECT 3, 'outliers_removed', count(*) FROM I
 UNION ALL SELECT 4, 'silver', count(*) FROM S""", "S"))
 def q_step_report(spark, sf):
     s = Stages(spark, sf)
-    return profile.step_report([("bronze", s.R()), ("deduplicated", s.D()), ("validated", s.V()),
-                                ("outliers_removed", s.I()), ("silver", s.S())])
+    return profile.step_report(s.R(), pipeline.STEPS)
 
 
 # =========================================================== facts and dimensions

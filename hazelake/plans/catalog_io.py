@@ -152,6 +152,23 @@ def q_incremental_files(spark, sf):
     return listing.incremental(keys, done)
 
 
+_SOURCE_SQL = "SELECT key, length(key) AS size, CAST(day AS INTEGER) AS dd FROM LR"
+
+
+@register("copy_outcomes", sql("""
+SELECT CASE WHEN t.key IS NULL THEN 'new' WHEN s.key IS NULL THEN 'gone' WHEN s.size = t.size THEN 'same' ELSE 'changed' END AS status,
+  count(*) AS files, CAST(coalesce(sum(s.size), 0) AS BIGINT) AS bytes
+FROM SRC s FULL OUTER JOIN TGT t USING (key) GROUP BY 1""", "LR", extra=[("SRC", _SOURCE_SQL), ("TGT", """
+SELECT key, CASE WHEN dd % 5 = 0 THEN size + 1 ELSE size END AS size FROM SRC WHERE dd <= 15
+UNION ALL SELECT 'old/' || key, size FROM SRC WHERE dd <= 3""")]))
+def q_copy_outcomes(spark, sf):
+    """A listing against a target that has half of it, some files at another size, and some that are gone."""
+    source = listing.resolve_layout(Stages(spark, sf).L()).select("key", F.length("key").alias("size"), F.col("day").cast("int").alias("dd"))
+    old = source.where(F.col("dd") <= 3).select(F.concat(F.lit("old/"), F.col("key")).alias("key"), "size")
+    target = source.where(F.col("dd") <= 15).select("key", (F.col("size") + F.when(F.col("dd") % 5 == 0, 1).otherwise(0)).alias("size"))
+    return listing.outcome_counts(listing.compare(source, target.unionByName(old)))
+
+
 @register("station_days", sql("""
 SELECT DISTINCT run_date FROM R WHERE run_date IN (SELECT run_date FROM LR WHERE location_id = '1')""", "R", "LR"))
 def q_station_days(spark, sf):

@@ -49,6 +49,27 @@ def cleaned(bronze: DataFrame) -> DataFrame:
     return add_pm25_aqi(df)
 
 
+def _deduplicated(df: DataFrame) -> DataFrame:
+    return dedupe(nan_to_null(df), keep="first")
+
+
+def _validated(df: DataFrame) -> DataFrame:
+    return validate_ranges(parse_datetime(normalize_units(df)))
+
+
+def _without_outliers(df: DataFrame) -> DataFrame:
+    return add_pm25_aqi(remove_outliers_iqr(df, RUN_KEYS))
+
+
+def _gated(df: DataFrame) -> DataFrame:
+    return quality_gate(df, quality_report(df, RUN_KEYS), RUN_KEYS)
+
+
+#: The pipeline's steps as (name, function, stored): the two steps whose rows the next one reads twice are stored.
+STEPS = (("deduplicated", _deduplicated, False), ("validated", _validated, True), ("outliers_removed", _without_outliers, True),
+         ("silver", _gated, False))
+
+
 def silver(bronze: DataFrame, materialize_layers: bool = True) -> DataFrame:
     """Cleaned rows of the runs that pass the quality gate. The cleaned set feeds both the
     report and the gate, so it is materialised once in the shared checkpoint folder."""

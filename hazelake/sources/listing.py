@@ -95,6 +95,21 @@ def incremental(source: DataFrame, target: DataFrame, key="key") -> DataFrame:
     return source.join(target.select(key), key, "left_anti")
 
 
+def compare(source: DataFrame, target: DataFrame, key="key", size="size") -> DataFrame:
+    """Every key of two listings with what a copy has to do: new, changed (another size), same, or gone (only in
+    the target). One full outer join."""
+    s = source.select(F.col(key).alias("key"), F.col(size).alias("_s"), F.lit(True).alias("_in"))
+    t = target.select(F.col(key).alias("key"), F.col(size).alias("_t"), F.lit(True).alias("_out"))
+    status = (F.when(F.col("_out").isNull(), "new").when(F.col("_in").isNull(), "gone")
+              .when(F.col("_s").eqNullSafe(F.col("_t")), "same").otherwise("changed"))
+    return s.join(t, "key", "full_outer").select("key", F.col("_s").alias("size"), status.alias("status"))
+
+
+def outcome_counts(compared: DataFrame) -> DataFrame:
+    """Keys and bytes for each status."""
+    return compared.groupBy("status").agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("bytes"))
+
+
 def station_days(days: DataFrame, keys: DataFrame, location_id: str) -> DataFrame:
     """Days that hold data for one station (left semi join)."""
     inv = partition_inventory(keys).where(F.col("location_id") == location_id)

@@ -48,8 +48,52 @@ def write_daily(daily: DataFrame, path: str) -> None:
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
-    """K4: a merged dimension is rewritten whole (it is small and keyed)."""
-    dim.write.mode("overwrite").parquet(path)
+    """K4: a merged dimension is rewritten whole (it is small and keyed): written beside the live table and swapped
+    in by rename, so a failure at any point leaves the old or the new version complete."""
+    path = path.rstrip("/")
+    spark = dim.sparkSession
+    recover_dimension(spark, path)
+    dim.write.mode("overwrite").parquet(f"{path}__new")
+    _swap(spark, path)
+
+
+def _files(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark, a: str, b: str) -> None:
+    (src, fs), (dst, _) = _files(spark, a), _files(spark, b)
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot rename {a} to {b}")
+
+
+def _remove(spark, path: str) -> None:
+    p, fs = _files(spark, path)
+    fs.delete(p, True)
+
+
+def _swap(spark, path: str) -> None:
+    """live -> old, new -> live, then the old version goes."""
+    from hazelake.session import path_exists
+    if path_exists(spark, path):
+        _remove(spark, f"{path}__old")
+        _rename(spark, path, f"{path}__old")
+    _rename(spark, f"{path}__new", path)
+    _remove(spark, f"{path}__old")
+
+
+def recover_dimension(spark, path: str) -> None:
+    """Finish or undo a swap that was cut off: without a live table, the new version is complete (it is written
+    before the live one moves), else the old one is taken back."""
+    from hazelake.session import path_exists
+    path = path.rstrip("/")
+    if path_exists(spark, path):
+        return
+    for version in (f"{path}__new", f"{path}__old"):
+        if path_exists(spark, f"{version}/_SUCCESS"):
+            _rename(spark, version, path)
+            return
 
 
 def run_manifest(report: DataFrame, hourly_path: str, daily_path: str) -> DataFrame:
@@ -114,6 +158,7 @@ def merge_dimension(spark, path: str, dim: DataFrame, keys: list[str]) -> None:
     """K4 over runs: new keys are added, known keys take the run's values."""
     from hazelake.operators.upsert import upsert
     from hazelake.session import materialize, path_exists
+    recover_dimension(spark, path)
     if path_exists(spark, path):
         dim = materialize(upsert(spark.read.parquet(path).select(*dim.columns), dim, keys, [c for c in dim.columns if c not in keys]), "dimension")
     write_dimension(dim, path)

@@ -208,3 +208,46 @@ def test_headers_come_from_the_first_bytes(spark):
         f.write(b"\x1f\x8bbroken")
     got = {r.path.split("/")[-1]: (r.location_id, r.header) for r in filecatalog.catalogue(spark, base).collect()}
     assert got == {f"location-{i}-20250701.csv.gz": (str(i), HEADER.strip() if i < 3 else None) for i in (1, 2, 3, 4)}
+
+
+def test_dimension_rewrite_survives_a_failure_half_way(spark, monkeypatch):
+    """K4: whatever rename fails, the next run finds a whole table and loses no row."""
+    from hazelake.sources import sinks
+    one = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    two = spark.createDataFrame([("2", "c"), ("3", "d")], "k string, v string")
+    real = sinks._rename
+    for failing in (0, 1):
+        path = scratch_path(spark, "dim")
+        sinks.merge_dimension(spark, path, one, ["k"])
+        calls = []
+
+        def rename(s, a, b, calls=calls, failing=failing):
+            calls.append(a)
+            if len(calls) == failing + 1:
+                raise OSError("cut off")
+            real(s, a, b)
+        monkeypatch.setattr(sinks, "_rename", rename)
+        with pytest.raises(OSError, match="cut off"):
+            sinks.merge_dimension(spark, path, two, ["k"])
+        monkeypatch.setattr(sinks, "_rename", real)
+        sinks.recover_dimension(spark, path)
+        assert {r.k for r in spark.read.parquet(path).collect()} >= {"1", "2"}
+        sinks.merge_dimension(spark, path, two, ["k"])
+        assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {("1", "a"), ("2", "c"), ("3", "d")}
+
+
+def test_step_report_reads_its_input_once(spark):
+    from hazelake.operators import profile
+    from hazelake.plans import pipeline
+    from hazelake.plans.stages import Stages
+    from conftest import SF_SMALL
+    rows = Stages(spark, SF_SMALL).R()
+    count = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            count.add(b.num_rows)
+            yield b
+    got = {r.step: r.rows for r in profile.step_report(rows.mapInArrow(counted, rows.schema), pipeline.STEPS).collect()}
+    assert got["bronze"] == rows.count() == count.value
+    assert got["bronze"] > got["deduplicated"] > got["validated"] >= got["outliers_removed"] >= got["silver"] > 0
