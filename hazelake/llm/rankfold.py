@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import unicodedata
 import zlib
 
 import numpy as np
@@ -40,6 +41,7 @@ BUCKET_BITS = 15  # so many maps in the rank literal, a few pairs each
 LONG = 1024
 FIRST = 0x100  # character of rank 0
 NONE = "\U0010ffff"  # no rank: sorts after all others
+EDGE = "\U0010fffe"  # stands before and after a word's symbols
 
 
 def default_vocabulary() -> str:
@@ -58,13 +60,31 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+def newer_characters(pattern: str) -> str:
+    """Letters and numbers of this Unicode version that the library's version does not know yet. It is asked with a
+    vocabulary that joins a character's last byte to the letter or digit behind it, if both are one piece."""
+    import tiktoken
+    tails = {bytes([b]) + c: 256 + 64 * k + b - 0x80 for k, c in enumerate((b"a", b"1")) for b in range(0x80, 0xC0)}
+    library = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={bytes([b]): b for b in range(256)} | tails, special_tokens={})
+    every = "".join(chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn")
+    out = []
+    for kind, behind in ((r"\p{L}", "a"), (r"\p{N}", "1")):
+        found = regex.findall(kind, every)
+        out += [c for c, ids in zip(found, library.encode_ordinary_batch([c + behind for c in found], num_threads=1), strict=True) if ids[-1] < 256]
+    return "".join(out)
+
+
 class Splitter:
-    """Cuts texts into pieces, and long pieces into words the fold can take."""
+    """Cuts texts into pieces, and long pieces into words the fold can take. ``newer`` are characters that count as
+    neither letter nor number."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, newer: str = ""):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.longest = max(map(len, ranks), default=1)
+        self.newer = {ord(c): "\ue000" for c in newer}   # to a character that is neither letter, number nor blank in any version
+        self.leads = sorted({c.encode()[:2] for c in newer})
+        self.longest, self.none = max(map(len, ranks), default=1), NONE
         self.symbols = {b: symbol(ranks[bytes([b])]) for b in range(256)}
+        self.first = {(t[0], t[1]): symbol(r) for t, r in ranks.items() if len(t) == 2}
         self.pairs = np.zeros(1 << 16, bool)
         triples = set()
         for token in ranks:
@@ -73,6 +93,15 @@ class Splitter:
             triples.update(token[i:i + 3] for i in range(len(token) - 2))
         self.triples = np.unique(np.array([-1, *(t[0] << 16 | t[1] << 8 | t[2] for t in triples)], np.int64))
 
+    def pieces(self, text: str) -> list[str]:
+        if not self.newer or text.isascii():
+            return self.pattern.findall(text)
+        raw = text.encode()
+        plain = text.translate(self.newer) if any(lead in raw for lead in self.leads) else text
+        if plain == text:
+            return self.pattern.findall(text)
+        return [text[m.start():m.end()] for m in self.pattern.finditer(plain)]
+
     def cuts(self, word: bytes) -> list[int]:
         """Offsets that no token can lie across: it would be the pair around the offset, or hold one
         of the two triples around it."""
@@ -106,19 +135,27 @@ class Splitter:
                         heapq.heappush(heap, (rank, a, end[end[a]]))
         return [word[i:end[i]] for i in range(n) if alive[i]]
 
-    def words(self, piece: bytes) -> list[str]:
-        """Symbols of one piece, cut into words the fold can take."""
+    def word(self, word: bytes) -> tuple[str, str]:
+        """The fold's first state: a word's symbols between edges, and the ranks of their pairs."""
+        none = self.none
+        return f"{EDGE}{word.decode('latin-1').translate(self.symbols)}{EDGE}", f"{NONE}{''.join([self.first.get(x, none) for x in zip(word, word[1:], strict=False)])}{NONE}"
+
+    def token(self, token: bytes) -> tuple[str, str]:
+        return f"{EDGE}{symbol(self.ranks[token])}{EDGE}", NONE * 2
+
+    def words(self, piece: bytes) -> list[tuple[str, str]]:
+        """One piece, cut into words the fold can take."""
         if piece in self.ranks:
-            return [symbol(self.ranks[piece])]
+            return [self.token(piece)]
         if len(piece) <= self.longest:
-            return [piece.decode("latin-1").translate(self.symbols)]
+            return [self.word(piece)]
         out = []
         at = [0, *self.cuts(piece), len(piece)]
         for a, b in zip(at[:-1], at[1:], strict=True):
             if b - a <= LONG:
-                out.append(piece[a:b].decode("latin-1").translate(self.symbols))
+                out.append(self.word(piece[a:b]))
             else:
-                out += [symbol(self.ranks[t]) for t in self.merged(piece[a:b])]
+                out += [self.token(t) for t in self.merged(piece[a:b])]
         return out
 
     def chunk(self, texts: list[str]):
@@ -126,10 +163,10 @@ class Splitter:
         pieces: dict[str, int] = {}
         numbers, offs = [], [0]
         for text in texts:
-            numbers.append(np.fromiter((pieces.setdefault(p, len(pieces)) for p in self.pattern.findall(text)), np.int32))
+            numbers.append(np.fromiter((pieces.setdefault(p, len(pieces)) for p in self.pieces(text)), np.int32))
             offs.append(offs[-1] + len(numbers[-1]))
         idx, offs = np.concatenate(numbers) if numbers else np.zeros(0, np.int32), np.array(offs, np.int64)
-        slots: dict[str, int] = {}
+        slots: dict[tuple[str, str], int] = {}
         parts = [[slots.setdefault(w, len(slots)) for w in self.words(p.encode())] for p in pieces]
         counts = np.array([len(p) for p in parts], np.int64)
         flat = np.array([s for p in parts for s in p], np.int32)
@@ -144,8 +181,11 @@ def symbol(rank: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)
 
 
-def rank_of_symbol(c: Column) -> Column:
+def rank_of_symbol(c: Column, top: int) -> Column:
+    """The rank a character stands for, of a vocabulary whose ranks end at ``top``."""
     code = F.ascii(c)
+    if FIRST + top < 0xD800:
+        return code - FIRST
     return F.when(code < 0xD800, code - FIRST).otherwise(code - (FIRST + 0x800))
 
 
@@ -173,26 +213,25 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fold(table: Column, word: Column) -> Column:
-    """array<int>: the ids of one word, given as its symbols. The state is the string of symbols and that
-    of the pairs' ranks, one character a pair."""
+def fold(table: Column, word: Column, top: int) -> Column:
+    """array<int>: the ids of one word. The state is the string of symbols, an edge at both ends, and that of
+    the ranks of all neighbours, one character a pair (the edges have none)."""
     def step(state, _):
         sym, rank = state["sym"], state["rank"]
 
         def merge(low):
-            p = F.instr(rank, low)
+            p = F.instr(rank, low)   # the pair of the symbols at p and p + 1; never the first or the last
             left, right = F.concat(F.substring(sym, p - 1, F.lit(1)), low), F.concat(low, F.substring(sym, p + 2, F.lit(1)))
             return F.when(low == NONE, state).otherwise(F.struct(
-                F.concat(F.substring(sym, F.lit(1), p - 1), low, F.substring(sym, p + 2, F.length(sym))).alias("sym"),
-                F.concat(F.when(p > 1, F.concat(F.substring(rank, F.lit(1), p - 2), merged_pair(table, left))).otherwise(""),
-                         F.when(p < F.length(rank), F.concat(merged_pair(table, right), F.substring(rank, p + 2, F.length(rank)))).otherwise("")).alias("rank")))
-        return F.when(rank == "", state).otherwise(bind(F.array_min(F.split(rank, "")), merge))
+                F.concat(F.substring(sym, F.lit(1), p - 1), low, F.substring(sym, p + 2, rest)).alias("sym"),
+                F.concat(F.substring(rank, F.lit(1), p - 2), merged_pair(table, left), merged_pair(table, right),
+                         F.substring(rank, p + 2, rest)).alias("rank")))
+        return bind(F.array_min(F.split(rank, "")), merge)
 
-    chars = F.split(word, "")
-    first = F.zip_with(chars, F.slice(chars, F.lit(2), F.length(word)), lambda a, b: F.when(b.isNotNull(), merged_pair(table, F.concat(a, b))))
-    state = F.struct(word.alias("sym"), F.array_join(first, "").alias("rank"))
-    merged = F.when(F.length(word) == 1, word).otherwise(F.aggregate(chars, state, step, lambda s: s["sym"]))
-    return F.transform(F.split(merged, ""), rank_of_symbol)
+    rest = F.lit(1 << 30)
+    size = F.length(word["sym"])
+    merged = F.aggregate(F.array_repeat(F.lit(0), size - 3), F.struct(word["sym"].alias("sym"), word["rank"].alias("rank")), step, lambda s: s["sym"])
+    return F.transform(F.split(F.substring(merged, F.lit(2), F.length(merged) - 2), ""), lambda c: rank_of_symbol(c, top))
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,9 +240,10 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     prepare(spark)
     ranks = load_ranks(vocabulary or default_vocabulary())
     table = rank_literal(ranks)
-    shared = spark.sparkContext.broadcast((ranks, pattern or default_pattern()))
+    pattern = pattern or default_pattern()
+    shared = spark.sparkContext.broadcast((ranks, pattern, newer_characters(pattern)))
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"words array<string>, docs array<struct<key:{kind},words:array<int>>>"
+    schema = f"words array<struct<sym:string,rank:string>>, docs array<struct<key:{kind},words:array<int>>>"
 
     def chunks(batches):
         splitter = Splitter(*shared.value)
@@ -211,8 +251,9 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 
         def flush():
             words, idx, offs = splitter.chunk(texts)
+            pairs = pa.StructArray.from_arrays([pa.array([w[k] for w in words], pa.string()) for k in (0, 1)], ["sym", "rank"])
             rows = pa.StructArray.from_arrays([pa.concat_arrays(keys), pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(idx, pa.int32()))], ["key", "words"])
-            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.array(words, pa.string()), rows)], ["words", "docs"])
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pairs, rows)], ["words", "docs"])
 
         for part in slices(batches, "text", CHUNK):
             if texts and held + part.nbytes > CHUNK:
@@ -225,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
             yield flush()
 
     cut = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(chunks, schema)
-    ids = bind(table, lambda t: F.transform("words", lambda w: fold(t, w)))
+    ids = bind(table, lambda t: F.transform("words", lambda w: fold(t, w, max(ranks.values(), default=0))))
     rows = bind(ids, lambda e: F.transform("docs", lambda d: F.struct(
         d["key"].alias("key"), F.flatten(F.transform(d["words"], lambda i: F.get(e, i))).alias("ids"))))
     return cut.select(F.explode(rows).alias("row")).select(F.col("row")["key"].alias(key), F.col("row")["ids"].alias("ids"))
