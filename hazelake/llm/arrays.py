@@ -8,6 +8,7 @@ substring costs two lookups. The values ``v`` are random odd 64-bit numbers per
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,6 +143,18 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """``names``, made different from all of ``taken`` (Spark compares without regard to case)."""
+    held = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def column(batch: pa.RecordBatch, name: str):
     return batch.column(batch.schema.get_field_index(name))
 
@@ -151,10 +164,31 @@ def prepare(spark: SparkSession) -> None:
     documents cannot fill a worker."""
     ship_package(spark)
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"),
-                       ("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))):
+                       ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))):
         spark.conf.set(key, value)
 
 
+def released() -> None:
+    """Give the memory that a partition has freed back to the system: a reused worker would keep it
+    beside the next stages' tasks."""
+    global _POW, _INV
+    _POW = _INV = np.ones(1, U64)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run):
+    """``run`` for mapInArrow, with ``released`` at the end of its partition."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            released()
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

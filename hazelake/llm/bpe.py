@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import (
     column,
+    lean,
     prepare,
     ranges,
     slices,
@@ -320,7 +321,7 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, key: str = "do
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
+        lean(run), f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -32,6 +32,7 @@ from hazelake.llm.arrays import (
     BYTE_VALUES,
     LOWER,
     column,
+    lean,
     owners,
     prefix_hashes,
     prepare,
@@ -39,6 +40,7 @@ from hazelake.llm.arrays import (
     span_hashes,
     spans,
     text_bytes,
+    unused,
 )
 from hazelake.session import materialize
 
@@ -173,11 +175,11 @@ def shards(benchmark: DataFrame, item: str, text: str, window: int, shard_bytes:
 def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text",
               window: int = WINDOW, shard_bytes: int = SHARD_BYTES, out: str = "decontam") -> DataFrame:
     """All columns of ``docs`` and a struct column ``out``: n_words, spans (maximal runs of hit
-    words as byte ranges of the text, with their number of words) and items (ids, sorted as text)."""
+    words as byte ranges of the text, with their number of words) and items (ids, sorted as text);
+    a column of that name is replaced."""
     spark = docs.sparkSession
     prepare(spark)
-    if out in docs.columns:
-        raise ValueError(f"the input already has a column {out}")
+    docs = docs.drop(out)
     kind = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("words", pa.int64())])
     schema = "n_words bigint, spans array<struct<start:bigint,stop:bigint,words:bigint>>, items array<string>"
     done = docs.withColumn(text, F.col(text).cast("string"))
@@ -194,7 +196,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
                     ["n_words", "spans", "items"])
                 yield pa.RecordBatch.from_arrays([*[column(part, c) for c in names], found], [*names, out])
 
-        got = done.mapInArrow(run, T.StructType([*fields, *T.StructType.fromDDL(f"`{out}` struct<{schema}>").fields]))
+        got = done.mapInArrow(lean(run), T.StructType([*fields, *T.StructType.fromDDL(f"`{out}` struct<{schema}>").fields]))
         # a second shard reads what the first found, written once: two automata never share a worker
         done = got if last else materialize(got, "decontam")
     return done
@@ -233,18 +235,23 @@ def _scan(automaton: Automaton, data: np.ndarray, offs: np.ndarray, before: list
     return n_words.tolist(), found_spans, found_items
 
 
-def _with_n_hit(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    return find_hits(docs, benchmark, **options).withColumn(
-        "__n_hit", F.aggregate("decontam.spans", F.lit(0).cast("long"), lambda n, s: n + s["words"]))
+def _judged(docs: DataFrame, benchmark: DataFrame, **options):
+    """``find_hits`` with names that are free in ``docs``, and the columns of its struct, the number of hit words and
+    the contamination rule."""
+    out, = unused(docs.columns, "decontam")
+    got = find_hits(docs, benchmark, out=out, **options)
+    hits = F.col(out)
+    n_hit = F.aggregate(hits["spans"], F.lit(0).cast("long"), lambda n, s: n + s["words"])
+    return got, hits, n_hit, (n_hit > 0) & (20 * n_hit >= hits["n_words"])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", min_words: int = WINDOW, coverage: float = 0.05, **options) -> DataFrame:
     """Documents without their contaminated spans: in a document whose hit words reach ``coverage``
     of its words every span goes, otherwise spans of at least ``min_words`` words go."""
     names = docs.columns
-    got = _with_n_hit(docs, benchmark, text=text, **options)
-    all_go = F.col("__n_hit") >= coverage * F.col("decontam.n_words")
-    gone = F.filter("decontam.spans", lambda s: all_go | (s["words"] >= min_words))
+    got, hits, n_hit, _ = _judged(docs, benchmark, text=text, **options)
+    all_go = n_hit >= coverage * hits["n_words"]
+    gone = F.filter(hits["spans"], lambda s: all_go | (s["words"] >= min_words))
     raw = F.col(text).cast("binary")
     kept = F.aggregate(
         gone, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").cast("binary").alias("kept")),
@@ -255,19 +262,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", m
 
 def digests(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The query's columns."""
-    got = _with_n_hit(docs.select("doc_id", "text"), benchmark, **options)
+    got, hits, n_hit, contaminated = _judged(docs.select("doc_id", "text"), benchmark, **options)
     return got.select(
-        "doc_id", F.col("decontam.n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"),
-        F.size("decontam.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("decontam.items", ","), 256).alias("items_sha256"), _contaminated().alias("contaminated"))
-
-
-def _contaminated():
-    return (F.col("__n_hit") > 0) & (20 * F.col("__n_hit") >= F.col("decontam.n_words"))
+        "doc_id", hits["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"), contaminated.alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that the rule leaves, with their columns as they were."""
     names = docs.columns
-    got = _with_n_hit(docs, benchmark, **options)
-    return got.where(~_contaminated()).select(*[F.col(f"`{c}`") for c in names])
+    got, _, _, contaminated = _judged(docs, benchmark, **options)
+    return got.where(~contaminated).select(*[F.col(f"`{c}`") for c in names])

@@ -1,10 +1,10 @@
 """Near-duplicate documents by min-max hashing (operator 4).
 
-A document's set are its distinct word shingles, as 64-bit hashes. Under every one of ``PERMS``
-permutations both the smallest and the largest hash are kept, so a signature of 2 * PERMS values
-takes half the hash evaluations; each value agrees between two sets with probability equal to
-their similarity. Bands of ``ROWS`` values are buckets: at a similarity of 0.85 a pair shares no
-bucket with a probability below 1e-6.
+A document's set are its distinct word shingles, as 64-bit hashes. Under every permutation both
+the smallest and the largest hash are kept, so a signature takes half as many hash evaluations as
+it has values; each value agrees between two sets with probability equal to their similarity.
+Bands of several values are buckets. Their size and number follow from the threshold
+(``layout``), so that a pair at the threshold shares no bucket with a probability below ``MISS``.
 
 Documents with equal sets are one node from the start. In every bucket all nodes are compared
 with the bucket's first node, its head, on their full sets (a star, not all pairs). Then, among
@@ -17,11 +17,14 @@ other nodes in cells of bounded size, which give links only, never all pairs. No
 Defined cases: null or empty text, or text of white space, has an empty set and is linked with
 nothing; fewer words than a shingle make one shingle of all words; a null doc_id is linked with
 nothing and stays; repeated rows are one document (rows that share a doc_id are expected to share
-their text); an empty table gives an empty result.
+their text); an empty table gives an empty result; further columns do not matter, whatever their
+names.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +34,7 @@ from hazelake.llm.arrays import (
     LOWER,
     SPACE,
     column,
+    lean,
     mix,
     owners,
     prefix_hashes,
@@ -40,6 +44,7 @@ from hazelake.llm.arrays import (
     span_hashes,
     spans,
     text_bytes,
+    unused,
     word_hashes,
 )
 from hazelake.llm.graph import components
@@ -47,12 +52,22 @@ from hazelake.session import materialize
 
 SHINGLE = 3
 PERCENT = 85
-ROWS = 6
-BANDS = 30
-PERMS = ROWS * BANDS // 2
+AGREE = 0.325  # a pair at the threshold agrees in a band with this probability or more
+MISS = 1e-6
 CHUNK = 256 << 10  # bytes of text sketched at once; the work arrays take about a hundred times as much
 CELL = 1024  # nodes of a head that are compared in one call
-_MULTIPLY = mix(np.arange(1, PERMS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
+
+
+def layout(percent: int) -> tuple[int, int]:
+    """(values in a band, bands) for a threshold in percent; their product is even."""
+    s = min(max(percent, 1), 99) / 100
+    rows = max(1, min(8, int(math.log(AGREE) / math.log(s))))
+    bands = math.ceil(math.log(MISS) / math.log1p(-s ** rows))
+    return rows, bands + (rows * bands) % 2
+
+
+def multipliers(count: int) -> np.ndarray:
+    return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,27 +93,29 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndar
     return who[keep], h[keep]
 
 
-def signatures(who: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """[sets x 2 * PERMS]: smallest and largest value under every permutation. Every set has hashes."""
+def signatures(who: np.ndarray, h: np.ndarray, permutations: int) -> np.ndarray:
+    """[sets x 2 * permutations]: smallest and largest value under every permutation. Every set has hashes."""
     first = np.flatnonzero(np.diff(who, prepend=-1))
-    out = np.empty((len(first), 2 * PERMS), np.uint32)
-    for p in range(PERMS):
-        v = ((h * _MULTIPLY[p]) >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(first), 2 * permutations), np.uint32)
+    for p, factor in enumerate(multipliers(permutations)):
+        v = ((h * factor) >> np.uint64(32)).astype(np.uint32)
         out[:, 2 * p] = np.minimum.reduceat(v, first) if len(first) else 0
         out[:, 2 * p + 1] = np.maximum.reduceat(v, first) if len(first) else 0
     return out
 
 
-def bands(signature: np.ndarray) -> np.ndarray:
-    """[sets x BANDS] bucket keys."""
-    part = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
-    key = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(signature), 1))
-    for r in range(ROWS):
+def buckets_of(signature: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """[sets x bands] bucket keys."""
+    part = signature.reshape(len(signature), bands, rows).astype(np.uint64)
+    key = np.tile(mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(signature), 1))
+    for r in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, r])
     return key.view(np.int64)
 
 
-def _sketch(size: int):
+def _sketch(size: int, percent: int):
+    rows, bands = layout(percent)
+
     def run(batches):
         for part in slices(batches, "text", CHUNK):
             who, h = shingle_sets(*text_bytes(column(part, "text")), size)
@@ -110,8 +127,8 @@ def _sketch(size: int):
                 first = np.flatnonzero(np.diff(who, prepend=-1))
                 d1[has] = np.add.reduceat(mix(h), first)
                 d2[has] = np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)
-                ends = np.cumsum(np.where(n > 0, BANDS, 0))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(bands(signatures(who, h)).ravel(), pa.int64()))
+                ends = np.cumsum(np.where(n > 0, bands, 0))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(buckets_of(signatures(who, h, rows * bands // 2), rows, bands).ravel(), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id"), pa.array(n, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists],
                 ["doc_id", "n_shingles", "d1", "d2", "bands"])
@@ -170,7 +187,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     prepare(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sketch = materialize(texts.mapInArrow(_sketch(shingle), f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>"), "minmax")
+    sketch = materialize(texts.mapInArrow(lean(_sketch(shingle, percent)), f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>"), "minmax")
     same = ["n_shingles", "d1", "d2"]
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(full.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "minmax-nodes")
@@ -182,7 +199,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     star = materialize(hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head"), "minmax-star")
     wanted = hits.select("node").distinct()
     ids = texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = materialize(ids.mapInArrow(_sets(shingle), f"node {kind}, hashes array<bigint>").dropDuplicates(["node"]), "minmax-sets")
+    sets = materialize(ids.mapInArrow(lean(_sets(shingle)), f"node {kind}, hashes array<bigint>").dropDuplicates(["node"]), "minmax-sets")
     linked = lambda t: t.where(100 * F.col("common") >= percent * F.col("total"))
     compared = materialize(_compare(star.select(F.col("node").alias("a"), F.col("head").alias("b")), sets), "minmax-compared")
     links = linked(compared).select("a", "b")
@@ -225,10 +242,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, with the columns as they were; repeated rows stay once."""
     judged = materialize(near_duplicates(docs, **options), "minmax-judged")
-    gone = judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    twice = materialize(judged.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")), "minmax-twice")
+    out, again = unused(docs.columns, "gone", "twice")
+    gone = judged.where("not kept").select(F.col("doc_id").alias(out)).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col(out), "left_anti")
+    twice = materialize(judged.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again)), "minmax-twice")
     if twice.isEmpty():
         return left
-    on = F.col("doc_id") == F.col("__twice")
+    on = F.col("doc_id") == F.col(again)
     return left.join(twice, on, "left_anti").unionByName(left.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))

@@ -5,30 +5,35 @@ keep their case, separators stay, card numbers keep their first digit and a vali
 IP addresses stay valid (in the unassigned block 240/4), e-mail hosts end in a reserved example
 domain, secrets keep their shape, and names after a form of address keep gender, script, case,
 particles and number of words (the surrogate depends on each name word, so "Mr Ann Lee" and "Ms
-Lee" still share their last name; initials become other initials). Capitalised mentions of a name
-word elsewhere in the same document get its surrogate too. The same value gets the same surrogate
-in every document.
+Lee" still share their last name; initials become other initials). A given name after a form of
+address without gender ("Dr Anna Weber") takes the gender that the corpus shows for it elsewhere,
+if that is one only. Capitalised mentions of a name word elsewhere in the same document get its
+surrogate too. The same value gets the same surrogate in every document.
 
 All distinct values of the corpus form one table. Surrogates are checked there: two values with
 one surrogate, or a surrogate that is itself a value of the corpus, get the next attempt of the
-keyed function until nothing collides. Texts are then rebuilt from their parts between entities.
+keyed function until nothing collides. Names and e-mail hosts get longer with every attempt, the
+other kinds from attempt ``WIDER`` on, so that a format with fewer values than the corpus ends too.
+Texts are then rebuilt from their parts between entities.
 
 Defined cases: null text stays null, empty text stays empty; texts without entities are
 unchanged; numbers of card length with a wrong check digit are not card numbers and stay; equal
-texts get equal results; all other columns pass as they are.
+texts get equal results; all other columns pass as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazelake.llm.arrays import unused
 from hazelake.session import materialize
 
 DEMO_KEY = "surrogates-demo-key"  # production passes its own secret
-MAX_ATTEMPTS = 40
+WIDER = 20  # from this attempt on a surrogate gets digits that its format does not have
 
 _MALE = "Mr|Herr|Monsieur|Señor|Sr|Don|Signor|Господин|Г-н|Κύριος"
 _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Señorita|Doña|Signora|Господжа|Госпожа|Г-жа|Κυρία"
@@ -66,7 +71,8 @@ _SYLLABLES = {"latin": "ba be bi bo da de di do ka ke ki ko la le li lo ma me mi
 _ENDINGS = {("latin", "m"): "n", ("latin", "f"): "na", ("latin", "n"): "le", ("latin", "last"): "rsen",
             ("cyrillic", "m"): "н", ("cyrillic", "f"): "на", ("cyrillic", "n"): "ль", ("cyrillic", "last"): "енко",
             ("greek", "m"): "ς", ("greek", "f"): "να", ("greek", "n"): "λι", ("greek", "last"): "κης"}
-_LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
+_LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+            "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞĆČĎĐĘĚĞĽŁŃŇŐŒŘŚŞŠŤŮŰŹŻŽ")
 
 
 def kind_of(value: Column) -> Column:
@@ -123,12 +129,13 @@ def same_shape(value: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ""), char), "")
 
 
-def name_word(script: Column, role: Column, stream: Column) -> Column:
-    """A name of four syllables and an ending for its role: m, f, n (given names) or last."""
+def name_word(script: Column, role: Column, stream: Column, attempt: Column) -> Column:
+    """A name of four syllables, one more with each attempt, and an ending for its role: m, f, n (given names) or last."""
+    def stem_of(pool):
+        return F.array_join(F.transform(F.sequence(F.lit(0), 3 + attempt), lambda i: F.get(pool, byte_at(stream, i) % 32)), "")
     out = F.lit(None).cast("string")
     for s, syllables in _SYLLABLES.items():
-        pool = F.array(*[F.lit(x) for x in syllables.split()])
-        stem = F.concat(*[F.get(pool, byte_at(stream, F.lit(i)) % 32) for i in range(4)])
+        stem = stem_of(F.array(*[F.lit(x) for x in syllables.split()]))
         for r in ("m", "f", "n", "last"):
             out = F.when((script == s) & (role == r), F.concat(stem, F.lit(_ENDINGS[s, r]))).otherwise(out)
     return out
@@ -144,23 +151,24 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
 
 
 def _surrogate() -> Column:
-    kind, value, stream, shaped = (F.col(c) for c in ("kind", "value", "__stream", "__shaped"))
+    kind, value, stream, shaped, attempt = (F.col(c) for c in ("kind", "value", "__stream", "__shaped", "attempt"))
     card = F.concat("__payload", F.col("__check").cast("string"))  # a card number ends in its check digit
     local = F.substring_index(value, "@", 1)
     host = F.substring_index(value, "@", -1)
     tld = F.element_at(F.array(F.lit("com"), F.lit("net"), F.lit("org")), byte_at(stream, F.lit(127)) % 3 + 1)
-    label = F.concat(F.lit("h"), F.substring(stream, F.lit(121), F.greatest(F.lit(3), F.least(F.lit(10), F.length(F.substring_index(host, ".", 1)) - 1))))
+    label = F.concat(F.lit("h"), F.substring(stream, F.lit(121), F.greatest(F.lit(3), F.least(F.lit(10), F.length(F.substring_index(host, ".", 1)) - 1)) + attempt))
     email = F.concat(same_shape(local, stream), F.lit("@"), label, F.lit(".example."), tld)
     octet = lambda i: byte_at(stream, F.lit(i)).cast("string")
     ip = F.concat_ws(".", (240 + byte_at(stream, F.lit(0)) % 16).cast("string"), octet(1), octet(2), octet(3))
     country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
     phone = F.concat(country, F.substring(shaped, F.length(country) + 1, F.length(value)))
     part = F.split(kind, "/")
-    return (F.when(kind == "email", email).when(kind == "ipv4", ip).when(kind == "card", card).when(kind == "phone", phone)
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, F.lit(2), F.length(value))))
-            .when(kind == "cloud_key", F.concat(F.lit("AKIA"), F.substring(shaped, F.lit(5), F.length(value))))
-            .when(kind.startswith("name/"), name_word(F.get(part, F.lit(1)), F.get(part, F.lit(2)), stream))
-            .otherwise(shaped))
+    by_shape = (F.when(kind == "ipv4", ip).when(kind == "card", card).when(kind == "phone", phone)
+                .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, F.lit(2), F.length(value))))
+                .when(kind == "cloud_key", F.concat(F.lit("AKIA"), F.substring(shaped, F.lit(5), F.length(value)))).otherwise(shaped))
+    digits = F.translate(F.substring(stream, F.lit(1), F.greatest(F.lit(0), attempt - (WIDER - 1))), "abcdef", "012345")
+    return (F.when(kind == "email", email).when(kind.startswith("name/"), name_word(F.get(part, F.lit(1)), F.get(part, F.lit(2)), stream, attempt))
+            .otherwise(F.concat(by_shape, digits)))
 
 
 def script_of(word: Column) -> Column:
@@ -203,12 +211,22 @@ def name_parts(names: DataFrame) -> DataFrame:
                F.concat(F.lit("name/"), script_of(F.col("word")), F.lit("/"), F.when(F.col("pos") == F.col("last"), "last").otherwise(F.col("gender")))).alias("kind"))
 
 
+def with_gender(parts: DataFrame) -> DataFrame:
+    """Given names of unknown gender take the one that the corpus shows for their word, if it is one only."""
+    gender = F.element_at(F.split("kind", "/"), -1)
+    shown = parts.where(gender.isin("m", "f")).groupBy(F.lower("word").alias("__word")).agg(F.min("kind").alias("__low"), F.max("kind").alias("__high"))
+    one = shown.where("__low = __high").select("__word", F.col("__low").alias("__kind"))
+    is_open = F.coalesce(gender == "n", F.lit(False))
+    settled = parts.where(is_open).join(one, F.lower("word") == F.col("__word"), "left").select("id", "pos", "word", F.coalesce("__kind", "kind").alias("kind"))
+    return parts.where(~is_open).unionByName(settled)
+
+
 def settle(values: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate) without collisions, for distinct (kind, value). A surrogate stays
     with the value that has it at the lowest attempt (then the smallest value)."""
     now = materialize(with_surrogate(values.select("kind", "value", F.lit(0).alias("attempt")), key), "pii-values")
     taken = values.select(F.lower("value").alias("__taken")).distinct()
-    for _ in range(MAX_ATTEMPTS):
+    for _ in itertools.count():
         first = now.groupBy("surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("__first"), F.count("*").alias("__n")).join(
             taken, F.lower("surrogate") == F.col("__taken"), "left").where((F.col("__n") > 1) | F.col("__taken").isNotNull())
         first = materialize(first.select(F.col("surrogate").alias("__s"), "__first", F.col("__taken").isNotNull().alias("__used")), "pii-collisions")
@@ -218,7 +236,6 @@ def settle(values: DataFrame, key: str) -> DataFrame:
         marked = now.join(first, F.col("surrogate") == F.col("__s"), "left").select("kind", "value", "attempt", "surrogate", again.alias("__again"))
         moved = with_surrogate(marked.where("__again").select("kind", "value", (F.col("attempt") + 1).alias("attempt")), key)
         now = materialize(marked.where("not __again").drop("__again").unionByName(moved), "pii-values")
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts: more values than their format allows")
 
 
 def surrogate_table(matches: DataFrame, key: str) -> DataFrame:
@@ -227,7 +244,7 @@ def surrogate_table(matches: DataFrame, key: str) -> DataFrame:
     kinds = matches.select("value").distinct().withColumn("kind", kind_of(F.col("value")))
     kinds = kinds.where(real(F.col("kind"), F.col("value"))).withColumn("mark", mark_of(F.col("kind"), F.col("value")))
     kinds = materialize(with_name_words(kinds.withColumn("core", F.expr("substring(value, length(mark) + 1)"))), "pii-kinds")
-    parts = name_parts(kinds.where(F.col("kind") == "name"))
+    parts = with_gender(materialize(name_parts(kinds.where(F.col("kind") == "name")), "pii-parts"))
     words = parts.where(F.col("kind").isNotNull()).select("kind", F.lower("word").alias("value")).distinct()
     cores = kinds.where(F.col("kind") != "name").select("kind", F.col("core").alias("value")).distinct()
     settled = settle(cores.unionByName(words), key)
@@ -267,30 +284,31 @@ def replace(docs: DataFrame, key: str = DEMO_KEY, text: str = "text", out_count:
     """``docs`` with surrogates in ``text``; ``out_count`` names an added column of replaced entities,
     mentions of name words included."""
     names = docs.columns
+    c_text, c_map, c_words, c_parts = unused([*names, out_count or ""], "text_id", "surrogate_of", "name_words", "text_parts")
     docs = docs.withColumn(text, F.col(text).cast("string"))
     body = F.col(f"`{text}`")
     found = F.regexp_extract_all(body, F.lit(ANY), F.lit(0))
     marked = docs.where(F.coalesce(body.rlike(ANY), F.lit(False)))
     clean = docs.where(~F.coalesce(body.rlike(ANY), F.lit(False)))
-    per_text = marked.select(F.md5(body).alias("__text"), F.array_distinct(found).alias("__found"))
-    pairs = materialize(per_text.select("__text", F.explode("__found").alias("value")).distinct(), "pii-matches")
+    per_text = marked.select(F.md5(body).alias("text_id"), F.array_distinct(found).alias("found"))
+    pairs = materialize(per_text.select("text_id", F.explode("found").alias("value")).distinct(), "pii-matches")
     table = materialize(surrogate_table(pairs, key), "pii-surrogates")
-    maps = pairs.join(table, "value").groupBy("__text").agg(
-        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__map"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("__all"))
-    every = F.col("__all")
+    maps = pairs.join(table, "value").groupBy("text_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("map"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("every"))
+    every = F.col("every")
     chosen = F.filter(every, lambda x, i: (i == 0) | (F.get(every, i - 1)["word"] != x["word"]))  # a last name before a given name
-    maps = maps.select("__text", "__map", F.map_from_entries(F.transform(chosen, lambda x: F.struct(x["word"], x["s"]))).alias("__words"))
-    joined = marked.withColumn("__text", F.md5(body)).join(maps, "__text", "left")
-    hits = found
-    joined = joined.withColumn("__parts", F.when(F.coalesce(F.size("__words"), F.lit(0)) > 0, F.transform(F.split(body, ANY, -1), lambda p: mentions(p, F.col("__words")))))
-    swapped = F.transform("__parts", lambda p: F.array_join(p["t"], ""))
-    parts = F.coalesce(swapped, F.split(body, ANY, -1))
-    again = F.coalesce(F.aggregate(F.flatten("__parts"), F.lit(0), lambda n, p: n + p["n"]), F.lit(0))
-    new = F.transform(hits, lambda v: F.coalesce(F.col("__map")[v], v))
+    maps = maps.select(F.col("text_id").alias(c_text), F.col("map").alias(c_map),
+                       F.map_from_entries(F.transform(chosen, lambda x: F.struct(x["word"], x["s"]))).alias(c_words))
+    joined = marked.withColumn(c_text, F.md5(body)).join(maps, c_text, "left")
+    between = F.split(body, ANY, -1)
+    joined = joined.withColumn(c_parts, F.when(F.coalesce(F.size(c_words), F.lit(0)) > 0, F.transform(between, lambda p: mentions(p, F.col(c_words)))))
+    parts = F.coalesce(F.transform(c_parts, lambda p: F.array_join(p["t"], "")), between)
+    again = F.coalesce(F.aggregate(F.flatten(c_parts), F.lit(0), lambda n, p: n + p["n"]), F.lit(0))
+    new = F.transform(found, lambda v: F.coalesce(F.col(c_map)[v], v))
     rebuilt = F.array_join(F.flatten(F.zip_with(parts, new, lambda p, s: F.array(p, F.coalesce(s, F.lit(""))))), "")
-    count = F.coalesce(F.size(F.filter(hits, lambda v: F.map_contains_key(F.coalesce(F.col("__map"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), v))), F.lit(0))
-    count = (count + again).cast("long")
+    replaced = F.size(F.filter(found, lambda v: F.map_contains_key(c_map, v)))
+    count = (replaced + again).cast("long")
     keep = [F.col(f"`{c}`") for c in names]
     changed = joined.select(*[rebuilt.alias(text) if c == text else k for c, k in zip(names, keep, strict=True)], *([count.alias(out_count)] if out_count else []))
     same = clean.select(*keep, *([F.lit(0).cast("long").alias(out_count)] if out_count else []))

@@ -26,6 +26,7 @@ from hazelake.llm.arrays import (
     SPACE,
     column,
     crc_mod,
+    lean,
     owners,
     prefix_hashes,
     prepare,
@@ -33,6 +34,7 @@ from hazelake.llm.arrays import (
     span_hashes,
     spans,
     text_bytes,
+    unused,
 )
 
 BUCKETS = 4096
@@ -191,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, modulus: int = 3, held: int = 1,
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(value, pa.float32()))], ["doc_id", "label", "stats", "words", "shares"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = taught.mapInArrow(run, f"doc_id {kind}, label double, stats array<double>, words array<int>, shares array<float>")
+    got = taught.mapInArrow(lean(run), f"doc_id {kind}, label double, stats array<double>, words array<int>, shares array<float>")
     table = got.toArrow().to_pylist()
     one = {str(r["doc_id"]): r for r in sorted(table, key=lambda r: (str(r["doc_id"]), r["stats"]))}
     table = [one[k] for k in sorted(one)]
@@ -205,10 +207,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, modulus: int = 3, held: int = 1,
 
 
 def score(docs: DataFrame, machine: Machine, out: str = "quality_score") -> DataFrame:
-    """All columns of ``docs`` and the score ``out`` (0 to 1)."""
-    if out in docs.columns:
-        raise ValueError(f"the input already has a column {out}")
+    """All columns of ``docs`` and the score ``out`` (0 to 1); a column of that name is replaced."""
     prepare(docs.sparkSession)
+    docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     names = docs.columns
@@ -219,7 +220,7 @@ def score(docs: DataFrame, machine: Machine, out: str = "quality_score") -> Data
             yield pa.RecordBatch.from_arrays([*[column(part, c) for c in names], pa.array(s, pa.float64())], [*names, out])
 
     from pyspark.sql import types as T
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,5 +233,5 @@ def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_low(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with their columns as they were."""
-    names = docs.columns
-    return score(docs, fit(docs, labels)).where("quality_score >= 0.5").select(*[F.col(f"`{c}`") for c in names])
+    out, = unused(docs.columns, "quality_score")
+    return score(docs, fit(docs, labels), out).where(F.col(out) >= 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])

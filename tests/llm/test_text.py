@@ -148,6 +148,25 @@ def test_surrogate_collisions_are_settled(spark):
     assert len(got) == 40 and max(new.values()) == 1 and not set(new) & {r.value for r in got}
 
 
+def test_surrogates_of_a_full_format_get_longer(spark, monkeypatch):
+    """All hundred two-digit codes are values of the corpus: no code of that length is left."""
+    monkeypatch.setattr(pii, "WIDER", 1)
+    values = spark.range(100).select(F.lit("code").alias("kind"), F.format_string("%02d", F.col("id")).alias("value"))
+    got = [r.surrogate for r in pii.settle(values, "k").collect()]
+    assert len(set(got)) == 100 and all(x.isdigit() and len(x) > 2 for x in got)
+
+
+def test_given_names_and_initials_stay_apart_and_together(spark):
+    texts = ["Dr Anna Weber and Frau Anna Weber, then Anna alone", "Mr É. Dupont, Mr Á. Dupont, Mr Ö. Dupont and Mr E. Dupont", "Dr Kim Weber"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    text = {r.doc_id: r.text for r in pii.replace(df).collect()}
+    first, second, alone = text[0].split("Dr ")[1].split()[0], text[0].split("Frau ")[1].split()[0], text[0].split("then ")[1].split()[0]
+    assert first == second == alone and first.endswith("na") and "Anna" not in text[0]
+    initials = [x.split()[0] for x in text[1].split("Mr ")[1:]]
+    assert len(set(initials)) == 4 and not set(initials) & {"É.", "Á.", "Ö.", "E."}
+    assert text[2].split()[1].endswith("le") and text[2].split()[2] == text[0].split("Dr ")[1].split()[1]
+
+
 def test_surrogates_use_no_python(spark):
     plan = pii.digests(H.frame(spark, [(1, PRIVATE[0], None, None, None, None, None)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
