@@ -3,7 +3,7 @@
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame that
 is written as Parquet and read again as the next one's docs. All but the last return the columns
 of documents. Defined cases: null texts go through the quality stage like empty ones and are
-judged by it; an empty table stays empty; further columns pass unchanged.
+judged by it; an empty table stays empty; further columns pass unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazelake.llm import bpe, decontam, neardup, pii, quality
-from hazelake.llm.arrays import table
+from hazelake.llm.arrays import table, unused
 from hazelake.session import materialize
 
 
@@ -36,8 +36,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" not in docs.columns:
         return pii.replace(docs)
     kind = docs.schema["n_chars"].dataType
-    out = pii.replace(docs, out_count="__replaced")
-    changed = (F.col("__replaced") > 0) & F.col("n_chars").isNotNull()
+    count, = unused(docs.columns, "replaced")
+    out = pii.replace(docs, out_count=count)
+    changed = (F.col(count) > 0) & F.col("n_chars").isNotNull()
     return out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
