@@ -91,6 +91,27 @@ def alert_subject(location_name, aqi_value, main_pollutant) -> Column:
                     F.lit(" vượt ngưỡng (AQI="), _c(aqi_value).cast("double").cast("string"), main, F.lit(")"))
 
 
+def summary_subject(count, location_name, max_aqi, main_pollutant) -> Column:
+    """P10: subject of a station's alerts together; one alert has the short form."""
+    name = F.coalesce(_c(location_name).cast("string"), F.lit("None"))
+    mp = F.nullif(_c(main_pollutant), F.lit(""))
+    main = F.when(mp.isNotNull(), F.concat(F.lit(", Main: "), mp)).otherwise(F.lit(""))
+    highest = _c(max_aqi).cast("double").cast("string")
+    return F.when(_c(count) > 1, F.concat(F.lit("[CẢNH BÁO AQI] "), _c(count).cast("string"), F.lit(" bản ghi vượt ngưỡng tại "), name,
+                                          F.lit(" (AQI cao nhất: "), highest, main, F.lit(")"))) \
+            .otherwise(F.concat(F.lit("[CẢNH BÁO AQI] "), name, F.lit(" vượt ngưỡng (AQI="), highest, main, F.lit(")")))
+
+
+def alert_body(place, aqi, level, parameter, value, unit, threshold, measured) -> Column:
+    """P10: plain text of one alert."""
+    def number(c):
+        return _c(c).cast("double").cast("string")
+    u = F.coalesce(_c(unit), F.lit(""))
+    return F.concat(F.lit("CẢNH BÁO AQI tại "), _c(place), F.lit(": AQI="), number(aqi), F.lit(", mức "), _c(level), F.lit(". Giá trị "), _c(parameter),
+                    F.lit(" = "), number(value), F.lit(" "), u, F.lit(", vượt ngưỡng "), number(threshold), F.lit(" "), u, F.lit(". Thời điểm đo: "),
+                    F.date_format(measured, "yyyy-MM-dd HH:mm:ss 'UTC'"))
+
+
 def location_info(name, locality, country) -> Column:
     """P10: 'name[, locality][, country]' with empty parts left out."""
     return F.concat_ws(", ", _c(name), F.nullif(_c(locality), F.lit("")), F.nullif(_c(country), F.lit("")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hazelake import constants as K
 from hazelake.functions.aqi import level_ladder
-from hazelake.functions.text import alert_subject, location_info
+from hazelake.functions.text import alert_body, alert_subject, location_info, summary_subject
 
 SLOT_KEYS = ["location_id", "parameter", "slot_date", "slot_hour"]
 
@@ -89,3 +89,19 @@ def alert_text(alerts: DataFrame) -> DataFrame:
     return alerts.select("event_id", alert_subject("location_name", "value", "main_pollutant").alias("subject"),
                          location_info("location_name", "locality", "country").alias("location_info"),
                          level_ladder(F.col("value"), K.LEVELS_VI).alias("aqi_level"))
+
+
+def alert_bodies(alerts: DataFrame, threshold=K.STREAM_AQI_THRESHOLD) -> DataFrame:
+    """P10: plain text of each alert."""
+    place = location_info("location_name", "locality", "country")
+    level = level_ladder(F.col("value"), K.LEVELS_VI)
+    return alerts.select("event_id", alert_body(place, "value", level, F.upper("parameter"), "value", "unit", F.lit(float(threshold)),
+                                                "measurement_time").alias("body"))
+
+
+def alert_summaries(alerts: DataFrame) -> DataFrame:
+    """P10: one subject for all alerts of a station."""
+    order = F.struct("created_at", "event_id")
+    names = alerts.groupBy("location_id").agg(F.min_by("location_name", order).alias("location_name"))
+    return alert_rollup(alerts).join(names, "location_id").select(
+        "location_id", "num_exceeded", "max_aqi", summary_subject("num_exceeded", "location_name", "max_aqi", "main_pollutant").alias("subject"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazelake.session import materialize
@@ -63,6 +63,26 @@ def object_coverage(resolved: DataFrame, table: str, samples: int = 3) -> DataFr
                           F.array_join("_s", ",").alias("sample_keys")))
 
 
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """(key, location_id, size, changed) of a stored table's data files, one row a file; their content is not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return found.select(F.col("path").alias("key"), F.regexp_extract("path", "/locationid=([^/]+)/", 1).alias("location_id"),
+                        F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+
+
+def gold_object_coverage(spark: SparkSession, tables: dict[str, str], samples: int = 3) -> DataFrame:
+    """A18 of gold tables (name -> path): per table and station the files, their partitions and bytes, the newest
+    change, and the first few keys as a sample."""
+    out = None
+    for name, path in tables.items():
+        files = stored_files(spark, path)
+        totals = files.groupBy("location_id").agg(
+            F.count_distinct(F.regexp_extract("key", "^(.*)/", 1)).alias("partitions"), F.sum("size").alias("bytes"), F.max("changed").alias("newest"))
+        part = object_coverage(files, name, samples).join(totals, "location_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def step_report(source: DataFrame, steps) -> DataFrame:
     """Row count after the source and after each step, counted while the steps run. `steps` are (name, function,
     stored): a stored step's rows are written once, as the next step reads them more than once, and every step

@@ -59,7 +59,7 @@ def quality_gate(df: DataFrame, report: DataFrame | None = None, keys=RUN_KEYS)
 def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
                         max_null_percent=K.MAX_NULL_PERCENT,
                         max_duplicate_percent=K.MAX_DUPLICATE_PERCENT, extra_aggs=(), keep_raw=False) -> DataFrame:
-    """+ full-row duplicates (count - distinct rows), per-column NULL counts, issue texts."""
+    """+ full-row duplicates (count - distinct rows), per-column NULL counts, issue texts with figures."""
     cols = data_columns(df, keys)
     ncols = len(cols)
     per_col = [F.sum(F.col(c).isNull().cast("long")).alias(f"nulls_{c}") for c in cols]
@@ -82,9 +82,9 @@ def quality_report_full(df: DataFrame, keys=RUN_KEYS, min_records=K.MIN_RECORDS,
     too_dup = F.col("_dup_raw") > max_duplicate_percent
     rep = (rep.withColumn("passed", ~too_few & ~too_null & ~too_dup)
                .withColumn("issues", F.concat_ws("; ",
-                   F.when(too_few, F.lit("Too few records")),
-                   F.when(too_null, F.lit("Too many nulls")),
-                   F.when(too_dup, F.lit("Too many duplicates")))))
+                   F.when(too_few, F.concat(F.lit("Too few records: "), F.col("total_records"), F.lit(f" < {min_records}"))),
+                   F.when(too_null, F.concat(F.lit("Too many nulls: "), F.round("_null_raw", 1), F.lit(f"% > {max_null_percent}%"))),
+                   F.when(too_dup, F.concat(F.lit("Too many duplicates: "), F.round("_dup_raw", 1), F.lit(f"% > {max_duplicate_percent}%"))))))
     return rep if keep_raw else rep.drop("_null_raw", "_dup_raw")
 
 

@@ -17,7 +17,7 @@ from hazelake.functions import text as X
 from hazelake.functions.timeparse import parse_datetime_helper, parse_utc_chain, partition_keys
 from hazelake.functions.units import conversion_factor, normalize_units_lenient
 from hazelake.operators import facts, profile, serve
-from hazelake.operators.alerts import alert_rollup, alert_text
+from hazelake.operators.alerts import alert_bodies, alert_rollup, alert_summaries, alert_text
 from hazelake.operators.dedupe import auto_keys, dedupe
 from hazelake.operators.outliers import remove_outliers_iqr_param, remove_outliers_zscore
 from hazelake.operators.quality import quality_report_full, quality_rules
@@ -375,9 +375,10 @@ def _full_sql() -> str:
     return f"""
 SELECT *, (total_records >= {K.MIN_RECORDS} AND null_percent <= {d(K.MAX_NULL_PERCENT)}
            AND duplicate_percent <= {d(K.MAX_DUPLICATE_PERCENT)}) AS passed,
-  concat_ws('; ', CASE WHEN total_records < {K.MIN_RECORDS} THEN 'Too few records' END,
-    CASE WHEN null_percent > {d(K.MAX_NULL_PERCENT)} THEN 'Too many nulls' END,
-    CASE WHEN duplicate_percent > {d(K.MAX_DUPLICATE_PERCENT)} THEN 'Too many duplicates' END) AS issues
+  concat_ws('; ', CASE WHEN total_records < {K.MIN_RECORDS} THEN 'Too few records: ' || total_records || ' < {K.MIN_RECORDS}' END,
+    CASE WHEN null_percent > {d(K.MAX_NULL_PERCENT)} THEN 'Too many nulls: ' || round(({tot}) / (total_records * {len(_A_COLS)}) * 100, 1) || '% > {K.MAX_NULL_PERCENT}%' END,
+    CASE WHEN duplicate_percent > {d(K.MAX_DUPLICATE_PERCENT)} 
+      THEN 'Too many duplicates: ' || round((total_records - _distinct) / total_records * 100, 1) || '% > {K.MAX_DUPLICATE_PERCENT}%' END) AS issues
 FROM (SELECT *, {tot} AS null_count,
         round(({tot}) / (total_records * {len(_A_COLS)}) * 100, 2) AS null_percent,
         total_records - _distinct AS duplicate_count,
@@ -638,6 +639,31 @@ def q_alert_text(spark, sf):
     return alert_text(Stages(spark, sf).AL())
 
 
+def _main_sql(name: str) -> str:
+    return f"CASE WHEN nullif({name}, '') IS NOT NULL THEN ', Main: ' || {name} ELSE '' END"
+
+
+@register("alert_summary", sql(f"""
+SELECT location_id, num_exceeded, max_aqi, '[CẢNH BÁO AQI] ' || CASE WHEN num_exceeded > 1
+    THEN num_exceeded || ' bản ghi vượt ngưỡng tại ' || name || ' (AQI cao nhất: ' ELSE name || ' vượt ngưỡng (AQI=' END
+  || CAST(CAST(max_aqi AS DOUBLE) AS VARCHAR) || {_main_sql('main')} || ')' AS subject
+FROM (SELECT location_id, count(*) AS num_exceeded, max(value) AS max_aqi,
+    coalesce(first(location_name ORDER BY created_at, event_id), 'None') AS name, first(main_pollutant ORDER BY created_at, event_id) AS main
+  FROM AL GROUP BY location_id)""", "AL"))
+def q_alert_summary(spark, sf):
+    return alert_summaries(Stages(spark, sf).AL())
+
+
+@register("alert_body", sql(f"""
+SELECT event_id, 'CẢNH BÁO AQI tại ' || concat_ws(', ', location_name, nullif(locality, ''), nullif(country, '')) || ': AQI='
+  || CAST(CAST(value AS DOUBLE) AS VARCHAR) || ', mức ' || {O.ladder_case('value')} || '. Giá trị ' || upper(parameter) || ' = '
+  || CAST(CAST(value AS DOUBLE) AS VARCHAR) || ' ' || unit || ', vượt ngưỡng ' || CAST({d(K.STREAM_AQI_THRESHOLD)} AS VARCHAR) || ' ' || unit
+  || '. Thời điểm đo: ' || strftime(measurement_time, '%Y-%m-%d %H:%M:%S UTC') AS body
+FROM AL""", "AL"))
+def q_alert_body(spark, sf):
+    return alert_bodies(Stages(spark, sf).AL())
+
+
 # =========================================================== scalars over messages and payloads
 
 _CODE_SQL = ("CASE event_type WHEN 'click' THEN 'p2' WHEN 'view' THEN 'p1' WHEN 'purchase' THEN 'n2' "

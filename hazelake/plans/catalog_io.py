@@ -16,6 +16,7 @@ from hazelake import schemas
 from hazelake.functions import text as X
 from hazelake.functions.timeparse import parse_api_ts
 from hazelake.operators import facts, profile
+from hazelake.operators import summary as SM
 from hazelake.operators.rowindex import batches
 from hazelake.operators.upsert import (DAILY_KEYS, FACT_UPDATE, HOURLY_KEYS, LOCATION_UPDATE, PARAMETER_UPDATE,
                                        TIME_UPDATE, key_check, upsert)
@@ -23,7 +24,7 @@ from hazelake.plans.catalog import register
 from hazelake.plans.oracle import d, exact_avg, q, sql
 from hazelake.plans.stages import Stages, ntz, round6
 from hazelake.session import scratch_path
-from hazelake.sources import bronze, listing, recipients, sinks
+from hazelake.sources import bronze, listing, payloads, recipients, sinks
 from hazelake.sources.filecatalog import catalogue
 from hazelake.streaming import alert_state
 from hazelake.streaming import jobs as stream_jobs
@@ -488,6 +489,66 @@ def q_payload_flatten(spark, sf):
         X.pollutant_display(pol["mainus"]).alias("display")))
 
 
+@register("payload_message", sql(f"""
+SELECT event_id, lower(replace('iqair_' || city || '_' || state, ' ', '_')) AS location_id,
+  city || ', ' || state AS location_name, city AS locality, country,
+  CASE country WHEN 'Vietnam' THEN 'VN' ELSE upper(substr(country, 1, 2)) END AS country_code,
+  {d(21.0)} + k * {d(0.01)} AS latitude, {d(105.8)} + k * {d(0.01)} AS longitude, value * 4 AS value,
+  date_trunc('second', ts) AS measurement_time, display AS main_pollutant, ts AS created_at, NULL AS reason
+FROM (SELECT event_id, ts, value, user_id % 5 AS k, 'City ' || CAST(user_id % 5 AS VARCHAR) AS city,
+        'Ha Noi' AS state, CASE WHEN user_id % 2 = 0 THEN 'Vietnam' ELSE 'Laos' END AS country,
+        CASE event_type WHEN 'click' THEN 'PM2.5' WHEN 'view' THEN 'PM10' WHEN 'purchase' THEN 'NO₂ mass'
+          WHEN 'signup' THEN 'CO mass' WHEN 'error' THEN 'O₃ mass' ELSE 'SO₂ mass' END AS display
+      FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0)
+UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, ts,
+  CASE WHEN event_id % 97 = 0 THEN 'malformed' ELSE 'fail' END FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0"""))
+def q_payload_message(spark, sf):
+    """Payloads of a landing folder -> messages, as a stream -> readings; the payloads without a message beside them."""
+    p = Stages(spark, sf).P()
+    body = F.when(F.col("event_id") % 97 == 0, F.substring("payload", 1, 25)).when(
+        F.col("event_id") % 89 == 0, F.replace("payload", F.lit('"success"'), F.lit('"fail"'))).otherwise(F.col("payload"))
+    src, out, ck = (scratch_path(spark, x) for x in ("payloads", "payload-msgs", "payload-ck"))
+    p.withColumn("payload", body).write.option("timestampFormat", RS.TS_FORMAT).json(src)
+    RS.run_available_now(payloads.payload_to_message(payloads.read_payload_stream(spark, src)), out, ck, fmt="json",
+                         options={"timestampFormat": RS.TS_FORMAT})
+    msgs = spark.read.schema(schemas.LANDED_MESSAGE).option("timestampFormat", RS.TS_FORMAT).json(out)
+    got = RS.message_to_readings(msgs).select(
+        "event_id", "location_id", "location_name", "locality", "country", "country_code", "latitude", "longitude", "value", "measurement_time",
+        "main_pollutant", "created_at", F.lit(None).cast("string").alias("reason"))
+    landed = spark.read.schema(payloads.LANDED_PAYLOAD).option("timestampFormat", RS.TS_FORMAT).json(src)
+    bad = payloads.payload_errors(landed).withColumnRenamed("ingest_ts", "created_at")
+    return ntz(got.unionByName(bad.drop("payload"), allowMissingColumns=True))
+
+
+@register("gold_object_coverage", sql("""
+SELECT 'hourly' AS table_name, location_id, count(DISTINCT date) AS partitions, true AS filled, true AS sampled FROM SHF GROUP BY location_id
+UNION ALL SELECT 'daily', location_id, count(DISTINCT date), true, true FROM SDF GROUP BY location_id""", "SHF", "SDF"))
+def q_gold_object_coverage(spark, sf):
+    """A18 on written gold tables: what is stored per table and station, from file listings alone."""
+    s = Stages(spark, sf)
+    base = scratch_path(spark, "gold-objects")
+    sinks.write_hourly(s.SHF(), f"{base}/hourly")
+    sinks.write_daily(s.SDF(), f"{base}/daily")
+    got = profile.gold_object_coverage(spark, {"hourly": f"{base}/hourly", "daily": f"{base}/daily"})
+    filled = (F.col("bytes") > 0) & F.col("newest").isNotNull() & (F.col("files") >= F.col("partitions"))
+    return got.select("table_name", "location_id", "partitions", filled.alias("filled"),
+                      (F.size(F.split("sample_keys", ",")) == F.least(F.col("files"), F.lit(3))).alias("sampled"))
+
+
+@register("summary_coverage", sql("""
+SELECT location_id, count(*) AS total_records, min(date) AS first_date, max(date) AS last_date, count(DISTINCT parameter) AS num_parameters,
+  CAST(sum(value_count) AS BIGINT) AS readings, min(value_min) AS value_min, max(value_max) AS value_max
+FROM SHF GROUP BY location_id""", "SHF"))
+def q_summary_coverage(spark, sf):
+    """A11 from the stored daily summary of two runs that share some dates."""
+    fact = Stages(spark, sf).SHF()
+    out = scratch_path(spark, "summary")
+    day = F.dayofmonth("date")
+    for run in (day <= 16, day >= 15):   # the second run rebuilds two dates of every month
+        SM.write_summary(SM.daily_summary(fact.where(run)), out)
+    return SM.summary_coverage(SM.read_summary(spark, out))
+
+
 # =========================================================== streaming
 
 def _land(spark, sf, name: str) -> str:
@@ -676,6 +737,21 @@ def q_hourly_stream(spark, sf):
     return ntz(round6(RS.latest_windows(spark, out), ["value_avg"]))
 
 
+@register("hourly_any_order", sql(f"""
+SELECT location_id, parameter, date_trunc('hour', measurement_time) AS window_start, min(value) AS value_min,
+  max(value) AS value_max, {exact_avg()} AS value_avg, count(value) AS value_count
+FROM RD GROUP BY ALL""", "RD"))
+def q_hourly_any_order(spark, sf):
+    """The hourly twin fed newest first: a fifth of all messages, from every hour, arrives after the rest."""
+    m = Stages(spark, sf).M()
+    src, out, ck = (scratch_path(spark, x) for x in ("msgs", "any-order", "any-order-ck"))
+    late = F.col("event_id") % 5 == 0
+    for part in (m.where(~late), m.where(late)):
+        RS.land_messages(part, src, mode="append")
+        RS.hourly_partials_update(RS.message_to_readings(RS.read_message_stream(spark, src)), out, ck)
+    return ntz(round6(RS.merged_windows(spark, out), ["value_avg"]))
+
+
 @register("gold_write", sql("""
 SELECT 'hourly' AS table_name, count(*) AS n FROM SHF
 UNION ALL SELECT 'daily', count(*) FROM SDF

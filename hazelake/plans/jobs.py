@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hazelake.operators.quality import quality_gate, quality_report
+from hazelake.operators.summary import daily_summary, write_summary
 from hazelake.plans import pipeline
 from hazelake.session import apply_scale_conf, build_session, materialize
 from hazelake.sources import bronze, sinks
@@ -52,6 +53,9 @@ def run_batch(spark: SparkSession, bronze_base: str, out_base: str,
     g = pipeline.gold(materialize(rows.drop("year", "month", "day", "locationid"), "touched"))
     sinks.write_hourly(g.hourly, f"{out}/gold/fact_aqi_hourly")
     sinks.write_daily(g.daily, f"{out}/gold/fact_aqi_daily")
+    fact_day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    rebuilt = sinks.read_table(spark, f"{out}/gold/fact_aqi_hourly", sinks.FACT_PARTITIONS[True]).where(fact_day.between(F.lit(first), F.lit(last)))
+    write_summary(daily_summary(rebuilt), f"{out}/gold/summary")
     new = pipeline.gold(silver)
     for name, dim, keys in (("dim_location", new.dim_location, ["location_id"]), ("dim_parameter", new.dim_parameter, ["parameter"]),
                             ("dim_time", new.dim_time, ["date"])):
