@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     heads = nodes.select(F.col("node").alias("head"), F.col("n_shingles").alias("head_n"))
     star = materialize(hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head"), "minmax-star")
     wanted = hits.select("node").distinct()
-    ids = texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
+    # one plan at every size: a broadcast of the ids would stop fitting as the corpus grows
+    ids = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
     sets = materialize(ids.mapInArrow(lean(_sets(shingle)), f"node {kind}, hashes array<bigint>").dropDuplicates(["node"]), "minmax-sets")
     linked = lambda t: t.where(100 * F.col("common") >= percent * F.col("total"))
     compared = materialize(_compare(star.select(F.col("node").alias("a"), F.col("head").alias("b")), sets), "minmax-compared")
