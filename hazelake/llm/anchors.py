@@ -10,6 +10,9 @@ not all content, at the ends of shared passages, are compared window by window i
 hold the anchor's segments. An anchor with more than ``HOT`` different segments is dealt out
 over several tasks by content; their windows then meet by window hash, combined before that
 shuffle too. No case is capped or dropped.
+
+A row is named by its doc_id and a 64-bit hash of its text (``th``), so rows that share a doc_id, or
+have none, may hold different texts.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import (
     column,
+    lean,
     mix,
     owners,
     powers,
@@ -84,7 +88,7 @@ def segments(values: np.ndarray, offs: np.ndarray, window: int, gram: int):
         return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     prefix = prefix_hashes(values)
     grams = mix((prefix[gram:] - prefix[:-gram]) * powers(n + 1)[1][:n - gram + 1])
-    low = np.uint64((1 << n.bit_length()) - 1)
+    low = np.uint64((1 << 31) - 1)  # the same for every chunk, so that equal windows choose alike
     best = sliding_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), window - gram + 1) & low
     size = np.diff(offs)
     long = size >= window
@@ -116,8 +120,8 @@ def _find(rule: Rule):
             values, _, offs = rule.symbols(*text_bytes(column(part, "text")))
             doc, start, n, anchor, h, content = segments(values, offs, rule.window, rule.gram)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), column(part, "doc_id").take(pa.array(doc)),
-                 pa.array(start * 65536 * 65536 + n * 65536 + anchor)], ["h", "content", "doc_id", "place"])
+                [pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), column(part, "doc_id").take(pa.array(doc)), column(part, "th").take(pa.array(doc)),
+                 pa.array(start * 65536 * 65536 + n * 65536 + anchor)], ["h", "content", "doc_id", "th", "place"])
     return run
 
 
@@ -140,15 +144,15 @@ def _cut_out(rule: Rule):
             body = raw[ranges(offs[doc] + start, size)].tobytes()
             ends = np.concatenate([[0], np.cumsum(size * raw.itemsize)]).tolist()
             yield pa.RecordBatch.from_arrays(
-                [flat.field("h"), flat.field("salt"), column(part, "doc_id").take(pa.array(doc)), flat.field("place"), flat.field("weight"), flat.field("asks"),
+                [flat.field("h"), flat.field("salt"), column(part, "doc_id").take(pa.array(doc)), column(part, "th").take(pa.array(doc)), flat.field("place"), flat.field("weight"), flat.field("asks"),
                  flat.field("hot"), pa.array([body[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-                ["h", "salt", "doc_id", "place", "weight", "asks", "hot", "body"])
+                ["h", "salt", "doc_id", "th", "place", "weight", "asks", "hot", "body"])
     return run
 
 
 def _resolve(rule: Rule):
     """Rows ordered by (h, salt) -> ranges of repeated windows, and of hot anchors their windows."""
-    names = ["doc_id", "start", "stop", "h", "w", "weight", "asks"]
+    names = ["doc_id", "th", "start", "stop", "h", "w", "weight", "asks"]
 
     def block(table: pa.Table):
         table = table.combine_chunks()
@@ -169,13 +173,13 @@ def _resolve(rule: Rule):
             np.minimum.at(least, label, rows.weight[row])
             repeated = rows.weight[row] > least[label]
             weight = least[label] if len(label) else label
-        ids = table.column("doc_id")
+        ids, texts = table.column("doc_id"), table.column("th")
         # consecutive repeated windows of a row become one range
         base = np.concatenate([[0], np.cumsum(n)])
         a, b = spans(repeated & col["asks"][row], base)
         r = row[a]
         yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(r)).combine_chunks(), pa.array(start[r] + at[a]), pa.array(start[r] + at[b - 1] + rule.window),
+            [ids.take(pa.array(r)).combine_chunks(), texts.take(pa.array(r)).combine_chunks(), pa.array(start[r] + at[a]), pa.array(start[r] + at[b - 1] + rule.window),
              pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.bool_())], names)
         hot = np.flatnonzero(col["hot"][row])
         if len(hot):
@@ -191,7 +195,7 @@ def _resolve(rule: Rule):
             s = rows.begin[r] + at[hot]
             w = mix(span_hashes(prefix, s, s + rule.window) + (rows.anchor[r] - at[hot]).astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(r)).combine_chunks(), pa.array(start[r] + at[hot]), pa.array(start[r] + at[hot] + rule.window), pa.array(col["h"][r]),
+                [ids.take(pa.array(r)).combine_chunks(), texts.take(pa.array(r)).combine_chunks(), pa.array(start[r] + at[hot]), pa.array(start[r] + at[hot] + rule.window), pa.array(col["h"][r]),
                  pa.array(w.view(np.int64)), pa.array(weight[hot].astype(np.int64)), pa.array(col["asks"][r] & ~repeated[hot])], names)
 
     def run(batches):
@@ -226,45 +230,59 @@ def symbol_values(raw: np.ndarray) -> np.ndarray:
     return BYTE_VALUES[raw] if raw.dtype == np.uint8 else raw
 
 
+def named_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, th) of all rows."""
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+
+
+def with_ranges(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(doc_id, text, th, ranges) of all rows; ranges is NULL where nothing repeats."""
+    lists = repeated_ranges(docs, rule).toDF("__id", "__th", "ranges")
+    return named_texts(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left").drop("__id", "__th")
+
+
 def repeated_ranges(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, ranges array<struct<start, stop>>) of the documents with repeated windows, in symbols."""
+    """(doc_id, th, ranges array<struct<start, stop>>) of the rows with repeated windows, in symbols. Rows without a
+    doc_id take part where windows count that occur anywhere; they are not smaller than any other."""
     spark = docs.sparkSession
     prepare(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found = materialize(texts.mapInArrow(_find(rule), f"h bigint, content bigint, doc_id {kind}, place bigint"), "segments")
+    texts = named_texts(docs).where("text is not null" if rule.anywhere else "doc_id is not null and text is not null")
+    found = materialize(texts.mapInArrow(lean(_find(rule)), f"h bigint, content bigint, doc_id {kind}, th bigint, place bigint"), "segments")
     alone = found.groupBy("h").agg(F.count("*").alias("__c"), *([] if rule.anywhere else [F.min("doc_id").alias("__lo"), F.max("doc_id").alias("__hi")]))
     # written first: with a plain table on that side Spark can split a hot anchor's rows in the join
     several = materialize(alone.where("__c > 1" if rule.anywhere else "__lo < __hi").select("h"), "several")
     shared = materialize(found.join(several, "h", "left_semi"), "shared")
-    by_content = shared.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "place")).alias("first"))
+    by_content = shared.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "place")).alias("first"))
     by_content = materialize(by_content, "contents")
     kinds = by_content.groupBy("h").agg(F.count("*").alias("kinds"))
-    known = by_content.join(kinds, "h").select("h", "content", "copies", F.col("first.doc_id").alias("owner"), F.col("first.place").alias("first_place"), "kinds")
+    known = by_content.join(kinds, "h").select("h", "content", "copies", "first", "kinds")
     t = shared.join(known, ["h", "content"])
-    first = (F.col("doc_id") == F.col("owner")) & (F.col("place") == F.col("first_place"))
     if rule.anywhere:  # all copies of a segment repeat; of several copies one stands for them before other segments
+        first = F.struct("doc_id", "th", "place").eqNullSafe(F.col("first"))
         whole, asks = F.col("copies") > 1, F.col("copies") == 1
         opens, weight = asks | first, F.least("copies", F.lit(2))
     else:              # copies in larger documents repeat; those of the smallest document may repeat smaller ones still
-        whole, asks = F.col("doc_id") > F.col("owner"), F.lit(True)
-        opens, weight = F.col("doc_id") == F.col("owner"), F.col("owner")
+        whole, asks = F.col("doc_id") > F.col("first.doc_id"), F.lit(True)
+        opens, weight = F.col("doc_id") == F.col("first.doc_id"), F.col("first.doc_id")
     salt = F.when(F.col("kinds") > HOT, F.pmod(F.xxhash64("content"), F.ceil(F.col("kinds") / HOT))).otherwise(F.lit(0).cast("long"))
-    t = materialize(t.select("h", "doc_id", "place", whole.alias("whole"), (opens & (F.col("kinds") > 1)).alias("opens"), asks.alias("asks"),
+    t = materialize(t.select("h", "doc_id", "th", "place", whole.alias("whole"), (opens & (F.col("kinds") > 1)).alias("opens"), asks.alias("asks"),
                              weight.cast("long").alias("weight"), salt.alias("salt"), (F.col("kinds") > HOT).alias("hot")).where("whole or opens"), "flagged")
-    lists = t.where("opens").groupBy("doc_id").agg(F.collect_list(F.struct("h", "salt", "place", "weight", "asks", "hot")).alias("open"))
-    pieces = texts.join(lists, "doc_id").mapInArrow(
-        _cut_out(rule), f"h bigint, salt bigint, doc_id {kind}, place bigint, weight bigint, asks boolean, hot boolean, body binary")
+    lists = t.where("opens").groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
+        F.collect_list(F.struct("h", "salt", "place", "weight", "asks", "hot")).alias("open"))
+    with_open = texts.join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))).drop("__id", "__th")
+    pieces = with_open.mapInArrow(
+        lean(_cut_out(rule)), f"h bigint, salt bigint, doc_id {kind}, th bigint, place bigint, weight bigint, asks boolean, hot boolean, body binary")
     resolved = materialize(pieces.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(
-        _resolve(rule), f"doc_id {kind}, start bigint, stop bigint, h bigint, w bigint, weight bigint, asks boolean"), "resolved")
+        lean(_resolve(rule)), f"doc_id {kind}, th bigint, start bigint, stop bigint, h bigint, w bigint, weight bigint, asks boolean"), "resolved")
     windows = resolved.where("h is not null")
     met = windows.groupBy("h", "w").agg(F.sum("weight").alias("__sum"), F.min("weight").alias("__min"))
     hot = windows.where("asks").join(met, ["h", "w"]).where("__sum > 1" if rule.anywhere else "weight > __min")
     start = F.shiftright("place", 32)
     size = F.shiftright("place", 16).bitwiseAND(0xFFFF)
-    every = (t.where("whole").select("doc_id", start.alias("start"), (start + size - 1 + rule.window).alias("stop"))
-             .unionByName(resolved.where("h is null").select("doc_id", "start", "stop")).unionByName(hot.select("doc_id", "start", "stop")))
-    return every.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    every = (t.where("whole").select("doc_id", "th", start.alias("start"), (start + size - 1 + rule.window).alias("stop"))
+             .unionByName(resolved.where("h is null").select("doc_id", "th", "start", "stop")).unionByName(hot.select("doc_id", "th", "start", "stop")))
+    return every.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
 
 def covered(lists: pa.Array, offs: np.ndarray) -> np.ndarray:

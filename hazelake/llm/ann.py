@@ -34,6 +34,7 @@ MAX_PARTS = 256
 NEIGHBOURS = 10
 CELL_ROWS = 8192
 CELL_QUERIES = 1024
+PAIRS = 65_536  # pairs reranked at once
 TARGET = 0.95
 
 
@@ -152,7 +153,9 @@ def _top(k: int):
         out = {"q": [], "vec_id": [], "rank_score": [], "ids": []}
         if rows.num_rows and queries.num_rows:
             x, q = matrix(rows.column("v")), matrix(queries.column("v"))
-            keep = min(k + 16, len(x))
+            keep = min(k, len(x))
+            # what the order of summation can change in a product
+            slack = 4e-16 * (x.shape[1] + 2) * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
             ids, qid = rows.column("vec_id").to_numpy(), queries.column("q").to_numpy()
             lists = rows.column("ids").combine_chunks()
             part = rows.column("part").to_numpy()
@@ -163,16 +166,19 @@ def _top(k: int):
             asks[who[inside], what[inside]] = True
             for lo in range(0, len(q), 256):
                 s = np.where(asks[lo:lo + 256][:, part], q[lo:lo + 256] @ x.T, -np.inf)
-                near = np.argpartition(-s, keep - 1, axis=1)[:, :keep] if keep < len(x) else np.tile(np.arange(len(x)), (len(s), 1))
+                # every row that may be among the k nearest: equal products are told apart by their ids below
+                least = -np.partition(-s, keep - 1, axis=1)[:, keep - 1] - 2 * slack[lo:lo + 256]
+                who, near = np.nonzero((s >= least[:, None]) & np.isfinite(s))
                 # one order of summation for every pair, so that the score depends on the pair alone
-                exact = np.where(np.isfinite(np.take_along_axis(s, near, 1)), (q[lo:lo + 256, None, :] * x[near]).sum(axis=2), -np.inf)
-                order = np.lexsort((ids[near], -exact), axis=1)[:, :k]
-                near, exact = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
-                ok = np.isfinite(exact)
-                out["q"].append(np.repeat(qid[lo:lo + 256], near.shape[1]).reshape(near.shape)[ok])
-                out["vec_id"].append(ids[near][ok])
-                out["rank_score"].append(exact[ok])
-                out["ids"].append(near[ok])
+                exact = np.concatenate([np.zeros(0), *[(q[lo + who[i:i + PAIRS]] * x[near[i:i + PAIRS]]).sum(axis=1) for i in range(0, len(who), PAIRS)]])
+                order = np.lexsort((ids[near], -exact, who))
+                who, near, exact = who[order], near[order], exact[order]
+                first = np.searchsorted(who, np.arange(len(s)))
+                top = np.arange(len(who)) - first[who] < k
+                out["q"].append(qid[lo + who[top]])
+                out["vec_id"].append(ids[near[top]])
+                out["rank_score"].append(exact[top])
+                out["ids"].append(near[top])
         cat = lambda c, kind: np.concatenate(out[c]) if out[c] else np.zeros(0, kind)
         at = cat("ids", np.int64)
         picked = lists.take(pa.array(at)) if len(at) else pa.array([], pa.list_(pa.int64()))

@@ -10,8 +10,8 @@ threshold. Occurrences that agree on the whole segment are settled by its hash b
 
 Result: every word covered by a window of 50 words whose words also start in a document with a
 smaller doc_id goes. Defined cases: null text has no words; texts shorter than a window lose
-nothing; repeats within one document, or between rows of one doc_id, stay; rows with a null
-doc_id are kept whole and match nothing.
+nothing; repeats within one document, or between rows of one doc_id, stay, also where those rows
+differ in text; rows with a null doc_id are kept whole and match nothing (no id is smaller).
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.anchors import Rows, Rule, covered, repeated_ranges, window_classes_by_hash
+from hazelake.llm.anchors import Rows, Rule, covered, window_classes_by_hash, with_ranges
 from hazelake.llm.arrays import (
     SPACE,
     column,
+    lean,
     owners,
     ranges,
     slices,
@@ -80,8 +81,7 @@ RULE = Rule(WINDOW, GRAM, word_symbols, np.uint64, extended_classes, False)
 def repeated_words(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept) of every document: spans are the maximal removed
     word ranges, kept the remaining words joined by single blanks."""
-    lists = repeated_ranges(docs, rule)
-    joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(lists, "doc_id", "left")
+    joined = with_ranges(docs, rule)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -105,7 +105,7 @@ def repeated_words(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(a - by_doc[doc]), pa.array(b - by_doc[doc])], fields=list(span))),
                  pa.array([body[x:max(x, y - 1)].decode() for x, y in zip(at[:-1], at[1:], strict=True)], pa.string())], ["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<start:bigint,stop:bigint>>, kept string")
+    return joined.mapInArrow(lean(run), f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<start:bigint,stop:bigint>>, kept string")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ merged among themselves, since no others can be equal.
 
 Result: every byte covered by a window of 200 bytes that also starts anywhere else goes. Defined
 cases: null text is empty; texts shorter than a window lose nothing; repeated rows repeat each
-other; rows with a null doc_id are kept whole and match nothing; bytes are UTF-8, and kept bytes
-may cut a character, so they are given as binary.
+other, rows that share a doc_id or have none included; bytes are UTF-8, and kept bytes may cut a
+character, so they are given as binary.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.anchors import Rows, Rule, covered, repeated_ranges, window_classes_by_hash
+from hazelake.llm.anchors import Rows, Rule, covered, window_classes_by_hash, with_ranges
 from hazelake.llm.arrays import (
     BYTE_VALUES,
     column,
+    lean,
     powers,
     prefix_hashes,
     slices,
@@ -140,8 +141,7 @@ RULE = Rule(WINDOW, GRAM, byte_symbols, np.uint8, sorted_classes, True)
 def repeated_bytes(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) of every document: spans are the maximal removed
     byte ranges, kept the remaining bytes."""
-    lists = repeated_ranges(docs, rule)
-    joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(lists, "doc_id", "left")
+    joined = with_ranges(docs, rule)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -159,7 +159,7 @@ def repeated_bytes(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(a - offs[doc]), pa.array(b - offs[doc])], fields=list(span))),
                  pa.array([kept[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+    return joined.mapInArrow(lean(run), f"doc_id {kind}, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:

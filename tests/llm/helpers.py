@@ -40,6 +40,20 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(5)
 
 
+def by_row(df, *columns):
+    """Rows as (doc_id, columns), null ids and repeated rows included, sorted."""
+    return sorted(((r["doc_id"], *(r[c] for c in columns)) for r in df.collect()), key=str)
+
+
+def awkward():
+    """Documents with ids that are missing or shared by rows with different texts."""
+    rows = docs()
+    shared = [(3, rows[4][1] + " other end", None, None, None, None, None), (12, rows[0][1], None, None, None, None, None), (12, rows[1][1], None, None, None, None, None),
+              (None, rows[10][1], None, None, None, None, None), (None, rows[10][1], None, None, None, None, None), (None, "", None, None, None, None, None),
+              (None, None, None, None, None, None, None), (70000, "only here " + " ".join(f"u{i}" for i in range(90)), None, None, None, None, None)]
+    return rows + shared + [(None, shared[-1][1], None, None, None, None, None)]
+
+
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect() if r["doc_id"] is not None}
 
@@ -57,32 +71,34 @@ def crc(i, m):
 
 
 def repeated_bytes(rows, width=200):
-    rows = [(i, (t or "").encode()) for i, t, *_ in rows if i is not None]
+    """Rows (doc_id, bytes, removed, spans, digest), sorted."""
+    rows = [(i, (t or "").encode()) for i, t, *_ in rows]
     seen = collections.Counter(b[j:j + width] for _, b in rows for j in range(len(b) - width + 1))
-    out = {}
+    out = []
     for i, b in rows:
         m = bytearray(len(b))
         for j in range(len(b) - width + 1):
             if seen[b[j:j + width]] > 1:
                 m[j:j + width] = b"\1" * width
-        out[i] = (len(b), sum(m), len(re.findall(b"\1+", bytes(m))), sha(bytes(x for x, y in zip(b, m, strict=True) if not y)))
-    return out
+        out.append((i, len(b), sum(m), len(re.findall(b"\1+", bytes(m))), sha(bytes(x for x, y in zip(b, m, strict=True) if not y))))
+    return sorted(out, key=str)
 
 
 def repeated_words(rows, width=50):
-    rows = [(i, words(t)) for i, t, *_ in rows if i is not None]
+    """Rows (doc_id, words, removed, digest), sorted; a null id is smaller than none and has none that is smaller."""
+    rows = [(i, words(t)) for i, t, *_ in rows]
     first = {}
-    for i, w in sorted(rows):
+    for i, w in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         for j in range(len(w) - width + 1):
             first.setdefault(tuple(w[j:j + width]), i)
-    out = {}
+    out = []
     for i, w in rows:
         m = [0] * len(w)
         for j in range(len(w) - width + 1):
-            if first[tuple(w[j:j + width])] < i:
+            if i is not None and first[tuple(w[j:j + width])] < i:
                 m[j:j + width] = [1] * width
-        out[i] = (len(w), sum(m), sha(" ".join(x for x, y in zip(w, m, strict=True) if not y).encode()))
-    return out
+        out.append((i, len(w), sum(m), sha(" ".join(x for x, y in zip(w, m, strict=True) if not y).encode())))
+    return sorted(out, key=str)
 
 
 def near_duplicates(rows, size=3, percent=85):

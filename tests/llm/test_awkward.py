@@ -24,8 +24,7 @@ def rows():
 def test_near_duplicates_and_repeats(spark, rows):
     got = H.by_id(neardup.near_duplicates(H.frame(spark, rows)))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == H.near_duplicates(rows)
-    got = H.by_id(repeats.digests(H.frame(spark, rows)))
-    assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == H.repeated_words(rows)
+    assert H.by_row(repeats.digests(H.frame(spark, rows)), "n_words", "n_removed", "kept_sha256") == H.repeated_words(rows)
 
 
 def test_language_model(spark, rows):

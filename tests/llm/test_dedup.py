@@ -7,17 +7,15 @@ from hazelake.llm import anchors, graph, neardup, repeats, suffixes
 @pytest.mark.parametrize("hot", [1, 1000])
 def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(anchors, "HOT", hot)
-    rows = H.docs()
-    got = {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in H.by_id(suffixes.digests(H.frame(spark, rows))).items()}
-    assert got == H.repeated_bytes(rows)
+    rows = H.awkward()
+    assert H.by_row(suffixes.digests(H.frame(spark, rows)), "n_bytes", "n_removed", "n_spans", "kept_sha256") == H.repeated_bytes(rows)
 
 
 @pytest.mark.parametrize("hot", [1, 1000])
 def test_seed_extend_matches_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(anchors, "HOT", hot)
-    rows = H.docs()
-    got = {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in H.by_id(repeats.digests(H.frame(spark, rows))).items()}
-    assert got == H.repeated_words(rows)
+    rows = H.awkward()
+    assert H.by_row(repeats.digests(H.frame(spark, rows)), "n_words", "n_removed", "kept_sha256") == H.repeated_words(rows)
 
 
 def test_seed_extend_removes_every_occurrence_of_a_hot_window(spark, monkeypatch):
@@ -28,9 +26,8 @@ def test_seed_extend_removes_every_occurrence_of_a_hot_window(spark, monkeypatch
              2: " ".join(f"{part('x', i)} {part('p', i)} {part('y', i)}" for i in [*range(12), *range(12)])}
     rows = [(i, t, None, None, None, None, None) for i, t in texts.items()]
     want = H.repeated_words(rows)
-    assert want[2][1] == 2 * 12 * 60
-    got = {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in H.by_id(repeats.digests(H.frame(spark, rows))).items()}
-    assert got == want
+    assert want[1][2] == 2 * 12 * 60
+    assert H.by_row(repeats.digests(H.frame(spark, rows)), "n_words", "n_removed", "kept_sha256") == want
 
 
 def test_minmax_matches_brute_force(spark):

@@ -116,6 +116,17 @@ def test_search_recall_copies_and_cases(spark):
     assert set(found) == set(range(0, 900, 20))
 
 
+def test_search_breaks_ties_by_id(spark):
+    """199 different vectors with one product to the query, and more with another."""
+    x = np.zeros((300, 320))
+    x[:, 0] = 1
+    x[np.arange(1, 200), np.arange(1, 200)] = 2.0
+    x[200:, 0] = 0.5
+    x[np.arange(200, 300), np.arange(200, 300)] = 2.0
+    got = sorted((r["rank"], r.vec_id) for r in ann.search(vectors(spark, x)).where("query_id = 0").collect())
+    assert got == [(i, i) for i in range(1, 21)]
+
+
 def test_search_small_and_empty(spark):
     x = np.eye(4)
     check_search(ann.search(vectors(spark, x)).collect(), x, least=1.0)
