@@ -37,6 +37,7 @@ from hazelake.llm.arrays import (
     SPACE,
     column,
     crc_mod,
+    lean,
     mix,
     owners,
     prepare,
@@ -50,6 +51,7 @@ from hazelake.session import materialize, scratch_path
 END = np.uint64(0x00E4D0FF1CE00001)  # hash of the end token
 FILE_TOKENS = 8_000_000
 HELD_TOKENS = 3_000_000  # tokens whose counts a task holds before it emits them
+PART_BITS = 3  # a file's bigrams are summed and sorted in so many parts, by the top bits of their hashes
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,14 +72,15 @@ def _fs(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
 
 
-def write_array(folder: str, name: str, array: np.ndarray) -> None:
-    """Write under a name of its own, then rename: a repeated task replaces the same content."""
+def write_array(folder: str, name: str, *arrays: np.ndarray) -> None:
+    """Write arrays end to end under a name of its own, then rename: a repeated task replaces the same content."""
     import uuid
     store, path = _fs(folder)
     store.create_dir(path, recursive=True)
     part = f"{path}/.{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(part) as f:
-        f.write(np.ascontiguousarray(array).tobytes())
+        for array in arrays:
+            f.write(np.ascontiguousarray(array).tobytes())
     store.move(part, f"{path}/{name}")
 
 
@@ -199,7 +202,7 @@ def build_vocabulary(taught: DataFrame) -> tuple[Vocabulary, int]:
     def emit(k, n):
         yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    counted = materialize(taught.mapInArrow(lambda b: _gathered(b, count, emit), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    counted = materialize(taught.mapInArrow(lean(lambda b: _gathered(b, count, emit)), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     total = counted.agg(F.sum("n"), F.count("*")).first()
     n_tokens, n_words = int(total[0] or 0), int(total[1])
     if n_words >= 1 << 32:
@@ -215,7 +218,7 @@ def build_vocabulary(taught: DataFrame) -> tuple[Vocabulary, int]:
             write_array(folder, f"counts-{f}", t.column("n").to_numpy()[order])
             yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([len(k)], pa.int64())], ["file", "size"])
 
-    sizes = dict(counted.withColumn("file", file).repartition(max(1, 1 << bits), "file").mapInArrow(write, "file int, size bigint").collect())  # one row per file
+    sizes = dict(counted.withColumn("file", file).repartition(max(1, 1 << bits), "file").mapInArrow(lean(write), "file int, size bigint").collect())  # one row per file
     return Vocabulary(folder, bits, [sizes.get(f, 0) for f in range(1 << bits)]), n_tokens
 
 
@@ -232,6 +235,75 @@ class Bigrams:
         return (key >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
+class FileOfBigrams:
+    """The bigrams of one file as they come: codes (context and word) with counts, 12 bytes each. They are dealt to
+    parts by the top bits of their hashes, and summed, sorted and written part by part."""
+
+    def __init__(self):
+        self.parts: list[list] = [[] for _ in range(1 << PART_BITS)]
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        part = (mix(codes) >> np.uint64(64 - PART_BITS)).astype(np.uint8)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(len(self.parts) + 1))
+        for held, a, b in zip(self.parts, cut[:-1], cut[1:], strict=True):
+            if b > a:
+                held.append((codes[order[a:b]], counts[order[a:b]].astype(np.uint32)))
+
+    def summed(self):
+        """(codes, counts) of every part, each code once; a part is let go as its turn comes."""
+        for p in range(len(self.parts)):
+            held, self.parts[p] = self.parts[p], []
+            if held:
+                codes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+                del held
+                yield summed(codes, counts.astype(np.int64))
+
+    def written(self, folder: str, f: int, hot: np.ndarray) -> pa.RecordBatch:
+        """Writes the arrays of file ``f``; its words with their numbers of contexts, and its statistics."""
+        hashes, seen, often_at, often, contexts, kinds, words, before = ([] for _ in range(8))
+        once, n_pairs = np.zeros(4, np.int64), 0
+        for k, n in self.summed():
+            h = mix(k)
+            order = np.argsort(h)
+            hashes.append(h[order])
+            ordered = n[order]
+            seen.append(np.minimum(ordered, 255).astype(np.uint8))
+            big = np.flatnonzero(ordered > 254)
+            often_at.append(big + n_pairs)
+            often.append(ordered[big])
+            del h, order, ordered
+            context, word = (k >> np.uint64(32)).astype(np.int64), (k & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            first = np.flatnonzero(np.diff(context, prepend=-1))
+            contexts.append(context[first])
+            kinds.append(np.stack([np.add.reduceat(x, first, dtype=np.uint32) for x in (n == 1, n == 2, n > 2)], axis=1))
+            w, c = np.unique(word, return_counts=True)
+            words.append(w)
+            before.append(c.astype(np.uint32))
+            once += [int((n == x).sum()) for x in (1, 2, 3, 4)]
+            n_pairs += len(n)
+        write_array(folder, f"bigrams-{f}", *hashes)
+        write_array(folder, f"seen-{f}", *seen)
+        write_array(folder, f"often-at-{f}", *often_at)
+        write_array(folder, f"often-{f}", *often)
+        del hashes, seen
+        mine = np.concatenate(contexts)
+        order = np.argsort(mine, kind="stable")
+        mine, kinds = mine[order], np.concatenate(kinds)[order]
+        first = np.flatnonzero(np.diff(mine, prepend=-1))
+        mine, kinds = mine[first], np.add.reduceat(kinds, first, axis=0, dtype=np.uint32)
+        spread = find(hot, mine) >= 0
+        write_array(folder, f"contexts-{f}", mine[~spread])
+        write_array(folder, f"kinds-{f}", kinds[~spread])
+        w, c = summed(np.concatenate(words), np.concatenate(before))
+        stat = [*[(-1, int(x), *map(int, kd), 0) for x, kd in zip(mine[spread], kinds[spread], strict=True)],
+                (-2, *map(int, once), n_pairs)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([w, [s[0] for s in stat]]).astype(np.int64)), pa.array(np.concatenate([c, [s[1] for s in stat]]).astype(np.int64)),
+             *[pa.array(np.concatenate([np.zeros(len(w), np.int64), [s[i] for s in stat]]).astype(np.int64)) for i in (2, 3, 4, 5)]],
+            ["id", "a", "b", "c", "d", "e"])
+
+
 def codes_of(v: Vocabulary, data: np.ndarray, offs: np.ndarray):
     """Per token: unique index arrays for its word and the one before (V at the start, -1 unknown)."""
     h, ends = tokens(data, offs)
@@ -283,39 +355,23 @@ def build(docs: DataFrame, *, modulus: int = 7, held: int = 2) -> dict:
                      pa.array([word[at].astype(np.uint32).tobytes()], pa.binary()), pa.array([n[at].astype(np.uint32).tobytes()], pa.binary())],
                     ["file", "contexts", "words", "counts"])
 
-    packed = taught.mapInArrow(lambda b: _gathered(b, count, emit), "file int, contexts binary, words binary, counts binary")
+    packed = taught.mapInArrow(lean(lambda b: _gathered(b, count, emit)), "file int, contexts binary, words binary, counts binary")
 
     def write(batches):
-        held_: dict[int, list] = {}
-        for batch in batches:
-            for f, c, w, n in zip(*(column(batch, x).to_pylist() for x in ("file", "contexts", "words", "counts")), strict=True):
-                context = np.cumsum(np.frombuffer(c, np.uint32).astype(np.uint64))
-                held_.setdefault(f, []).append(((context << np.uint64(32)) | np.frombuffer(w, np.uint32), np.frombuffer(n, np.uint32).astype(np.int64)))
-        for f in sorted(held_):
-            k, n = summed(*(np.concatenate(x) for x in zip(*held_.pop(f), strict=True)))
-            context, word = (k >> np.uint64(32)).astype(np.int64), (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            h = mix(k)
-            order = np.argsort(h)
-            big = np.flatnonzero(n[order] > 254)
-            write_array(v.folder, f"bigrams-{f}", h[order])
-            write_array(v.folder, f"seen-{f}", np.minimum(n[order], 255).astype(np.uint8))
-            write_array(v.folder, f"often-at-{f}", big)
-            write_array(v.folder, f"often-{f}", n[order][big])
-            first = np.flatnonzero(np.diff(context, prepend=-1))
-            kinds = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (n == 1, n == 2, n > 2)], axis=1).astype(np.uint32) if len(first) else np.zeros((0, 3), np.uint32)
-            mine = context[first]
-            spread = find(bigrams.hot, mine) >= 0
-            write_array(v.folder, f"contexts-{f}", mine[~spread])
-            write_array(v.folder, f"kinds-{f}", kinds[~spread])
-            w, before = np.unique(word, return_counts=True)
-            stat = [*[(-1, int(c), *map(int, kd), 0) for c, kd in zip(mine[spread], kinds[spread], strict=True)],
-                    (-2, *[int((n == x).sum()) for x in (1, 2, 3, 4)], len(n))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([w, [s[0] for s in stat]])), pa.array(np.concatenate([before, [s[1] for s in stat]])),
-                 *[pa.array(np.concatenate([np.zeros(len(w), np.int64), [s[i] for s in stat]]).astype(np.int64)) for i in (2, 3, 4, 5)]],
-                ["id", "a", "b", "c", "d", "e"])
-
-    stats = materialize(packed.repartition(max(1, 1 << bits), "file").mapInArrow(write, "id bigint, a bigint, b bigint, c bigint, d bigint, e bigint"), "lm-stats")
+        file, held_ = None, None
+        for batch in batches:  # ordered by file: a task holds one at a time
+            for i in range(batch.num_rows):
+                f, c, w, n = (column(batch, x)[i].as_py() for x in ("file", "contexts", "words", "counts"))
+                if f != file:
+                    if held_ is not None:
+                        yield held_.written(v.folder, file, bigrams.hot)
+                    file, held_ = f, FileOfBigrams()
+                context = np.cumsum(np.frombuffer(c, np.uint32), dtype=np.uint64)
+                held_.add((context << np.uint64(32)) | np.frombuffer(w, np.uint32), np.frombuffer(n, np.uint32))
+        if held_ is not None:
+            yield held_.written(v.folder, file, bigrams.hot)
+
+    stats = materialize(packed.repartition(max(1, 1 << bits), "file").sortWithinPartitions("file").mapInArrow(lean(write), "id bigint, a bigint, b bigint, c bigint, d bigint, e bigint"), "lm-stats")
     few = stats.where("id < 0").collect()  # one row per file, and per file and hot context
     hot_kinds: dict[int, np.ndarray] = {}
     for r in few:
@@ -336,7 +392,7 @@ def build(docs: DataFrame, *, modulus: int = 7, held: int = 2) -> dict:
             write_array(v.folder, f"before-{f}", out)
             yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32())], ["file"])
 
-    done = {r[0] for r in before.withColumn("file", file).repartition(max(1, 1 << v.bits), "file").mapInArrow(align, "file int").collect()}
+    done = {r[0] for r in before.withColumn("file", file).repartition(max(1, 1 << v.bits), "file").mapInArrow(lean(align), "file int").collect()}
     for f in range(len(v.sizes)):
         if f not in done:
             write_array(v.folder, f"before-{f}", np.zeros(v.sizes[f], np.uint32))
@@ -431,7 +487,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, perplexity double")
+        lean(run), f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, perplexity double")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 from llm import helpers as H
@@ -51,6 +52,40 @@ def test_kneser_ney_matches_plain_python(spark, monkeypatch):
             assert math.isclose(r.base_score, want[i][3], rel_tol=1e-9) and math.isclose(r.score, want[i][4], rel_tol=1e-9)
 
 
+def test_file_of_bigrams_is_exact_and_bounded(tmp_path):
+    """A file of bigrams, in pieces with repeats: the arrays are those of one sum, and the work takes little beside the bigrams."""
+    rng = np.random.default_rng(7)
+    n = 1_500_000
+    codes = rng.integers(0, 40_000, n, np.uint64) << np.uint64(32) | rng.integers(0, 400_000, n, np.uint64)
+    codes[:900] = codes[0]
+    counts = rng.integers(1, 5, n).astype(np.uint32)
+    hot = np.array([int(codes[0] >> np.uint64(32))])
+    pieces = [np.sort(x) for x in np.array_split(codes, 12)]
+    tracemalloc.start()
+    held = lm.FileOfBigrams()
+    for c, k in zip(pieces, np.array_split(counts, 12), strict=True):
+        held.add(c, k)
+    got = held.written(str(tmp_path), 0, hot)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * n   # all at once took 89 bytes a bigram
+    k, c = lm.summed(np.concatenate(pieces), counts.astype(np.int64))
+    h = lm.mix(k)
+    order = np.argsort(h)
+    read = lambda name, kind: np.fromfile(tmp_path / f"{name}-0", kind)
+    assert (read("bigrams", np.uint64) == h[order]).all() and (read("seen", np.uint8) == np.minimum(c[order], 255)).all()
+    big = read("often-at", np.int64)
+    assert len(big) and (big == np.flatnonzero(c[order] > 254)).all() and (read("often", np.int64) == c[order][big]).all()
+    context = (k >> np.uint64(32)).astype(np.int64)
+    each, place = np.unique(context, return_inverse=True)
+    kinds = np.stack([np.bincount(place, x) for x in (c == 1, c == 2, c > 2)], axis=1)
+    assert (read("contexts", np.int64) == each[each != hot[0]]).all() and (read("kinds", np.uint32).reshape(-1, 3) == kinds[each != hot[0]]).all()
+    rows = [[x.as_py() for x in r] for r in zip(*got.columns, strict=True)]
+    w, before = np.unique(k & np.uint64(0xFFFFFFFF), return_counts=True)
+    assert [r[:2] for r in rows if r[0] >= 0] == [[int(x), int(y)] for x, y in zip(w, before, strict=True)]
+    assert rows[-2:] == [[-1, int(hot[0]), *kinds[each == hot[0]][0].astype(int).tolist(), 0], [-2, *[int((c == x).sum()) for x in (1, 2, 3, 4)], len(c)]]
+
+
 def test_kneser_ney_without_training_rows(spark):
     assert lm.digests(spark.createDataFrame([], H.SCHEMA)).count() == 0
     held = next(i for i in range(99) if H.crc(i, 7) == 2)
