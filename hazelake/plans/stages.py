@@ -106,8 +106,8 @@ class Stages:
     def DT(self) -> DataFrame:
         return facts.dim_time(self.S())
 
-    def M(self) -> DataFrame:
-        return fixtures.messages(self.spark, self.sf)
+    def M(self, spread_out: bool = False) -> DataFrame:
+        return fixtures.messages(self.spark, self.sf, spread_out)
 
     def P(self) -> DataFrame:
         return fixtures.payloads(self.spark, self.sf)

@@ -86,6 +86,16 @@ def materialize(df, name: str = "stage"):
     return out
 
 
+TASK_ROWS = 100_000
+
+
+def spread(df, rows: int = TASK_ROWS):
+    """For narrow tables with costly work behind them: rows dealt evenly to the session's cores, and at most about
+    `rows` to a task. A scan alone has no more tasks with rows than the files have row groups."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(n)
+
+
 _COSTLY = ("Aggregate", "Join", "Window", "Repartition", "Rebalance", "Sort", "Deduplicate", "Distinct",
            "Expand", "Generate", "MapInPandas", "FlatMapGroups", "Sample", "LocalLimit", "CollectMetrics")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazelake import constants as K
+from hazelake.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,10 +80,13 @@ def _main_code(event_type: Column) -> Column:
     return expr.otherwise("s2")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture M with the MESSAGE schema plus `ingest_ts` (Kafka timestamp stand-in) and `event_id`."""
+def messages(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    """Fixture M with the MESSAGE schema plus `ingest_ts` (Kafka timestamp stand-in) and `event_id`;
+    `spread_out`: built by all cores, for landing."""
     from hazelake.functions.text import pollutant_code, pollutant_display
     ev = events(spark, sf_dir)
+    if spread_out:
+        ev = spread(ev.select("event_id", "user_id", "event_type", "value", "ts"))
     eid, ts = F.col("event_id"), F.col("ts").cast("timestamp")
     loc = (F.col("user_id") % 5)
     code = _main_code(F.col("event_type"))

@@ -79,7 +79,8 @@ def start_archive(spark: SparkSession, source: DataFrame, out: str, checkpoint:
 
     def write(batch, batch_id):
         rows = kafka_archive_rows(batch) if "_partition" in batch.columns else RS.archive_rows(batch)
-        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # each hour's rows meet before the write: a file per hour, not one per hour and task
+        (rows.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "gzip").option("timestampFormat", RS.TS_FORMAT).partitionBy(*parts).json(out))
     return _each_batch(source, checkpoint, trigger, out, write)
 

@@ -251,3 +251,24 @@ def test_step_report_reads_its_input_once(spark):
     got = {r.step: r.rows for r in profile.step_report(rows.mapInArrow(counted, rows.schema), pipeline.STEPS).collect()}
     assert got["bronze"] == rows.count() == count.value
     assert got["bronze"] > got["deduplicated"] > got["validated"] >= got["outliers_removed"] >= got["silver"] > 0
+
+
+def test_archive_holds_one_file_an_hour_and_landing_uses_all_cores(spark, tmp_path):
+    """A landing of many files, each with all hours: the archive's files do not grow with the files read."""
+    from hazelake.session import spread
+    from hazelake.sources import fixtures
+    from hazelake.streaming import jobs
+    from hazelake.streaming import readings as RS
+    msgs = fixtures.messages(spark, "/root/testdata/sf0.001").where("event_id < 240").repartition(12)
+    RS.land_messages(msgs, str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    q = jobs.start_archive(spark, jobs.message_source(spark, "json", str(tmp_path / "in")), out, str(tmp_path / "ck"))
+    q.awaitTermination()
+    assert q.exception() is None
+    files = [(d, f) for d, _, names in os.walk(out) for f in names if f.endswith(".json.gz")]
+    assert len(files) == len({d for d, _ in files})
+    assert sorted(r.event_id for r in spark.read.schema("event_id long").json(out).collect()) == list(range(240))
+    one = spark.range(0, 1000, 1, 1)
+    dealt = spread(one, 100)
+    assert dealt.rdd.getNumPartitions() == 10 and min(dealt.rdd.glom().map(len).collect()) == 100
+    assert dealt.exceptAll(one).isEmpty() and dealt.count() == 1000
