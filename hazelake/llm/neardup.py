@@ -141,15 +141,16 @@ def _sets(size: int):
             who, h = shingle_sets(*text_bytes(column(part, "text")), size)
             ends = np.searchsorted(who, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [column(part, "doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h.view(np.int64)))], ["node", "hashes"])
+                [column(part, "doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h.view(np.int64))), column(part, "member"), column(part, "leads")],
+                ["node", "hashes", "member", "leads"])
     return run
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with the sizes of intersection and union of their sets. The side that is the
-    same in many pairs (b) is joined last, so that only single sets are shuffled."""
-    got = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("__a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("hashes").alias("__b")), "b")
+    """pairs (a, b) of a member and its head, with the sizes of intersection and union of their sets. The side that is
+    the same in many pairs (b) is joined last, so that only single sets are shuffled, and only those of that side."""
+    got = pairs.join(sets.where("member").select(F.col("node").alias("a"), F.col("hashes").alias("__a")), "a").join(
+        sets.where("leads").select(F.col("node").alias("b"), F.col("hashes").alias("__b")), "b")
     common = F.size(F.array_intersect("__a", "__b")).cast("long")
     return got.select("a", "b", common.alias("common"), (F.size("__a") + F.size("__b") - common).alias("total"))
 
@@ -197,10 +198,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     hits = materialize(buckets.join(first, "bucket"), "minmax-hits")
     heads = nodes.select(F.col("node").alias("head"), F.col("n_shingles").alias("head_n"))
     star = materialize(hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head"), "minmax-star")
-    wanted = hits.select("node").distinct()
-    # one plan at every size: a broadcast of the ids would stop fitting as the corpus grows
-    ids = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
-    sets = materialize(ids.mapInArrow(lean(_sets(shingle)), f"node {kind}, hashes array<bigint>").dropDuplicates(["node"]), "minmax-sets")
+    head = F.col("node") == F.col("head")
+    wanted = hits.groupBy("node").agg(F.max(~head).alias("member"), F.max(head).alias("leads"))
+    # one plan at every size: a broadcast of the ids would stop fitting as the corpus grows. Repeated rows go while the
+    # texts still lie by doc_id, so that the sets need no shuffle
+    ids = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"]).select("doc_id", "text", "member", "leads")
+    sets = materialize(ids.mapInArrow(lean(_sets(shingle)), f"node {kind}, hashes array<bigint>, member boolean, leads boolean"), "minmax-sets")
     linked = lambda t: t.where(100 * F.col("common") >= percent * F.col("total"))
     compared = materialize(_compare(star.select(F.col("node").alias("a"), F.col("head").alias("b")), sets), "minmax-compared")
     links = linked(compared).select("a", "b")
@@ -215,7 +218,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     star = materialize(star, "minmax-placed")
     mixed = star.groupBy("head").agg(F.max((F.col("component") != F.col("head_component")).cast("int")).alias("__m")).where("__m = 1").select("head")
     rest = star.join(mixed, "head", "left_semi")
-    far = rest.join(sets.select("node", F.col("hashes").alias("__x")), "node").join(sets.select(F.col("node").alias("head"), F.col("hashes").alias("__h")), "head")
+    far = rest.join(sets.where("member").select("node", F.col("hashes").alias("__x")), "node").join(sets.where("leads").select(F.col("node").alias("head"), F.col("hashes").alias("__h")), "head")
     far = far.withColumn("__d", F.array_union(F.array_except("__x", "__h"), F.array_except("__h", "__x")))
     far = materialize(far.select("head", "node", "n", "component", (F.col("component") != F.col("head_component")).alias("outside"), "__d"), "minmax-far")
     cells = far.groupBy("head").agg(F.ceil(F.count("*") / CELL).cast("int").alias("__all"), F.ceil(F.sum(F.col("outside").cast("int")) / CELL).cast("int").alias("__out"))

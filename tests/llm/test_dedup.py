@@ -69,3 +69,21 @@ def test_empty_tables(spark):
 def test_components_of_a_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 600)], "a long, b long")
     assert {r.node: r.component for r in graph.components(df).collect()} == {**{i: 0 for i in range(101)}, 500: 500, 600: 500}
+
+
+def test_near_duplicate_sets_are_not_shuffled_again(spark, monkeypatch):
+    """The sets come out of the join by doc_id, each row once, marked by the sides on which they are compared."""
+    plans, real = {}, neardup.materialize
+
+    def kept(df, name="stage"):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return plans.setdefault(f"{name}-table", real(df, name))
+    monkeypatch.setattr(neardup, "materialize", kept)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{text} {'x' * (i % 3)}", None, None, None, None, None) for i in (5, 6, 7, 6)] + [(9, "alone in this table", None, None, None, None, None)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(H.frame(spark, rows)).collect()}
+    assert got == {5: 5, 6: 5, 7: 5, 9: 9}
+    before_sets = plans["minmax-sets"].split("MapInArrow")[0]
+    assert "Exchange" not in before_sets
+    sets = plans["minmax-sets-table"].collect()
+    assert sorted((r.node, r.member, r.leads) for r in sets) == [(5, False, True), (6, True, True), (7, True, False)]
