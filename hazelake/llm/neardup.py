@@ -55,6 +55,7 @@ PERCENT = 85
 AGREE = 0.325  # a pair at the threshold agrees in a band with this probability or more
 MISS = 1e-6
 CHUNK = 256 << 10  # bytes of text sketched at once; the work arrays take about a hundred times as much
+BITS = 1 << 26  # of the broadcast marks of ids, 8 MB
 CELL = 1024  # nodes of a head that are compared in one call
 
 
@@ -182,6 +183,22 @@ def _links(percent: int):
     return run
 
 
+def marked(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """docs with a boolean column ``name`` that is true for every doc_id among ``ids`` (one column, stored) and false for
+    nearly all others, so that what follows shuffles few texts in vain. The mark is a bit of the id's hash, in a table that is
+    broadcast and stays at most ``BITS`` bits at any size; beyond that more are marked in vain."""
+    bits = max(1 << 15, min(BITS, 1 << (64 * ids.count()).bit_length()))
+    place, group, held = unused([*docs.columns, name], "place", "group", "held")
+    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    parts = ids.select(hashed(ids.columns[0]).alias(place)).select(F.shiftright(place, 15).alias(group), F.col(place).bitwiseAND(0x7FFF).alias(place))
+    table = parts.repartition(group).groupBy(group).agg(F.bitmap_construct_agg(place).alias(held))
+    at = F.col(place).bitwiseAND(0x7FFF)
+    byte = F.conv(F.hex(F.substring(held, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    got = docs.withColumn(place, hashed("doc_id")).withColumn(group, F.shiftright(place, 15)).join(F.broadcast(table), group, "left")
+    bit = F.coalesce(F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    return got.select(*[F.col(f"`{c}`") for c in docs.columns], bit.alias(name))
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     spark = docs.sparkSession
@@ -193,16 +210,17 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(full.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "minmax-nodes")
 
-    buckets = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    # dealt by bucket once, for the heads and for the join with them
+    buckets = nodes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     first = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("__c")).where("__c > 1").drop("__c")
     hits = materialize(buckets.join(first, "bucket"), "minmax-hits")
-    heads = nodes.select(F.col("node").alias("head"), F.col("n_shingles").alias("head_n"))
-    star = materialize(hits.where("node != head").select("node", "n", "head").distinct().join(heads, "head"), "minmax-star")
+    star = materialize(hits.where("node != head").select("node", "head").distinct(), "minmax-star")
     head = F.col("node") == F.col("head")
-    wanted = hits.groupBy("node").agg(F.max(~head).alias("member"), F.max(head).alias("leads"))
+    wanted = materialize(hits.groupBy("node").agg(F.max(~head).alias("member"), F.max(head).alias("leads")), "minmax-wanted")
     # one plan at every size: a broadcast of the ids would stop fitting as the corpus grows. Repeated rows go while the
     # texts still lie by doc_id, so that the sets need no shuffle
-    ids = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"]).select("doc_id", "text", "member", "leads")
+    ids = marked(texts, wanted.select("node"), "maybe").where("maybe").join(wanted.hint("merge"), F.col("doc_id") == F.col("node"))
+    ids = ids.dropDuplicates(["doc_id"]).select("doc_id", "text", "member", "leads")
     sets = materialize(ids.mapInArrow(lean(_sets(shingle)), f"node {kind}, hashes array<bigint>, member boolean, leads boolean"), "minmax-sets")
     linked = lambda t: t.where(100 * F.col("common") >= percent * F.col("total"))
     compared = materialize(_compare(star.select(F.col("node").alias("a"), F.col("head").alias("b")), sets), "minmax-compared")
@@ -212,17 +230,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     # the rest: heads whose nodes lie in several components
     own = lambda t: F.coalesce(F.col(t), F.col("node"))
     component = comp.select("node", "component")
-    star = star.select("node", "n", "head", "head_n").join(component, "node", "left").withColumn("component", own("component")).join(
+    star = star.join(component, "node", "left").withColumn("component", own("component")).join(
         component.select(F.col("node").alias("head"), F.col("component").alias("head_component")), "head", "left").withColumn(
         "head_component", F.coalesce("head_component", "head"))
     star = materialize(star, "minmax-placed")
-    mixed = star.groupBy("head").agg(F.max((F.col("component") != F.col("head_component")).cast("int")).alias("__m")).where("__m = 1").select("head")
-    rest = star.join(mixed, "head", "left_semi")
+    outside = F.col("component") != F.col("head_component")
+    cells = star.groupBy("head").agg(F.ceil(F.count("*") / CELL).cast("int").alias("__all"), F.ceil(F.sum(outside.cast("int")) / CELL).cast("int").alias("__out"))
+    rest = star.join(cells.where("__out > 0"), "head")
     far = rest.join(sets.where("member").select("node", F.col("hashes").alias("__x")), "node").join(sets.where("leads").select(F.col("node").alias("head"), F.col("hashes").alias("__h")), "head")
     far = far.withColumn("__d", F.array_union(F.array_except("__x", "__h"), F.array_except("__h", "__x")))
-    far = materialize(far.select("head", "node", "n", "component", (F.col("component") != F.col("head_component")).alias("outside"), "__d"), "minmax-far")
-    cells = far.groupBy("head").agg(F.ceil(F.count("*") / CELL).cast("int").alias("__all"), F.ceil(F.sum(F.col("outside").cast("int")) / CELL).cast("int").alias("__out"))
-    dealt = far.join(cells, "head")
+    dealt = materialize(far.select("head", "node", F.size("__x").cast("long").alias("n"), "component", outside.alias("outside"), "__d", "__all", "__out"), "minmax-far")
     cell = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asking = dealt.where("outside").withColumn("x", cell("__out")).withColumn("y", each("__all"))
@@ -246,9 +263,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, with the columns as they were; repeated rows stay once."""
     judged = materialize(near_duplicates(docs, **options), "minmax-judged")
-    out, again = unused(docs.columns, "gone", "twice")
-    gone = judged.where("not kept").select(F.col("doc_id").alias(out)).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col(out), "left_anti")
+    out, again, maybe = unused(docs.columns, "gone", "twice", "maybe")
+    gone = materialize(judged.where("not kept").select(F.col("doc_id").alias(out)).distinct(), "minmax-gone")
+    dealt = marked(docs, gone, maybe)
+    left = dealt.where(~F.col(maybe)).drop(maybe).unionByName(
+        dealt.where(maybe).join(gone.hint("merge"), F.col("doc_id") == F.col(out), "left_anti").drop(maybe))
     twice = materialize(judged.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again)), "minmax-twice")
     if twice.isEmpty():
         return left

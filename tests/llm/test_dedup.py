@@ -87,3 +87,32 @@ def test_near_duplicate_sets_are_not_shuffled_again(spark, monkeypatch):
     assert "Exchange" not in before_sets
     sets = plans["minmax-sets-table"].collect()
     assert sorted((r.node, r.member, r.leads) for r in sets) == [(5, False, True), (6, True, True), (7, True, False)]
+
+
+def test_near_duplicates_shuffle_few_texts_and_each_bucket_once(spark, monkeypatch):
+    """Texts that no comparison needs, and kept ones, are not shuffled; the table of buckets is dealt once."""
+    plans, real = {}, neardup.materialize
+
+    def kept(df, name="stage"):
+        out = real(df, name)
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(neardup, "materialize", kept)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = H.docs()
+        left = neardup.keep_first(H.frame(spark, rows))
+        want = H.near_duplicates(rows)
+        assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(i for i in want if want[i][2])
+        ids = spark.createDataFrame([(i,) for i in range(0, 3000, 100)], "node long")
+        docs = spark.createDataFrame([(i, "x", i) for i in range(3000)] + [(None, "x", -1)], "doc_id long, held string, place long")
+        seen = neardup.marked(docs, ids, "maybe")
+        assert seen.columns == ["doc_id", "held", "place", "maybe"] and seen.count() == 3001
+        true = {r.place for r in seen.where("maybe").collect()}
+        assert {r.node for r in ids.collect()} <= true and len(true) < 130
+        assert neardup.marked(docs, ids.where("false"), "maybe").where("maybe").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "REPARTITION_BY_COL" in plans["minmax-hits"] and "ENSURE_REQUIREMENTS" not in plans["minmax-hits"]   # alike on both sides: run once
+    assert "BroadcastHashJoin" in plans["minmax-sets"]
