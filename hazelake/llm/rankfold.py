@@ -3,12 +3,17 @@
 
 A task cuts its texts into pieces and hands over, for every chunk of about 16 MB, the chunk's
 distinct pieces ("words") and each document's piece numbers; no shuffle is needed. Spark
-functions do the rest. A word is an array of symbols, its bytes at first, held as a string with
-one character for each symbol (the symbol's rank plus an offset); beside it stands the string of its
-pair ranks. ``aggregate`` merges the leftmost pair of lowest rank until no pair has a rank. Ranks come
-from one literal: an array of small maps from symbol pair to rank, so that a look-up (crc32 of the pair
-picks the map) does not search all ranks. A document's ids are its words' ids end to end, and
-decoding looks the ids up in a literal array of binary pieces and joins them.
+functions do the rest. A word is a string of symbols, its bytes at first, with one character for
+each symbol (the symbol's rank plus an offset); beside it stand the ranks of the merges that can
+occur in it, ascending. ``aggregate`` folds them over the word: each one joins its pair of symbols
+wherever it stands, from the left. A literal array maps a rank to its pair, another to its symbol.
+
+Why one pass is exact: a token that comes out of merges comes from the same last two parts in every
+text, those it is merged from when it stands alone, since until then no merge crosses its ends. If both
+have lower ranks than the token (``ascending``; so in every trained vocabulary), a merge makes
+no pair of a lower rank than its own, and "the leftmost pair of lowest rank, again and again" is "rank by
+rank, from the left". For other vocabularies ``aggregate`` looks for the lowest rank at every step and merges
+its leftmost pair. Merges listed for a word that do not take place (a part went elsewhere) find no pair.
 
 A piece that is a token as a whole is that token. A piece longer than any token is cut before the
 fold wherever no token of the vocabulary can lie across the cut, which changes no merge; what is
@@ -26,7 +31,7 @@ import base64
 import heapq
 import json
 import unicodedata
-import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.llm.arrays import column, prepare, slices
+from hazelake.llm.bpe import PATTERN, char_classes, piece_starts
 
 CHUNK = 16 << 20  # bytes of text that share a dictionary of words
-BUCKET_BITS = 15  # so many maps in the rank literal, a few pairs each
+SLICE = 1 << 20  # characters of text cut, or bytes of words whose merges are looked for, at once
 LONG = 1024
 FIRST = 0x100  # character of rank 0
-NONE = "\U0010ffff"  # no rank: sorts after all others
-EDGE = "\U0010fffe"  # stands before and after a word's symbols
 
 
 def default_vocabulary() -> str:
@@ -60,6 +64,28 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+def last_parts(ranks: dict[bytes, int]) -> dict[bytes, bytes]:
+    """Token -> left one of the two parts it is last merged from when it stands alone; tokens that merges do not lead to
+    have none."""
+    out = {}
+    for token in ranks:
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            found = [(r, i) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
+            if not found:
+                break
+            i = min(found)[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        if len(parts) == 2:
+            out[token] = parts[0]
+    return out
+
+
+def ascending(ranks: dict[bytes, int], lefts: dict[bytes, bytes]) -> bool:
+    """Whether every merged part of a token has a lower rank than the token."""
+    return all(len(part) == 1 or ranks[part] < ranks[token] for token, left in lefts.items() for part in (left, token[len(left):]))
+
+
 def newer_characters(pattern: str) -> str:
     """Letters and numbers of this Unicode version that the library's version does not know yet. It is asked with a
     vocabulary that joins a character's last byte to the letter or digit behind it, if both are one piece."""
@@ -76,15 +102,14 @@ def newer_characters(pattern: str) -> str:
 
 class Splitter:
     """Cuts texts into pieces, and long pieces into words the fold can take. ``newer`` are characters that count as
-    neither letter nor number."""
+    neither letter nor number; ``lefts`` are the tokens' ``last_parts``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, newer: str = ""):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, newer: str = "", lefts: dict[bytes, bytes] | None = None):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.newer = {ord(c): "\ue000" for c in newer}   # to a character that is neither letter, number nor blank in any version
         self.leads = sorted({c.encode()[:2] for c in newer})
-        self.longest, self.none = max(map(len, ranks), default=1), NONE
-        self.symbols = {b: symbol(ranks[bytes([b])]) for b in range(256)}
-        self.first = {(t[0], t[1]): symbol(r) for t, r in ranks.items() if len(t) == 2}
+        self.longest = max(map(len, ranks), default=1)
+        self.symbols = np.array([ord(symbol(ranks[bytes([b])])) for b in range(256)], np.uint32)
         self.pairs = np.zeros(1 << 16, bool)
         triples = set()
         for token in ranks:
@@ -92,6 +117,11 @@ class Splitter:
                 self.pairs[token[0] << 8 | token[1]] = True
             triples.update(token[i:i + 3] for i in range(len(token) - 2))
         self.triples = np.unique(np.array([-1, *(t[0] << 16 | t[1] << 8 | t[2] for t in triples)], np.int64))
+        self.prefixes(last_parts(ranks) if lefts is None else lefts)
+        self.classes = None
+        if pattern == PATTERN:
+            self.classes = char_classes()
+            self.classes[list(self.newer)] = 3
 
     def pieces(self, text: str) -> list[str]:
         if not self.newer or text.isascii():
@@ -102,6 +132,27 @@ class Splitter:
             return self.pattern.findall(text)
         return [text[m.start():m.end()] for m in self.pattern.finditer(plain)]
 
+    def cut(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """(pieces of all texts, how many each has); by character classes where the pattern is the known one."""
+        n = np.array([len(t) for t in texts], np.int64)
+        if self.classes is None or n.sum() > 4 * SLICE:  # one very long text
+            found = [self.pieces(t) for t in texts]
+            return [p.encode() for x in found for p in x], np.array([len(x) for x in found], np.int64)
+        text = "".join(texts)
+        if not text:
+            return [], n
+        raw, cps = text.encode(), np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        offs = np.concatenate([[0], np.cumsum(n)])
+        ends = np.zeros(len(cps) + 1, bool)
+        ends[offs] = True
+        at = np.flatnonzero(piece_starts(cps, self.classes[cps], ends))
+        counts = np.diff(np.searchsorted(at, offs))
+        if len(raw) > len(cps):
+            width = (cps >= 0x80).astype(np.int64) + (cps >= 0x800) + (cps >= 0x10000) + 1
+            at = (np.cumsum(width) - width)[at]
+        at = at.tolist()
+        return [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)], counts
+
     def cuts(self, word: bytes) -> list[int]:
         """Offsets that no token can lie across: it would be the pair around the offset, or hold one
         of the two triples around it."""
@@ -135,39 +186,92 @@ class Splitter:
                         heapq.heappush(heap, (rank, a, end[end[a]]))
         return [word[i:end[i]] for i in range(n) if alive[i]]
 
-    def word(self, word: bytes) -> tuple[str, str]:
-        """The fold's first state: a word's symbols between edges, and the ranks of their pairs."""
-        none = self.none
-        return f"{EDGE}{word.decode('latin-1').translate(self.symbols)}{EDGE}", f"{NONE}{''.join([self.first.get(x, none) for x in zip(word, word[1:], strict=False)])}{NONE}"
-
-    def token(self, token: bytes) -> tuple[str, str]:
-        return f"{EDGE}{symbol(self.ranks[token])}{EDGE}", NONE * 2
-
-    def words(self, piece: bytes) -> list[tuple[str, str]]:
-        """One piece, cut into words the fold can take."""
-        if piece in self.ranks:
-            return [self.token(piece)]
+    def prefixes(self, tokens) -> None:
+        """A tree of tokens: nodes below 256 are first bytes, ``edges`` are sorted (node, next byte), leading to the
+        nodes ``below``, and ``rank`` is a node's token or -1."""
+        edges: dict[int, int] = {}
+        ends = []
+        for token in tokens:
+            node = token[0]
+            for b in token[1:]:
+                node = edges.setdefault(node << 8 | b, 256 + len(edges))
+            ends.append(node)
+        self.edges, self.below = np.array(sorted(edges.items()) or [(-1, 0)], np.int64).T.copy()
+        self.rank = np.full(256 + len(edges), -1, np.int64)
+        self.rank[ends] = [self.ranks[token] for token in tokens]
+
+    def merges(self, raw: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ascending ranks of the tokens that each word holds and merges may make, words end to end; how many each has).
+        ``raw`` holds the words' bytes end to end."""
+        owner = np.repeat(np.arange(len(lens)), lens)
+        stop = np.cumsum(lens)[owner]
+        at, node, n, found = np.arange(len(raw)), raw.astype(np.int64), 1, [np.zeros(0, np.int64)]
+        while len(at):
+            inside = np.flatnonzero(at + n < stop[at])
+            at, key = at[inside], node[inside] << 8 | raw[at[inside] + n]
+            edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            known = np.flatnonzero(self.edges[edge] == key)
+            at, node, n = at[known], self.below[edge[known]], n + 1
+            token = np.flatnonzero(self.rank[node] >= 0)
+            found.append(owner[at[token]] << 32 | self.rank[node[token]])
+        every = np.sort(np.concatenate(found))
+        every = every[np.diff(every, prepend=-1) > 0]
+        return (every & 0xFFFFFFFF).astype(np.int32), np.bincount(every >> 32, minlength=len(lens))
+
+    def states(self, words: list[bytes | int]) -> pa.StructArray:
+        """The fold's start, word by word: symbols, and ranks of the merges to fold. A number is a finished token."""
+        lens = np.array([1 if isinstance(w, int) else len(w) for w in words], np.int64)
+        raw = np.frombuffer(b"".join([b"\0" if isinstance(w, int) else w for w in words]), np.uint8)
+        done = np.array([i for i, w in enumerate(words) if isinstance(w, int)], np.int64)
+        ends = np.cumsum(lens)
+        codes = self.symbols[raw]
+        codes[ends[done] - 1] = [ord(symbol(words[i])) for i in done]
+        size = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))[ends - 1]])
+        text = codes.tobytes().decode("utf-32-le").encode()
+        ranks, counts, lo = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+        while lo < len(words):
+            begin = ends[lo] - lens[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, begin + SLICE, side="right")))
+            found = self.merges(raw[begin:ends[hi - 1]], lens[lo:hi])
+            ranks.append(found[0])
+            counts.append(found[1])
+            lo = hi
+        offs = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return pa.StructArray.from_arrays([
+            pa.StringArray.from_buffers(len(words), pa.py_buffer(size.astype(np.int32)), pa.py_buffer(text)),
+            pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(np.concatenate(ranks), pa.int32()))], ["sym", "merges"])
+
+    def words(self, piece: bytes) -> list[bytes | int]:
+        """One piece, cut into words the fold can take; finished tokens by their rank."""
+        rank = self.ranks.get(piece)
+        if rank is not None:
+            return [rank]
         if len(piece) <= self.longest:
-            return [self.word(piece)]
-        out = []
+            return [piece]
+        out: list[bytes | int] = []
         at = [0, *self.cuts(piece), len(piece)]
         for a, b in zip(at[:-1], at[1:], strict=True):
             if b - a <= LONG:
-                out.append(self.word(piece[a:b]))
+                out.append(piece[a:b])
             else:
-                out += [self.token(t) for t in self.merged(piece[a:b])]
+                out += [self.ranks[t] for t in self.merged(piece[a:b])]
         return out
 
     def chunk(self, texts: list[str]):
         """(words, word numbers of all texts end to end, their offsets)."""
-        pieces: dict[str, int] = {}
-        numbers, offs = [], [0]
-        for text in texts:
-            numbers.append(np.fromiter((pieces.setdefault(p, len(pieces)) for p in self.pieces(text)), np.int32))
-            offs.append(offs[-1] + len(numbers[-1]))
-        idx, offs = np.concatenate(numbers) if numbers else np.zeros(0, np.int32), np.array(offs, np.int64)
-        slots: dict[tuple[str, str], int] = {}
-        parts = [[slots.setdefault(w, len(slots)) for w in self.words(p.encode())] for p in pieces]
+        pieces: defaultdict[bytes, int] = defaultdict()
+        pieces.default_factory = pieces.__len__  # a new piece gets the next number
+        numbers, counts, lo = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        ends = np.cumsum([len(t) for t in texts])
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE, side="right")))
+            found, each = self.cut(texts[lo:hi])
+            numbers.append(np.fromiter(map(pieces.__getitem__, found), np.int32, len(found)))
+            counts.append(each)
+            lo = hi
+        idx, offs = np.concatenate(numbers), np.cumsum(np.concatenate(counts))
+        slots: dict[bytes | int, int] = {}
+        parts = [[slots.setdefault(w, len(slots)) for w in self.words(p)] for p in pieces]
         counts = np.array([len(p) for p in parts], np.int64)
         flat = np.array([s for p in parts for s in p], np.int32)
         begin, n = np.cumsum(counts) - counts, counts[idx]
@@ -189,49 +293,31 @@ def rank_of_symbol(c: Column, top: int) -> Column:
     return F.when(code < 0xD800, code - FIRST).otherwise(code - (FIRST + 0x800))
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one constant: an array of maps from a pair of symbols to the merged one, by the pair's
-    crc32. Catalyst folds the parsing of the constant text into a literal."""
-    maps: list[dict[str, str]] = [{} for _ in range(1 << BUCKET_BITS)]
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            left, right = ranks.get(token[:i]), ranks.get(token[i:])
-            if left is not None and right is not None:
-                pair = symbol(left) + symbol(right)
-                maps[zlib.crc32(pair.encode()) >> (32 - BUCKET_BITS)][pair] = symbol(rank)
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
-
-
-def merged_pair(table: Column, pair: Column) -> Column:
-    """Symbol that a pair of symbols merges to; NONE where they do not merge."""
-    bucket = F.shiftrightunsigned(F.crc32(pair.cast("binary")), 32 - BUCKET_BITS).cast("int")
-    return F.coalesce(F.element_at(F.get(table, bucket), pair), F.lit(NONE))
-
-
 def bind(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fold(table: Column, word: Column, top: int) -> Column:
-    """array<int>: the ids of one word. The state is the string of symbols, an edge at both ends, and that of
-    the ranks of all neighbours, one character a pair (the edges have none)."""
-    def step(state, _):
-        sym, rank = state["sym"], state["rank"]
+def pieces_literal(values: dict[int, str]) -> Column:
+    """Constant array with ``values[id]`` at place id."""
+    return F.from_json(F.lit(json.dumps([values.get(i) for i in range(max(values, default=-1) + 1)])), "array<string>")
+
+
+def fold(pairs: Column, symbols: Column, word: Column, single: bool, top: int) -> Column:
+    """array<int>: the ids of one word, its merges folded over its symbols by rank. ``single``: one pass
+    will do, see above."""
+    def join(sym, rank):
+        return F.replace(sym, F.get(pairs, rank), F.get(symbols, rank))
 
-        def merge(low):
-            p = F.instr(rank, low)   # the pair of the symbols at p and p + 1; never the first or the last
-            left, right = F.concat(F.substring(sym, p - 1, F.lit(1)), low), F.concat(low, F.substring(sym, p + 2, F.lit(1)))
-            return F.when(low == NONE, state).otherwise(F.struct(
-                F.concat(F.substring(sym, F.lit(1), p - 1), low, F.substring(sym, p + 2, rest)).alias("sym"),
-                F.concat(F.substring(rank, F.lit(1), p - 2), merged_pair(table, left), merged_pair(table, right),
-                         F.substring(rank, p + 2, rest)).alias("rank")))
-        return bind(F.array_min(F.split(rank, "")), merge)
+    def lowest(sym, _):
+        def merge(rank):
+            p = F.instr(sym, F.get(pairs, rank))
+            return F.when(rank.isNull(), sym).otherwise(
+                F.concat(F.substring(sym, F.lit(1), p - 1), F.get(symbols, rank), F.substring(sym, p + 2, F.lit(1 << 30))))
+        return bind(F.get(F.filter(word["merges"], lambda r: F.instr(sym, F.get(pairs, r)) > 0), F.lit(0)), merge)
 
-    rest = F.lit(1 << 30)
-    size = F.length(word["sym"])
-    merged = F.aggregate(F.array_repeat(F.lit(0), size - 3), F.struct(word["sym"].alias("sym"), word["rank"].alias("rank")), step, lambda s: s["sym"])
-    return F.transform(F.split(F.substring(merged, F.lit(2), F.length(merged) - 2), ""), lambda c: rank_of_symbol(c, top))
+    steps = word["merges"] if single else F.array_repeat(F.lit(0), F.length(word["sym"]) - 1)
+    return F.transform(F.split(F.aggregate(steps, word["sym"], join if single else lowest), ""), lambda c: rank_of_symbol(c, top))
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,21 +325,23 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     spark = docs.sparkSession
     prepare(spark)
     ranks = load_ranks(vocabulary or default_vocabulary())
-    table = rank_literal(ranks)
+    lefts = last_parts(ranks)
+    pairs = pieces_literal({ranks[t]: symbol(ranks[left]) + symbol(ranks[t[len(left):]]) for t, left in lefts.items()})
+    symbols = pieces_literal({ranks[t]: symbol(ranks[t]) for t in lefts})
+    single, top = ascending(ranks, lefts), max(ranks.values(), default=0)
     pattern = pattern or default_pattern()
-    shared = spark.sparkContext.broadcast((ranks, pattern, newer_characters(pattern)))
+    shared = spark.sparkContext.broadcast(Splitter(ranks, pattern, newer_characters(pattern), lefts))
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"words array<struct<sym:string,rank:string>>, docs array<struct<key:{kind},words:array<int>>>"
+    schema = f"words array<struct<sym:string,merges:array<int>>>, docs array<struct<key:{kind},words:array<int>>>"
 
     def chunks(batches):
-        splitter = Splitter(*shared.value)
+        splitter = shared.value
         keys, texts, held = [], [], 0
 
         def flush():
             words, idx, offs = splitter.chunk(texts)
-            pairs = pa.StructArray.from_arrays([pa.array([w[k] for w in words], pa.string()) for k in (0, 1)], ["sym", "rank"])
             rows = pa.StructArray.from_arrays([pa.concat_arrays(keys), pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(idx, pa.int32()))], ["key", "words"])
-            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pairs, rows)], ["words", "docs"])
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (splitter.states(words), rows)], ["words", "docs"])
 
         for part in slices(batches, "text", CHUNK):
             if texts and held + part.nbytes > CHUNK:
@@ -266,17 +354,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
             yield flush()
 
     cut = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(chunks, schema)
-    ids = bind(table, lambda t: F.transform("words", lambda w: fold(t, w, max(ranks.values(), default=0))))
+    ids = F.transform("words", lambda w: fold(pairs, symbols, w, single, top))
     rows = bind(ids, lambda e: F.transform("docs", lambda d: F.struct(
         d["key"].alias("key"), F.flatten(F.transform(d["words"], lambda i: F.get(e, i))).alias("ids"))))
     return cut.select(F.explode(rows).alias("row")).select(F.col("row")["key"].alias(key), F.col("row")["ids"].alias("ids"))
 
 
-def pieces_literal(values: dict[int, str]) -> Column:
-    """Constant array with ``values[id]`` at place id."""
-    return F.from_json(F.lit(json.dumps([values.get(i) for i in range(max(values, default=-1) + 1)])), "array<string>")
-
-
 def decode(encoded: DataFrame, vocabulary: str | None = None, out: str = "decoded") -> DataFrame:
     """Adds the bytes that ``ids`` stand for, their pieces joined. An id outside of the vocabulary stands for none."""
     pieces = pieces_literal({rank: token.decode("latin-1") for token, rank in load_ranks(vocabulary or default_vocabulary()).items()})

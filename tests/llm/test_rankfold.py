@@ -1,3 +1,4 @@
+import base64
 import random
 
 import numpy as np
@@ -77,3 +78,53 @@ def test_no_python_below_the_chunks(spark, library):
     """The merges run in Spark expressions, and no shuffle is needed."""
     plan = rankfold.digests(H.frame(spark, [(1, "a", None, None, None, None, None)]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "from_json" not in plan and "aggregate(" in plan
+
+
+def test_a_step_of_the_fold_is_one_replacement(spark):
+    """Each step joins one pair in the whole word; no step looks for the lowest rank of all pairs."""
+    plan = rankfold.digests(H.frame(spark, [(1, "a", None, None, None, None, None)]))._jdf.queryExecution().executedPlan().toString()
+    assert "replace(" in plan and "array_min(" not in plan
+
+
+def test_listed_merges_give_the_heap_s_tokens(ranks):
+    splitter = rankfold.Splitter(ranks, rankfold.default_pattern())
+    lefts = rankfold.last_parts(ranks)
+    tokens = {r: t for t, r in ranks.items()}
+    rnd = random.Random(3)
+    words = [bytes(rnd.choice(b"aabcdeinrst \xc3\xa9\xe4\xb8\xad") for _ in range(rnd.randint(1, 60))) for _ in range(300)]
+    for word, state in zip([*words, b" the"], splitter.states([*words, ranks[b" the"]]).to_pylist(), strict=True):
+        sym = state["sym"]
+        assert state["merges"] == sorted(set(state["merges"]))
+        for r in state["merges"]:
+            left = lefts[tokens[r]]
+            sym = sym.replace(rankfold.symbol(ranks[left]) + rankfold.symbol(ranks[tokens[r][len(left):]]), rankfold.symbol(r))
+        assert sym == "".join(rankfold.symbol(ranks[t]) for t in splitter.merged(word))
+
+
+@pytest.mark.parametrize("trained", [True, False])
+def test_other_vocabularies(spark, tmp_path, trained):
+    """One whose merges ascend, and one whose tokens have lower ranks than their parts, or cannot be merged at all."""
+    rnd = random.Random(4)
+    tokens = sorted({bytes(rnd.choice(b"abc") for _ in range(rnd.randint(2, 6))) for _ in range(60)}, key=lambda t: (len(t), t) if trained else rnd.random())
+    ranks = {bytes([b]): b for b in range(256)} | {t: 256 + 3 * i for i, t in enumerate(tokens)}  # ranks with gaps
+    assert rankfold.ascending(ranks, rankfold.last_parts(ranks)) == trained
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    texts = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 40))) + rnd.choice(["", " ab", "\u00e9c"]) for _ in range(200)]
+    own = tiktoken.Encoding("other", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.ids for r in rankfold.encode(df, str(path)).collect()} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_classes_cut_like_the_pattern(ranks):
+    pattern = rankfold.default_pattern()
+    newer = rankfold.newer_characters(pattern)
+    splitter = rankfold.Splitter(ranks, pattern, newer)
+    rnd = random.Random(5)
+    some = "abstmdrevl  c\n\t'\u2019\u00e9\u4e2d\U0001f600\u0300\x00\xa0\u200b12,.S\x1c\x85\u3000 \u00b2" + newer[::4000]
+    texts = ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 40))) for _ in range(5000)] + ["", "x" * 10]
+    texts += ["".join(f"a{chr(c)}1{chr(c)} {chr(c)}a" for c in range(lo, lo + 4096) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x110000, 4096)]
+    for lo in range(0, len(texts), 500):
+        found, counts = splitter.cut(texts[lo:lo + 500])
+        want = [[p.encode() for p in splitter.pieces(t)] for t in texts[lo:lo + 500]]
+        assert found == [p for x in want for p in x] and counts.tolist() == [len(x) for x in want]
