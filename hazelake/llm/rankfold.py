@@ -39,11 +39,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.arrays import column, prepare, slices
+from hazelake.llm.arrays import column, lean, prepare, slices
 from hazelake.llm.bpe import PATTERN, char_classes, piece_starts
 
 CHUNK = 16 << 20  # bytes of text that share a dictionary of words
-SLICE = 1 << 20  # characters of text cut, or bytes of words whose merges are looked for, at once
+SLICE = 1 << 18  # characters of text cut, or bytes of words whose merges are looked for, at once
 LONG = 1024
 FIRST = 0x100  # character of rank 0
 
@@ -135,7 +135,7 @@ class Splitter:
     def cut(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
         """(pieces of all texts, how many each has); by character classes where the pattern is the known one."""
         n = np.array([len(t) for t in texts], np.int64)
-        if self.classes is None or n.sum() > 4 * SLICE:  # one very long text
+        if self.classes is None or n.sum() > 16 * SLICE:  # one very long text
             found = [self.pieces(t) for t in texts]
             return [p.encode() for x in found for p in x], np.array([len(x) for x in found], np.int64)
         text = "".join(texts)
@@ -272,11 +272,16 @@ class Splitter:
         idx, offs = np.concatenate(numbers), np.cumsum(np.concatenate(counts))
         slots: dict[bytes | int, int] = {}
         parts = [[slots.setdefault(w, len(slots)) for w in self.words(p)] for p in pieces]
-        counts = np.array([len(p) for p in parts], np.int64)
+        counts = np.array([len(p) for p in parts], np.int32)
         flat = np.array([s for p in parts for s in p], np.int32)
-        begin, n = np.cumsum(counts) - counts, counts[idx]
-        done = np.concatenate([[0], np.cumsum(n)])
-        return list(slots), flat[np.repeat(begin[idx] - done[:-1], n) + np.arange(done[-1])], done[offs]
+        del parts, pieces, numbers
+        if len(flat) == len(counts):  # each piece is one word
+            return list(slots), flat[idx], offs
+        begin, n = np.cumsum(counts, dtype=np.int32) - counts, counts[idx]
+        done = np.concatenate([np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)])  # below 2**31, as in the batch
+        at = np.repeat(begin[idx] - done[:-1], n)
+        at += np.arange(done[-1], dtype=np.int32)
+        return list(slots), flat[at], done[offs]
 
 
 def symbol(rank: int) -> str:
@@ -345,15 +350,17 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 
         for part in slices(batches, "text", CHUNK):
             if texts and held + part.nbytes > CHUNK:
-                yield flush()
+                out = flush()
                 keys, texts, held = [], [], 0
+                yield out
+                del out
             keys.append(column(part, "key"))
             texts += [t or "" for t in column(part, "text").to_pylist()]
             held += part.nbytes
         if texts:
             yield flush()
 
-    cut = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(chunks, schema)
+    cut = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(lean(chunks), schema)
     ids = F.transform("words", lambda w: fold(pairs, symbols, w, single, top))
     rows = bind(ids, lambda e: F.transform("docs", lambda d: F.struct(
         d["key"].alias("key"), F.flatten(F.transform(d["words"], lambda i: F.get(e, i))).alias("ids"))))
